@@ -57,31 +57,47 @@ def _bound(parsed: Column, time_col: Column) -> Column:
     return F.struct(*fields)
 
 
+def _fence(df: DataFrame, keep: list[str], **named: Column) -> DataFrame:
+    """Evaluate ``named`` once per row behind a Generate.
+
+    Later filters on these columns (the reject split) cannot be pushed below
+    a Generate, so the parse is not copied into the filter and re-run there.
+    """
+    packed = F.struct(*[c.alias(n) for n, c in named.items()])
+    return df.select(*keep, F.inline(F.array(packed)))
+
+
 def decode_events(df: DataFrame, value_col: str = "value", strict: bool = True,
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """JSON text -> canonical events plus ``reject_reason`` (NULL when valid).
 
     ``strict`` rejects records carrying properties outside the event model,
     as a default JSON binder does. ``keep`` lists input columns carried
-    through (record coordinates, the raw value).
+    through (record coordinates, the raw value). Each record is parsed once
+    (twice only when its time is ISO text), however the result is used.
     """
     v = F.col(value_col)
-    p1 = F.from_json(v, _PASS_DECIMAL, _JSON_OPTS)
-    p2 = F.from_json(v, _PASS_TIMESTAMP, _JSON_OPTS)
-    event = (F.when(p1.getField(CORRUPT_COLUMN).isNull(),
-                    _bound(p1, from_epoch_seconds(p1.getField("eventTime"))))
-             .when(p2.getField(CORRUPT_COLUMN).isNull(),
-                   _bound(p2, to_wallclock(p2.getField("eventTime")))))
-    staged = df.select(*keep, v.alias("_value"), event.alias("_event"))
-
-    value, ev = F.col("_value"), F.col("_event")
+    carry = list(dict.fromkeys([*keep, value_col]))
+    first = {"_p1": F.from_json(v, _PASS_DECIMAL, _JSON_OPTS)}
+    if strict:
+        unknown = F.array_except(F.json_object_keys(v), F.array(*[F.lit(n) for n in WIRE_NAMES]))
+        first["_unknown"] = F.size(unknown) > 0
+    staged = _fence(df, carry, **first)
+    p1 = F.col("_p1")
+    p1_ok = p1.getField(CORRUPT_COLUMN).isNull()
+    staged = _fence(staged, [*carry, *first], _p2=F.when(~p1_ok, F.from_json(v, _PASS_TIMESTAMP, _JSON_OPTS)))
+    p2 = F.col("_p2")
+    event = (F.when(p1_ok, _bound(p1, from_epoch_seconds(p1.getField("eventTime"))))
+             .when(p2.getField(CORRUPT_COLUMN).isNull(), _bound(p2, to_wallclock(p2.getField("eventTime")))))
+    staged = staged.select(*carry, *[c for c in first if c != "_p1"], event.alias("_event"))
+
+    ev = F.col("_event")
     checks = [
-        (value.isNull() | (F.trim(value) == ""), "empty_record"),
+        (v.isNull() | (F.trim(v) == ""), "empty_record"),
         (ev.isNull(), "malformed_json"),
     ]
     if strict:
-        unknown = F.array_except(F.json_object_keys(value), F.array(*[F.lit(n) for n in WIRE_NAMES]))
-        checks.append((F.size(unknown) > 0, "unknown_property"))
+        checks.append((F.col("_unknown"), "unknown_property"))
     checks += typed_checks(lambda n: ev.getField(n), required=("event_time", "event_type"))
     return staged.select(*keep, *[ev.getField(n).alias(n) for n in EVENT_COLUMNS],
                          first_reason(checks).alias("reject_reason"))
