@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.fence import fence
 from tidemark.functions.time import epoch_seconds, from_epoch_seconds, to_wallclock
 from tidemark.operators.validate import first_reason, typed_checks
 from tidemark.schema import CORRUPT_COLUMN, EVENT_COLUMNS, PRICE_TYPE, WIRE_NAMES, WIRE_OF
@@ -57,16 +58,6 @@ def _bound(parsed: Column, time_col: Column) -> Column:
     return F.struct(*fields)
 
 
-def _fence(df: DataFrame, keep: list[str], **named: Column) -> DataFrame:
-    """Evaluate ``named`` once per row behind a Generate.
-
-    Later filters on these columns (the reject split) cannot be pushed below
-    a Generate, so the parse is not copied into the filter and re-run there.
-    """
-    packed = F.struct(*[c.alias(n) for n, c in named.items()])
-    return df.select(*keep, F.inline(F.array(packed)))
-
-
 def decode_events(df: DataFrame, value_col: str = "value", strict: bool = True,
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """JSON text -> canonical events plus ``reject_reason`` (NULL when valid).
@@ -82,10 +73,10 @@ def decode_events(df: DataFrame, value_col: str = "value", strict: bool = True,
     if strict:
         unknown = F.array_except(F.json_object_keys(v), F.array(*[F.lit(n) for n in WIRE_NAMES]))
         first["_unknown"] = F.size(unknown) > 0
-    staged = _fence(df, carry, **first)
+    staged = fence(df, carry, **first)
     p1 = F.col("_p1")
     p1_ok = p1.getField(CORRUPT_COLUMN).isNull()
-    staged = _fence(staged, [*carry, *first], _p2=F.when(~p1_ok, F.from_json(v, _PASS_TIMESTAMP, _JSON_OPTS)))
+    staged = fence(staged, [*carry, *first], _p2=F.when(~p1_ok, F.from_json(v, _PASS_TIMESTAMP, _JSON_OPTS)))
     p2 = F.col("_p2")
     event = (F.when(p1_ok, _bound(p1, from_epoch_seconds(p1.getField("eventTime"))))
              .when(p2.getField(CORRUPT_COLUMN).isNull(), _bound(p2, to_wallclock(p2.getField("eventTime")))))

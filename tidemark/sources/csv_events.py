@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.fence import fence
 from tidemark.functions.scalar import empty_to_null, strict_decimal, strict_long
 from tidemark.functions.time import parse_utc_text
 from tidemark.operators.validate import REASON, first_reason, typed_checks
@@ -40,16 +41,22 @@ def csv_reader(spark: SparkSession, multi_line: bool = False):
 
 
 def type_csv(raw: DataFrame) -> DataFrame:
-    """All-text CSV rows -> canonical events + ``reject_reason`` + ``raw_record``."""
+    """All-text CSV rows -> canonical events + ``reject_reason`` + ``raw_record``.
+
+    The raw row is fenced first: the parser then always tokenizes all nine
+    fields, so a short or long row is flagged whichever columns are used.
+    """
+    raw = fence(raw, **{n: F.col(n) for n in CSV_SCHEMA.fieldNames()})
     typed = [_CASTS[n](F.col(n)).alias(n) for n in EVENT_COLUMNS]
     raw_cols = [F.col(n) for n in EVENT_COLUMNS]
     short = F.col(CORRUPT_COLUMN).isNotNull() & F.col("user_session").isNull()
     checks = [(short, "short_row")]
     for name in ("event_time", "event_type", "product_id", "category_id", "price", "user_id"):
         checks.append((F.col(name).isNull(), f"missing_{name}"))
-        if name != "event_type":
+        if name == "event_type":
+            checks += typed_checks(F.col, required=(name,))[1:]
+        else:
             checks.append((_CASTS[name](F.col(name)).isNull(), f"bad_{name}"))
-    checks += typed_checks(F.col, required=("event_type",))
     raw_record = F.coalesce(F.col(CORRUPT_COLUMN), F.concat_ws(",", *raw_cols))
     return raw.select(*typed, first_reason(checks).alias(REASON), raw_record.alias("raw_record"))
 
