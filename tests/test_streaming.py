@@ -1,0 +1,231 @@
+"""F4 late-data timeline, restarts, idle inputs, fan-out sinks (file-stream topic)."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+
+from tidemark.operators.validate import split
+from tidemark.sources.topic import decode_records, read_records
+from tidemark.streaming import jobs, sinks
+
+TYPE_OF = {"a": "view", "b": "cart", "z": "purchase"}
+
+
+def _value(ts: str, kind: str, category: str | None = None) -> str:
+    t = dt.datetime.fromisoformat("2024-01-01 " + ts).replace(tzinfo=dt.timezone.utc)
+    body = {"eventType": TYPE_OF.get(kind, kind), "productId": 1, "categoryId": 2, "categoryCode": category,
+            "brand": None, "price": 1.5, "userId": 7, "userSession": "s"}
+    return '{"eventTime":%d.000000000,' % int(t.timestamp()) + json.dumps(body)[1:]
+
+
+class Topic:
+    """A directory of envelope files, one file per micro-batch."""
+
+    def __init__(self, path):
+        self.path, self.n = str(path), 0
+        os.makedirs(self.path, exist_ok=True)
+
+    def publish(self, items):
+        path = os.path.join(self.path, f"batch-{self.n:04d}.json")
+        with open(path, "w") as f:
+            for i, item in enumerate(items):
+                f.write(json.dumps({"partition": 0, "offset": self.n * 100 + i, "key": "7",
+                                    "value": _value(*item)}) + "\n")
+        # the file source takes files in modification-time order: make arrival order explicit
+        stamp = 1_700_000_000 + self.n
+        os.utime(path, (stamp, stamp))
+        self.n += 1
+
+
+def _good(spark, topic):
+    records = read_records(spark, path=topic.path, stream=True, max_files_per_trigger=1)
+    return split(decode_records(records)).good
+
+
+def drain(q, settle=0.3, rounds=40):
+    """Process all input, including the no-data batches that evict closed windows."""
+    import time
+    seen = -1
+    for _ in range(rounds):
+        q.processAllAvailable()
+        time.sleep(settle)
+        n = len(q.recentProgress)
+        if n == seen and not q.status["isTriggerActive"]:
+            return
+        seen = n
+
+
+def _result(spark, path, cols):
+    if not os.path.exists(path):
+        return []
+    return sorted(tuple(r[c] for c in cols) for r in spark.read.parquet(path).collect())
+
+
+TIMELINE = [
+    [("00:00:01", "a"), ("00:00:03", "b")],
+    [("00:01:05", "a")],
+    [("00:00:40", "b"), ("00:01:10", "b")],
+    [("00:00:41", "b"), ("00:01:11", "b")],
+    [("00:03:00", "z")],
+]
+
+
+def _t(m):
+    return dt.datetime(2024, 1, 1, 0, m)
+
+
+def test_late_data_timeline(spark, tmp_path):
+    topic, out = Topic(tmp_path / "topic"), str(tmp_path / "out")
+    q = None
+    for items in TIMELINE:
+        topic.publish(items)
+        if q is None:
+            q = jobs.start_event_type_counts(_good(spark, topic), sinks.TableSink(out), str(tmp_path / "ck"))
+        drain(q)
+    q.stop()
+    got = _result(spark, out, ("window_start", "event_type", "event_count"))
+    assert got == [(_t(0), "CART", 1), (_t(0), "VIEW", 1), (_t(1), "CART", 2), (_t(1), "VIEW", 1)]
+    # the session setting is restored after start
+    assert spark.conf.get(jobs.LATE_RULE_CONF, None) in (None, "true")
+
+
+def test_late_row_in_closing_batch_is_dropped(spark, tmp_path):
+    """All files queued up front: the late 00:00:40 row shares a micro-batch with the
+    watermark advance that closed its window; the exact rule drops it."""
+    topic, out = Topic(tmp_path / "topic"), str(tmp_path / "out")
+    for items in TIMELINE:
+        topic.publish(items)
+    q = jobs.start_event_type_counts(_good(spark, topic), sinks.TableSink(out), str(tmp_path / "ck"))
+    drain(q)
+    q.stop()
+    got = _result(spark, out, ("window_start", "event_type", "event_count"))
+    assert got == [(_t(0), "CART", 1), (_t(0), "VIEW", 1), (_t(1), "CART", 2), (_t(1), "VIEW", 1)]
+
+
+def test_event_older_than_watermark_in_open_window_counts(spark, tmp_path):
+    topic, out = Topic(tmp_path / "topic"), str(tmp_path / "out")
+    q = None
+    for items in ([("00:00:01", "a")], [("00:01:04", "a")], [("00:00:30", "a")], [("00:02:30", "z")]):
+        topic.publish(items)
+        if q is None:
+            q = jobs.start_event_type_counts(_good(spark, topic), sinks.TableSink(out), str(tmp_path / "ck"))
+        drain(q)
+    q.stop()
+    got = _result(spark, out, ("window_start", "event_type", "event_count"))
+    # 00:00:30 is older than the watermark (00:00:59) but its window is still open: counted.
+    # 00:02:30 moves the watermark to 00:02:25, closing window 00:01 as well.
+    assert got == [(_t(0), "VIEW", 2), (_t(1), "VIEW", 1)]
+
+
+def test_restart_resumes_without_duplicates(spark, tmp_path):
+    topic, out, ck = Topic(tmp_path / "topic"), str(tmp_path / "out"), str(tmp_path / "ck")
+    topic.publish([("00:00:01", "a"), ("00:00:02", "a")])
+    topic.publish([("00:01:10", "b")])
+    once = {"availableNow": True}
+    q = jobs.start_event_type_counts(_good(spark, topic), sinks.TableSink(out), ck, trigger=once)
+    q.awaitTermination()
+    first = _result(spark, out, ("window_start", "event_type", "event_count"))
+    assert first == [(_t(0), "VIEW", 2)]
+    topic.publish([("00:02:10", "b")])
+    q = jobs.start_event_type_counts(_good(spark, topic), sinks.TableSink(out), ck, trigger=once)
+    q.awaitTermination()
+    got = _result(spark, out, ("window_start", "event_type", "event_count"))
+    assert got == [(_t(0), "VIEW", 2), (_t(1), "CART", 1)]
+
+
+def test_table_sink_replay_is_idempotent(spark, tmp_path):
+    out = str(tmp_path / "out")
+    sink = sinks.TableSink(out)
+    batch = spark.createDataFrame([(1, "x")], "n int, s string")
+    sink(batch, 3)
+    sink(batch, 3)
+    assert spark.read.parquet(out).count() == 1
+
+
+def test_streaming_top_n_matches_batch_on_closed_windows(spark, tmp_path):
+    topic, out = Topic(tmp_path / "topic"), str(tmp_path / "out")
+    cats = ["a"] * 4 + ["b"] * 3 + ["c"] * 3 + [None, "unknown"] + [""] * 2 + ["z"]
+    topic.publish([(f"00:00:{i:02d}", "a", c) for i, c in enumerate(cats)])
+    topic.publish([("00:01:01", "a", "x"), ("00:01:02", "b", "y"), ("00:01:03", "b", "y")])
+    topic.publish([("00:02:30", "a", "q")])
+    q = jobs.start_category_top_n(_good(spark, topic), sinks.TableSink(out), str(tmp_path / "ck"))
+    drain(q)
+    q.stop()
+    got = _result(spark, out, ("window_start", "rank", "category_code", "event_count"))
+    assert got == [(_t(0), 1, "a", 4), (_t(0), 2, "b", 3), (_t(0), 3, "c", 3), (_t(0), 4, "", 2),
+                   (_t(0), 5, "unknown", 2), (_t(1), 1, "y", 2), (_t(1), 2, "x", 1)]
+
+
+def test_silent_input_does_not_hold_windows(spark, tmp_path):
+    busy, silent, out = Topic(tmp_path / "busy"), Topic(tmp_path / "silent"), str(tmp_path / "out")
+    busy.publish([("00:00:01", "a")])
+    silent.publish([("00:00:02", "b")])
+    merged = jobs.merge_inputs(_good(spark, busy), _good(spark, silent))
+    q = jobs.start_event_type_counts(merged, sinks.TableSink(out), str(tmp_path / "ck"))
+    q.processAllAvailable()
+    busy.publish([("00:01:30", "a")])  # only one input moves on
+    drain(q)
+    q.stop()
+    got = _result(spark, out, ("window_start", "event_type", "event_count"))
+    assert got == [(_t(0), "CART", 1), (_t(0), "VIEW", 1)]
+
+
+def test_fan_out_writes_table_and_lines_once(spark, tmp_path):
+    topic = Topic(tmp_path / "topic")
+    table, lines = str(tmp_path / "table"), str(tmp_path / "lines")
+    topic.publish([("00:00:01", "a"), ("00:00:02", "b")])
+    topic.publish([("00:01:30", "a")])
+    fan = sinks.FanOut(sinks.TableSink(table), sinks.count_lines_sink(lines))
+    q = jobs.start_event_type_counts(_good(spark, topic), fan, str(tmp_path / "ck"))
+    drain(q)
+    q.stop()
+    assert _result(spark, table, ("event_type", "event_count")) == [("CART", 1), ("VIEW", 1)]
+    text = sorted(r.value for r in spark.read.text(lines).collect())
+    assert text == ["[2024-01-01 00:00:00 - 2024-01-01 00:01:00] CART: 1",
+                    "[2024-01-01 00:00:00 - 2024-01-01 00:01:00] VIEW: 1"]
+
+
+def test_rejects_and_audit_stream(spark, tmp_path):
+    from tidemark.sources.topic import audit_lines, record_rejects
+    topic = Topic(tmp_path / "topic")
+    topic.publish([("00:00:01", "a"), ("00:00:02", "remove")])
+    decoded = decode_records(read_records(spark, path=topic.path, stream=True))
+    rej_out, audit_out = str(tmp_path / "rej"), str(tmp_path / "audit")
+    q1 = jobs.start_passthrough(record_rejects(decoded), sinks.TableSink(rej_out), str(tmp_path / "ck1"))
+    q2 = jobs.start_passthrough(audit_lines(decoded), sinks.TableSink(audit_out), str(tmp_path / "ck2"))
+    q1.processAllAvailable()
+    q2.processAllAvailable()
+    q1.stop()
+    q2.stop()
+    (rej,) = spark.read.parquet(rej_out).collect()
+    assert (rej.partition, rej.offset, rej.reason) == (0, 1, "unknown_event_type")
+    (aud,) = spark.read.parquet(audit_out).collect()
+    assert aud.line.startswith('partition=0 offset=0 key=7 event={"eventTime":1704067201.000000000')
+
+
+def test_replay_trigger_rate():
+    trigger, per_trigger = jobs.replay_trigger(50, 2)
+    assert trigger == {"processingTime": "2 seconds"} and per_trigger == 100
+
+
+@pytest.mark.parametrize("bad", ["ignore"])
+def test_split_policy_validation(spark, bad):
+    df = spark.createDataFrame([("x",)], "reject_reason string")
+    with pytest.raises(ValueError):
+        split(df, on_error=bad)
+
+
+def test_spark_default_rule_would_count_the_late_row(spark, tmp_path, monkeypatch):
+    """Why the jobs set allowMultiple=false: without it the late row is counted."""
+    import contextlib
+    monkeypatch.setattr(jobs, "exact_late_rule", lambda s: contextlib.nullcontext())
+    topic, out = Topic(tmp_path / "topic"), str(tmp_path / "out")
+    for items in TIMELINE:
+        topic.publish(items)
+    q = jobs.start_event_type_counts(_good(spark, topic), sinks.TableSink(out), str(tmp_path / "ck"))
+    drain(q)
+    q.stop()
+    got = _result(spark, out, ("window_start", "event_type", "event_count"))
+    assert (_t(0), "CART", 2) in got
