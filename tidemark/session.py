@@ -59,3 +59,19 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         segs.append(uuid.uuid4().hex)
     return "/".join(segs)
+
+
+def balanced(df, min_partitions: int | None = None):
+    """Spread a scan that yields fewer partitions than the cluster can run at once.
+
+    A small table stored as one parquet row group scans in a single task,
+    and everything fused after the scan (decode, encode, validation, partial
+    aggregation) then runs on one core. Below the default parallelism the
+    rows are dealt round-robin over that many partitions; at scale, where a
+    scan already yields thousands of splits, this is a no-op and adds no
+    shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.codec import encode_event
 from tidemark.functions.scalar import user_key
 from tidemark.functions.time import text_utc
+from tidemark.session import balanced
 from tidemark.schema import EVENT_COLUMNS
 
 CATEGORY_ID_BASE = 2053013552326770000  # beyond 2^53: ids must never pass through a double
@@ -26,7 +27,8 @@ TOPIC_PARTITIONS = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One driver table, spread over the cluster's cores if its files give fewer splits."""
+    return balanced(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
