@@ -23,10 +23,38 @@ from tidemark.streaming import jobs, sinks
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_SOURCES: dict[tuple, DataFrame] = {}
+
+
+def _source(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Source frames defined once per session and table folder, shared by all queries.
+
+    A DataFrame is an immutable plan: sharing it saves rebuilding the same
+    expressions for every query; each query still reads the table in full.
+    """
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+    if key not in _SOURCES:
+        if kind == "raw":
+            _SOURCES[key] = fixtures.raw_events(spark, sf_dir)
+        elif kind == "checked":
+            _SOURCES[key] = validate.with_reject_reason(_source(spark, sf_dir, "raw"))
+        else:
+            raise KeyError(kind)
+    return _SOURCES[key]
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _source(spark, sf_dir, "raw")
+
+
+def checked_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table with ``reject_reason``."""
+    return _source(spark, sf_dir, "checked")
+
+
 def valid_events(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """The events table, validated; the good side in canonical columns."""
-    checked = validate.with_reject_reason(fixtures.raw_events(spark, sf_dir))
-    return validate.split(checked, keep=keep).good
+    return validate.split(checked_events(spark, sf_dir), keep=keep).good
 
 
 def _derived_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
@@ -91,12 +119,11 @@ def category_topn_lines(spark, sf_dir):
 # --- validation, totals, preview
 
 def rejected_events(spark, sf_dir):
-    checked = validate.with_reject_reason(fixtures.raw_events(spark, sf_dir))
-    return validate.split(checked).rejects.select("event_id", "event_type", validate.REASON)
+    return validate.split(checked_events(spark, sf_dir)).rejects.select("event_id", "event_type", validate.REASON)
 
 
 def ingest_summary(spark, sf_dir):
-    return summary.ingest_summary(validate.with_reject_reason(fixtures.raw_events(spark, sf_dir)))
+    return summary.ingest_summary(checked_events(spark, sf_dir))
 
 
 def events_preview(spark, sf_dir):
@@ -107,7 +134,7 @@ def events_preview(spark, sf_dir):
 # --- wire codec and topic records
 
 def decoded_events(spark, sf_dir):
-    records = fixtures.topic_records(fixtures.raw_events(spark, sf_dir))
+    records = fixtures.topic_records(raw_events(spark, sf_dir))
     return validate.split(topic.decode_records(records)).good
 
 
@@ -132,8 +159,7 @@ def csv_ingest(spark, sf_dir):
 
 
 def manual_requests(spark, sf_dir):
-    ev = fixtures.raw_events(spark, sf_dir)
-    req = ev.select(
+    req = raw_events(spark, sf_dir).select(
         F.col("event_type").alias("eventType"),
         F.col("product_id").cast("string").alias("productId"),
         F.col("category_id").cast("string").alias("categoryId"),
