@@ -31,8 +31,13 @@ _CASTS = {
 }
 
 
-def csv_reader(spark: SparkSession, multi_line: bool = False):
-    return (spark.read.schema(CSV_SCHEMA)
+def csv_reader(spark: SparkSession, multi_line: bool = False, stream: bool = False,
+               max_files_per_trigger: int | None = None):
+    """Reader (batch or stream) with the all-text schema and the corrupt-record column."""
+    reader = spark.readStream if stream else spark.read
+    if stream and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return (reader.schema(CSV_SCHEMA)
             .option("header", True)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
