@@ -20,10 +20,11 @@ def ingest_summary(validated: DataFrame) -> DataFrame:
     )
 
 
-def observe_ingest(validated: DataFrame, name: str = "ingest") -> DataFrame:
+def observe_ingest(validated: DataFrame, name="ingest") -> DataFrame:
     """Same totals as metrics on a running (batch or streaming) plan, no extra pass.
 
-    Read them from ``Observation.get`` (batch) or ``lastProgress.observedMetrics``.
+    ``name`` is a metric name (streaming: read ``lastProgress.observedMetrics``)
+    or a ``pyspark.sql.Observation`` (batch: read ``Observation.get``).
     """
     bad = F.col(REASON).isNotNull()
     return validated.observe(name, F.count(F.lit(1)).alias("total_records"),

@@ -53,6 +53,7 @@ class JdbcSink:
         if driver is not None:
             self.options["driver"] = driver
         self.retries, self.backoff = retries, backoff_seconds
+        self.sleep = time.sleep
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         for attempt in range(self.retries + 1):
@@ -62,7 +63,7 @@ class JdbcSink:
             except Exception:  # noqa: BLE001 - rethrown after the last attempt
                 if attempt == self.retries:
                     raise
-                time.sleep(self.backoff * (attempt + 1))
+                self.sleep(self.backoff * (attempt + 1))
 
 
 class LinesSink:
