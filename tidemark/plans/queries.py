@@ -62,26 +62,40 @@ def _derived_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
     return scratch_path(spark, "derived", f"{kind}-{digest}", unique=False)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _derive_once(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """Write a derived input at ``path`` unless it is already complete.
+
+    The data is written to a fresh sibling folder and renamed into place, so
+    concurrent callers never read a half-written folder; a caller that loses
+    the race simply uses the winner's copy.
+    """
+    fs, target = _fs(spark, path)
+    if fs.exists(_fs(spark, f"{path}/_SUCCESS")[1]):
+        return path
+    staging = scratch_path(spark, "staging")
+    write(staging)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(_fs(spark, staging)[1], target) and not fs.exists(_fs(spark, f"{path}/_SUCCESS")[1]):
+        raise RuntimeError(f"could not publish derived input at {path}")
+    return path
 
 
 def topic_replica(spark: SparkSession, sf_dir: str) -> str:
     """The events table published as topic record files (written once per table)."""
-    path = _derived_path(spark, sf_dir, "topic")
-    if not _exists(spark, f"{path}/_SUCCESS"):
-        fixtures.write_topic_files(fixtures.topic_records(fixtures.raw_events(spark, sf_dir)), path)
-    return path
+    return _derive_once(spark, _derived_path(spark, sf_dir, "topic"), lambda p: fixtures.write_topic_files(
+        fixtures.topic_records(fixtures.raw_events(spark, sf_dir)), p))
 
 
 def csv_replica(spark: SparkSession, sf_dir: str) -> str:
     """The events table written as event CSV files (written once per table)."""
-    path = _derived_path(spark, sf_dir, "csv")
-    if not _exists(spark, f"{path}/_SUCCESS"):
-        fixtures.write_event_csv(fixtures.raw_events(spark, sf_dir), path)
-    return path
+    return _derive_once(spark, _derived_path(spark, sf_dir, "csv"),
+                        lambda p: fixtures.write_event_csv(fixtures.raw_events(spark, sf_dir), p))
 
 
 # --- windowed counts and rankings

@@ -71,10 +71,12 @@ def balanced(df, min_partitions: int | None = None):
     scan already yields thousands of splits, this is a no-op and adds no
     shuffle.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the plan as is
         return df
-    return df.repartition(target)
+    return df if splits >= target else df.repartition(target)
 
 
 def cluster_conf(executor_cores_total: int) -> dict[str, str]:
