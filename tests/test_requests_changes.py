@@ -81,3 +81,9 @@ def test_streaming_change_batches_are_idempotent(spark, tmp_path):
     state = current_state(spark.read.parquet(table).drop("batch_id"))
     assert [(r.order_id, r.status) for r in state.collect()] == [(1, "paid")]
     assert spark.read.parquet(table).filter(F.col("batch_id") == 1).count() == 1
+
+
+def test_derived_change_rows_have_the_declared_schema(spark):
+    from tidemark.sources.fixtures import order_changes
+    df = order_changes(spark, "/root/testdata/sf0.001")
+    assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in ORDER_CHANGE_SCHEMA]

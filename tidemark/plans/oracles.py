@@ -141,3 +141,6 @@ ORACLES: dict[str, str] = {
         _window_counts("minute", "upper(event_type)", "event_type", "wire")),
     "stream_category_topn": f"with {_WIRE_GOOD} " + _closed(_topn("minute", "wire")),
 }
+ORACLES["stream_record_rejects"] = ORACLES["record_rejects"]
+ORACLES["stream_consumed_audit"] = ORACLES["consumed_audit"]
+ORACLES["stream_orders_current_state"] = ORACLES["orders_current_state"]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import summary, topn, validate, windows
-from tidemark.schema import CATEGORY_TOP_N_SCHEMA, EVENT_COLUMNS, EVENT_TYPE_COUNTS_SCHEMA
+from tidemark.schema import CATEGORY_TOP_N_SCHEMA, EVENT_COLUMNS, EVENT_TYPE_COUNTS_SCHEMA, ORDER_CHANGE_SCHEMA
 from tidemark.session import scratch_path
 from tidemark.sources import changes, csv_events, fixtures, requests, topic
 from tidemark.streaming import jobs, sinks
@@ -57,8 +57,12 @@ def valid_events(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -
     return validate.split(checked_events(spark, sf_dir), keep=keep).good
 
 
+# Bump when a derivation changes so stale derived inputs are never reused.
+DERIVED_VERSION = "2"
+
+
 def _derived_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
-    digest = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    digest = hashlib.sha1(f"{DERIVED_VERSION}:{sf_dir.rstrip('/')}".encode()).hexdigest()[:12]
     return scratch_path(spark, "derived", f"{kind}-{digest}", unique=False)
 
 
@@ -228,6 +232,44 @@ def stream_category_topn(spark, sf_dir):
     return _read_result(spark, out, CATEGORY_TOP_N_SCHEMA)
 
 
+def _stream_records(spark, sf_dir):
+    return topic.decode_records(topic.read_records(spark, path=topic_replica(spark, sf_dir), stream=True))
+
+
+def stream_record_rejects(spark, sf_dir):
+    """Dead letters of a running consumer (stateless stream into an idempotent table)."""
+    out = scratch_path(spark, "results", "record_rejects")
+    q = jobs.start_passthrough(topic.record_rejects(_stream_records(spark, sf_dir)), sinks.TableSink(out),
+                               scratch_path(spark, "checkpoints", "rej"), {"availableNow": True})
+    _run_to_end(q)
+    return spark.read.parquet(out).drop("batch_id")
+
+
+def stream_consumed_audit(spark, sf_dir):
+    """Audit lines of a running consumer."""
+    out = scratch_path(spark, "results", "consumed_audit")
+    q = jobs.start_passthrough(topic.audit_lines(_stream_records(spark, sf_dir)), sinks.TableSink(out),
+                               scratch_path(spark, "checkpoints", "audit"), {"availableNow": True})
+    _run_to_end(q)
+    return spark.read.parquet(out).drop("batch_id")
+
+
+def order_change_replica(spark: SparkSession, sf_dir: str) -> str:
+    """The orders table's change rows as files (a change topic, written once)."""
+    return _derive_once(spark, _derived_path(spark, sf_dir, "order-changes"),
+                        lambda p: fixtures.order_changes(spark, sf_dir).write.parquet(p))
+
+
+def stream_orders_current_state(spark, sf_dir):
+    """Change rows streamed into an append-only, batch-idempotent table; state on read."""
+    table = scratch_path(spark, "results", "order_changes")
+    feed = spark.readStream.schema(ORDER_CHANGE_SCHEMA).parquet(order_change_replica(spark, sf_dir))
+    q = jobs.start_passthrough(feed, lambda b, i: changes.append_changes(b, i, table),
+                               scratch_path(spark, "checkpoints", "orders"), {"availableNow": True})
+    _run_to_end(q)
+    return changes.current_state(spark.read.parquet(table).drop("batch_id"))
+
+
 QUERIES: dict[str, Query] = {
     "event_type_counts_1m": event_type_counts_1m,
     "event_type_counts_1h": event_type_counts_1h,
@@ -248,4 +290,7 @@ QUERIES: dict[str, Query] = {
     "orders_current_state": orders_current_state,
     "stream_event_type_counts": stream_event_type_counts,
     "stream_category_topn": stream_category_topn,
+    "stream_record_rejects": stream_record_rejects,
+    "stream_consumed_audit": stream_consumed_audit,
+    "stream_orders_current_state": stream_orders_current_state,
 }

@@ -130,7 +130,7 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
             key.cast("int").alias("order_id"),
             F.concat(F.lit("Customer#"), F.col("o_custkey").cast("string")).alias("customer_name"),
             F.concat(F.lit("priority "), F.col("o_orderpriority")).alias("product_name"),
-            amount.alias("amount"), status.alias("status"),
+            amount.cast("decimal(10,2)").alias("amount"), status.alias("status"),
             F.col("o_orderdate").alias("created_at"))
 
     steps = F.array(
@@ -149,7 +149,7 @@ changes as (
          cast(o_totalprice as decimal(10,2)) as amount, 'new' as status, o_orderdate from o
   union all
   select o_orderkey * 4 + 1, 'update', o_orderkey, o_custkey, o_orderpriority,
-         cast(o_totalprice as decimal(10,2)) + cast(10 as decimal(10,2)), o_orderstatus, o_orderdate
+         cast(cast(o_totalprice as decimal(10,2)) + 10 as decimal(10,2)), o_orderstatus, o_orderdate
   from o where o_orderkey % 3 = 1
   union all
   select o_orderkey * 4 + 1, 'delete', o_orderkey, o_custkey, o_orderpriority,
