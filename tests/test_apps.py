@@ -69,3 +69,29 @@ def test_preview_csv(spark, tmp_path, capsys):
     out = capsys.readouterr().out.strip().splitlines()
     assert len(out) == 3 and "product_id=1" in out[0] and "product_id=2" in out[1]
     assert json.loads(out[2])["rejected_records"] == 1
+
+
+def _requests(tmp_path):
+    d = tmp_path / "requests"
+    d.mkdir()
+    reqs = [
+        {"eventType": "view", "productId": "1", "categoryId": "2053013552326770905", "categoryCode": " ",
+         "brand": "acme", "price": "99.99", "userId": "5", "userSession": ""},
+        {"eventType": "remove", "productId": "1", "categoryId": "2", "categoryCode": "", "brand": "",
+         "price": "1", "userId": "5", "userSession": "s"},
+    ]
+    (d / "r.json").write_text("\n".join(json.dumps(r) for r in reqs) + "\n")
+    return str(d)
+
+
+def test_manual_requests_batch_and_stream(spark, tmp_path):
+    reqs = _requests(tmp_path)
+    for mode in ([], ["--stream", "--once", "--checkpoint", str(tmp_path / "ck")]):
+        topic_dir, rejects = str(tmp_path / f"manual{len(mode)}"), str(tmp_path / f"rej{len(mode)}")
+        main(["manual-requests", "--requests", reqs, "--topic-dir", topic_dir, "--rejects", rejects, *mode], spark)
+        (rec,) = spark.read.json(topic_dir).collect()
+        value = json.loads(rec.value)
+        assert rec.key == "5" and value["categoryCode"] is None and value["brand"] == "acme"
+        assert len(value["userSession"]) == 36 and value["categoryId"] == 2053013552326770905
+        (rej,) = spark.read.parquet(rejects).collect()
+        assert rej.reject_reason == "unknown_event_type"

@@ -4,6 +4,7 @@
     python -m tidemark topn-job    (same options)
     python -m tidemark replay-csv  --csv PATH (--topic-dir DIR | --kafka HOST:PORT) [--files-per-trigger N]
     python -m tidemark consume     --topic-dir DIR | --kafka ...  --audit PATH --rejects PATH
+    python -m tidemark manual-requests --requests DIR (--topic-dir DIR | --kafka HOST:PORT) [--rejects PATH]
     python -m tidemark preview-csv --csv PATH
     python -m tidemark orders-state --changes PATH --out PATH
 
@@ -23,9 +24,11 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import summary, validate
 from tidemark.operators.summary import category_top_n_lines, event_type_count_lines
-from tidemark.schema import EVENTS_TOPIC, MAX_DELAY, TOP_N, WINDOW
+from tidemark.schema import (EVENTS_TOPIC, MANUAL_TOPIC, MAX_DELAY, REQUEST_SCHEMA, SINK_FLUSH_INTERVAL,
+                             TOP_N, WINDOW)
 from tidemark.session import build_session, scratch_path
 from tidemark.sources import changes, csv_events, topic
+from tidemark.sources.requests import normalize_requests
 from tidemark.streaming import jobs, sinks
 
 
@@ -46,7 +49,8 @@ def _stream_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--checkpoint")
     p.add_argument("--window", default=WINDOW)
     p.add_argument("--delay", default=MAX_DELAY)
-    p.add_argument("--trigger", default=None, help="'once' (availableNow) or an interval like '5 seconds'")
+    p.add_argument("--trigger", default=None,
+                   help=f"'once' (availableNow) or an interval; default {SINK_FLUSH_INTERVAL}")
     p.add_argument("--lax", action="store_true", help="accept unknown JSON properties")
 
 
@@ -58,8 +62,8 @@ def _records(spark, args):
 
 
 def _trigger(args):
-    if not args.trigger:
-        return None
+    if not args.trigger:  # results are flushed on the sink interval by default
+        return {"processingTime": SINK_FLUSH_INTERVAL}
     if args.trigger == "once":
         return {"availableNow": True}
     return {"processingTime": args.trigger}
@@ -153,6 +157,33 @@ def consume(spark, args) -> None:
         q.awaitTermination()
 
 
+def manual_requests(spark, args) -> None:
+    """Request rows (JSON objects of eight text fields) -> the manual-events topic.
+
+    Each accepted request becomes one event stamped with the server time;
+    rejected requests go to ``--rejects`` with their reason.
+    """
+    reader = spark.readStream if args.stream else spark.read
+    requests = reader.schema(REQUEST_SCHEMA).json(args.requests)
+    checked = normalize_requests(requests)
+    publish = _publisher(args)
+
+    def write(batch, batch_id: int) -> None:
+        batch.persist()
+        try:
+            publish(validate.split(batch).good, batch_id)
+            if args.rejects:
+                sinks.TableSink(args.rejects)(validate.split(batch).rejects, batch_id)
+        finally:
+            batch.unpersist()
+
+    if args.stream:
+        ck = args.checkpoint or scratch_path(spark, "checkpoints", "manual-requests", unique=False)
+        jobs.start_passthrough(checked, write, ck, {"availableNow": True} if args.once else None).awaitTermination()
+    else:
+        write(checked, 0)
+
+
 def preview_csv(spark, args) -> None:
     checked = csv_events.read_csv_events(spark, args.csv, multi_line=args.multi_line)
     good = validate.split(checked).good
@@ -194,6 +225,17 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint")
     s.add_argument("--trigger", default=None)
     s.add_argument("--lax", action="store_true")
+    m = sub.add_parser("manual-requests")
+    m.add_argument("--requests", required=True, help="folder of request JSON files")
+    mdst = m.add_mutually_exclusive_group(required=True)
+    mdst.add_argument("--kafka")
+    mdst.add_argument("--topic-dir")
+    m.add_argument("--topic", default=MANUAL_TOPIC)
+    m.add_argument("--partitions", type=int, default=4)
+    m.add_argument("--rejects")
+    m.add_argument("--stream", action="store_true")
+    m.add_argument("--once", action="store_true", help="with --stream: drain and stop")
+    m.add_argument("--checkpoint")
     v = sub.add_parser("preview-csv")
     v.add_argument("--csv", required=True)
     v.add_argument("--rows", type=int, default=10)
@@ -205,7 +247,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 COMMANDS = {"count-job": count_job, "topn-job": topn_job, "replay-csv": replay_csv, "consume": consume,
-            "preview-csv": preview_csv, "orders-state": orders_state}
+            "manual-requests": manual_requests, "preview-csv": preview_csv, "orders-state": orders_state}
 
 
 def main(argv=None, spark=None) -> None:

@@ -14,8 +14,6 @@ EVENT_TYPES = ("view", "cart", "purchase")
 WINDOW = "1 minute"
 # Bounded out-of-orderness of the watermark.
 MAX_DELAY = "5 seconds"
-# Idle-input timeout (a silent input must not hold windows open).
-IDLE_TIMEOUT = "10 seconds"
 # Size of the per-window category ranking.
 TOP_N = 5
 # Category given to events whose category code is NULL.
@@ -28,9 +26,8 @@ SINK_MAX_RETRIES = 3
 TEXT_TIME_PATTERN = "yyyy-MM-dd HH:mm:ss"
 # CSV event time: text in TEXT_TIME_PATTERN followed by a 4-character zone suffix.
 CSV_TIME_SUFFIX_LEN = 4
-# Replay pacing of the CSV producer and its progress interval.
+# Replay pacing of the CSV producer.
 REPLAY_EVENTS_PER_SECOND = 50
-PROGRESS_EVERY = 1000
 # Rows shown by the parser preview.
 PREVIEW_ROWS = 10
 # Default topic names.

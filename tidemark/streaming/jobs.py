@@ -9,7 +9,8 @@ has a single stateful operator), which applies the drop at the same
 boundary the watermark closes the window.
 
 Idle inputs: the watermark is applied once, after inputs are merged, so it
-follows the global maximum and a silent input never holds windows open.
+follows the global maximum and a silent input (or a silent topic partition)
+never holds windows open; no idle timeout needs configuring.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.time import to_instant
 from tidemark.operators.topn import top_n_per_window
 from tidemark.operators.windows import category_counts, event_type_counts
-from tidemark.schema import MAX_DELAY, TOP_N, UNKNOWN_CATEGORY, WINDOW
+from tidemark.schema import MAX_DELAY, REPLAY_EVENTS_PER_SECOND, TOP_N, UNKNOWN_CATEGORY, WINDOW
 from tidemark.streaming.sinks import BatchSink
 
 LATE_RULE_CONF = "spark.sql.streaming.statefulOperator.allowMultiple"
@@ -117,7 +118,8 @@ def start_passthrough(frame: DataFrame, sink: BatchSink, checkpoint: str,
     return writer.start()
 
 
-def replay_trigger(events_per_second: int, interval_seconds: int = 1) -> tuple[dict, int]:
+def replay_trigger(events_per_second: int = REPLAY_EVENTS_PER_SECOND,
+                   interval_seconds: int = 1) -> tuple[dict, int]:
     """Bounded-rate replay: a processing-time trigger and the records per trigger
     (``maxOffsetsPerTrigger`` for Kafka) that together give the rate."""
     return {"processingTime": f"{interval_seconds} seconds"}, events_per_second * interval_seconds
