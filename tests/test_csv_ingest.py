@@ -84,3 +84,9 @@ def test_on_error_fail_raises(spark, tmp_path):
     df = _read(spark, tmp_path, f"2019-10-01 00:00:00 UTC,remove,1,{CAT},c,b,1.0,1,s\n")
     with pytest.raises(Exception, match="unknown_event_type"):
         split(df, on_error="fail").good.collect()
+
+
+def test_reject_keeps_raw_record(spark, tmp_path):
+    df = _read(spark, tmp_path, f"2019-10-01 00:00:00 UTC,remove,1,{CAT},,,1.0,1,s\n")
+    (r,) = split(df).rejects.collect()
+    assert r.raw_record == f"2019-10-01 00:00:00 UTC,remove,1,{CAT},,,1.0,1,s"

@@ -53,7 +53,7 @@ def type_csv(raw: DataFrame) -> DataFrame:
     """
     raw = fence(raw, **{n: F.col(n) for n in CSV_SCHEMA.fieldNames()})
     typed = [_CASTS[n](F.col(n)).alias(n) for n in EVENT_COLUMNS]
-    raw_cols = [F.col(n) for n in EVENT_COLUMNS]
+    raw_cols = [F.coalesce(F.col(n), F.lit("")) for n in EVENT_COLUMNS]  # keep field positions
     short = F.col(CORRUPT_COLUMN).isNotNull() & F.col("user_session").isNull()
     checks = [(short, "short_row")]
     for name in ("event_time", "event_type", "product_id", "category_id", "price", "user_id"):

@@ -18,7 +18,11 @@ from tidemark.schema import EVENT_COLUMNS
 
 
 def normalize_requests(requests: DataFrame, now: Column | None = None) -> DataFrame:
-    """Request rows -> canonical events + ``reject_reason`` (+ the request columns kept)."""
+    """Request rows -> canonical events + ``reject_reason``.
+
+    ``now`` defaults to ``current_timestamp()``: one server time per query or
+    micro-batch (the original stamps each request as it arrives).
+    """
     now = F.current_timestamp() if now is None else now
     c = F.col
     typed = {
