@@ -44,17 +44,26 @@ def _good(spark, topic):
     return split(decode_records(records)).good
 
 
-def drain(q, settle=0.3, rounds=40):
-    """Process all input, including the no-data batches that evict closed windows."""
+def drain(q, settle=0.3, quiet_checks=3, max_rounds=100):
+    """Process all input, including the no-data batches that evict closed windows.
+
+    Settled = several consecutive checks with no new progress, no trigger
+    running and no data reported available.
+    """
     import time
-    seen = -1
-    for _ in range(rounds):
+    quiet, seen = 0, -1
+    for _ in range(max_rounds):
         q.processAllAvailable()
         time.sleep(settle)
-        n = len(q.recentProgress)
-        if n == seen and not q.status["isTriggerActive"]:
-            return
+        status, n = q.status, len(q.recentProgress)
+        if n == seen and not status["isTriggerActive"] and not status["isDataAvailable"]:
+            quiet += 1
+            if quiet >= quiet_checks:
+                return
+        else:
+            quiet = 0
         seen = n
+    raise AssertionError("stream did not settle")
 
 
 def _result(spark, path, cols):
