@@ -39,6 +39,8 @@ def _source_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--topic", default=EVENTS_TOPIC)
     p.add_argument("--max-per-trigger", type=int, default=None,
                    help="records (Kafka) or files per micro-batch")
+    p.add_argument("--topic-format", default="json", choices=["json", "parquet"],
+                   help="envelope file format of --topic-dir")
 
 
 def _stream_args(p: argparse.ArgumentParser) -> None:
@@ -58,7 +60,8 @@ def _records(spark, args):
     if args.kafka:
         opts = topic.kafka_options(args.kafka, args.topic, max_offsets_per_trigger=args.max_per_trigger)
         return topic.read_records(spark, options=opts)
-    return topic.read_records(spark, path=args.topic_dir, max_files_per_trigger=args.max_per_trigger)
+    return topic.read_records(spark, path=args.topic_dir, max_files_per_trigger=args.max_per_trigger,
+                              fmt=args.topic_format)
 
 
 def _trigger(args):
@@ -115,7 +118,7 @@ def _publisher(args):
             F.pmod(F.hash("key"), F.lit(args.partitions)).cast("int").alias("partition"),
             (F.lit(batch_id).cast("bigint") * F.lit(1 << 40) + F.monotonically_increasing_id()).alias("offset"),
             "key", "value")
-        records.write.mode("append").json(args.topic_dir)
+        records.write.mode("append").format(getattr(args, "topic_format", "json")).save(args.topic_dir)
 
     return publish
 
@@ -212,6 +215,7 @@ def parser() -> argparse.ArgumentParser:
     dst.add_argument("--topic-dir")
     r.add_argument("--topic", default=EVENTS_TOPIC)
     r.add_argument("--partitions", type=int, default=4)
+    r.add_argument("--topic-format", default="json", choices=["json", "parquet"])
     r.add_argument("--multi-line", action="store_true")
     r.add_argument("--on-error", default="reject", choices=["reject", "fail"])
     r.add_argument("--files-per-trigger", type=int, default=None)
@@ -232,6 +236,7 @@ def parser() -> argparse.ArgumentParser:
     mdst.add_argument("--topic-dir")
     m.add_argument("--topic", default=MANUAL_TOPIC)
     m.add_argument("--partitions", type=int, default=4)
+    m.add_argument("--topic-format", default="json", choices=["json", "parquet"])
     m.add_argument("--rejects")
     m.add_argument("--stream", action="store_true")
     m.add_argument("--once", action="store_true", help="with --stream: drain and stop")

@@ -91,9 +91,9 @@ def topic_records(events: DataFrame, partitions: int = TOPIC_PARTITIONS) -> Data
     )
 
 
-def write_topic_files(records: DataFrame, path: str) -> str:
-    """Envelope JSON files (one directory = one replayable topic)."""
-    records.write.mode("overwrite").json(path)
+def write_topic_files(records: DataFrame, path: str, fmt: str = "json") -> str:
+    """Envelope files (one directory = one replayable topic), JSON lines or parquet."""
+    records.write.mode("overwrite").format(fmt).save(path)
     return path
 
 

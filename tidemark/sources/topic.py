@@ -31,11 +31,14 @@ def kafka_options(bootstrap: str, topic: str = EVENTS_TOPIC, starting_offsets: s
 
 
 def read_records(spark: SparkSession, *, path: str | None = None, options: dict | None = None,
-                 stream: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
+                 stream: bool = True, max_files_per_trigger: int | None = None,
+                 fmt: str = "json") -> DataFrame:
     """Topic records as ``partition, offset, key, value`` (value as text).
 
     With ``options`` the Kafka source is used; with ``path`` the records are
-    read from envelope JSON files.
+    read from envelope files, JSON lines (``fmt="json"``) or columnar
+    (``fmt="parquet"``, where ``value`` is a plain column as Kafka delivers
+    it, so only the event itself is parsed).
     """
     reader = spark.readStream if stream else spark.read
     if options is not None:
@@ -47,7 +50,7 @@ def read_records(spark: SparkSession, *, path: str | None = None, options: dict
     reader = reader.schema(ENVELOPE_SCHEMA)
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path)
+    return reader.format(fmt).load(path)
 
 
 def decode_records(records: DataFrame, strict: bool = True) -> DataFrame:
