@@ -90,3 +90,11 @@ def test_reject_keeps_raw_record(spark, tmp_path):
     df = _read(spark, tmp_path, f"2019-10-01 00:00:00 UTC,remove,1,{CAT},,,1.0,1,s\n")
     (r,) = split(df).rejects.collect()
     assert r.raw_record == f"2019-10-01 00:00:00 UTC,remove,1,{CAT},,,1.0,1,s"
+
+
+def test_blank_lines_are_skipped(spark, tmp_path):
+    body = (f"2019-10-01 00:00:00 UTC,view,1,{CAT},c,b,1.0,1,s\n\n"
+            f"2019-10-01 00:00:01 UTC,view,2,{CAT},c,b,1.0,1,s\n")
+    df = _read(spark, tmp_path, body)
+    assert sorted(r.product_id for r in split(df).good.collect()) == [1, 2]
+    assert split(df).rejects.count() == 0

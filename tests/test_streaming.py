@@ -111,6 +111,9 @@ def test_late_row_in_closing_batch_is_dropped(spark, tmp_path):
     q.stop()
     got = _result(spark, out, ("window_start", "event_type", "event_count"))
     assert got == [(_t(0), "CART", 1), (_t(0), "VIEW", 1), (_t(1), "CART", 2), (_t(1), "VIEW", 1)]
+    summary = jobs.progress_summary(q)
+    assert summary["input_rows"] == 8 and summary["rows_dropped_late"] == 2  # 00:00:40 b and 00:00:41 b
+    assert summary["watermark"].startswith("2024-01-01T00:02:55")
 
 
 def test_event_older_than_watermark_in_open_window_counts(spark, tmp_path):

@@ -96,6 +96,7 @@ def count_job(spark, args) -> None:
     q = jobs.start_event_type_counts(good, _sinks(args, event_type_count_lines), ck, args.window,
                                      args.delay, trigger=_trigger(args), query_name="event_type_counts")
     q.awaitTermination()
+    print(json.dumps(jobs.progress_summary(q)))
 
 
 def topn_job(spark, args) -> None:
@@ -104,6 +105,7 @@ def topn_job(spark, args) -> None:
     q = jobs.start_category_top_n(good, _sinks(args, category_top_n_lines), ck, args.window, args.delay,
                                   n=args.n, trigger=_trigger(args), query_name="category_top_n")
     q.awaitTermination()
+    print(json.dumps(jobs.progress_summary(q)))
 
 
 def _publisher(args):

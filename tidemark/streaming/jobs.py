@@ -123,3 +123,22 @@ def replay_trigger(events_per_second: int = REPLAY_EVENTS_PER_SECOND,
     """Bounded-rate replay: a processing-time trigger and the records per trigger
     (``maxOffsetsPerTrigger`` for Kafka) that together give the rate."""
     return {"processingTime": f"{interval_seconds} seconds"}, events_per_second * interval_seconds
+
+
+def progress_summary(query: StreamingQuery) -> dict:
+    """Totals over a query's retained progress reports.
+
+    Rows read, micro-batches, the last event-time watermark, and rows dropped
+    as late by the stateful operator (the late-data rule made visible).
+    """
+    reports = query.recentProgress
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
+                  for p in reports for op in p.get("stateOperators", []))
+    watermark = next((p["eventTime"].get("watermark") for p in reversed(reports)
+                      if p.get("eventTime", {}).get("watermark")), None)
+    return {
+        "batches": len(reports),
+        "input_rows": sum(p.get("numInputRows", 0) for p in reports),
+        "rows_dropped_late": dropped,
+        "watermark": watermark,
+    }
