@@ -54,6 +54,8 @@ def _stream_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--trigger", default=None,
                    help=f"'once' (availableNow) or an interval; default {SINK_FLUSH_INTERVAL}")
     p.add_argument("--lax", action="store_true", help="accept unknown JSON properties")
+    p.add_argument("--state-partitions", type=int, default=None,
+                   help="state-store partitions when the query first starts (default: cluster cores)")
 
 
 def _records(spark, args):
@@ -94,7 +96,8 @@ def count_job(spark, args) -> None:
     good = validate.split(topic.decode_records(_records(spark, args), strict=not args.lax)).good
     ck = args.checkpoint or scratch_path(spark, "checkpoints", "count-job", unique=False)
     q = jobs.start_event_type_counts(good, _sinks(args, event_type_count_lines), ck, args.window,
-                                     args.delay, trigger=_trigger(args), query_name="event_type_counts")
+                                     args.delay, trigger=_trigger(args), query_name="event_type_counts",
+                                     state_partitions=args.state_partitions or spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     print(json.dumps(jobs.progress_summary(q)))
 
@@ -103,7 +106,8 @@ def topn_job(spark, args) -> None:
     good = validate.split(topic.decode_records(_records(spark, args), strict=not args.lax)).good
     ck = args.checkpoint or scratch_path(spark, "checkpoints", "topn-job", unique=False)
     q = jobs.start_category_top_n(good, _sinks(args, category_top_n_lines), ck, args.window, args.delay,
-                                  n=args.n, trigger=_trigger(args), query_name="category_top_n")
+                                  n=args.n, trigger=_trigger(args), query_name="category_top_n",
+                                  state_partitions=args.state_partitions or spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     print(json.dumps(jobs.progress_summary(q)))
 

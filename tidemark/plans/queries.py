@@ -207,6 +207,11 @@ def _stream_good(spark, sf_dir):
     return validate.split(topic.decode_records(records)).good
 
 
+def _cores(spark: SparkSession) -> int:
+    """State partitions for a new streaming query: one per core the cluster runs at once."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _run_to_end(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
@@ -222,7 +227,7 @@ def stream_event_type_counts(spark, sf_dir):
     out = scratch_path(spark, "results", "event_type_counts")
     q = jobs.start_event_type_counts(
         _stream_good(spark, sf_dir), sinks.TableSink(out), scratch_path(spark, "checkpoints", "etc"),
-        trigger={"availableNow": True})
+        trigger={"availableNow": True}, state_partitions=_cores(spark))
     _run_to_end(q)
     return _read_result(spark, out, EVENT_TYPE_COUNTS_SCHEMA)
 
@@ -231,7 +236,7 @@ def stream_category_topn(spark, sf_dir):
     out = scratch_path(spark, "results", "category_top_n")
     q = jobs.start_category_top_n(
         _stream_good(spark, sf_dir), sinks.TableSink(out), scratch_path(spark, "checkpoints", "ctn"),
-        trigger={"availableNow": True})
+        trigger={"availableNow": True}, state_partitions=_cores(spark))
     _run_to_end(q)
     return _read_result(spark, out, CATEGORY_TOP_N_SCHEMA)
 

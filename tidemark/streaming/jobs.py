@@ -31,20 +31,29 @@ INSTANT = "event_instant"
 
 
 @contextmanager
-def exact_late_rule(spark):
-    """Start queries with the exact drop boundary; restore the session afterwards.
+def start_settings(spark, settings: dict[str, str]):
+    """Session settings for starting a query, restored afterwards.
 
-    The setting is captured by each query when it starts.
+    A streaming query copies the session's settings when it starts, so these
+    apply to it alone (and settings recorded in its checkpoint, like the state
+    partition count, keep their first value on every restart).
     """
-    previous = spark.conf.get(LATE_RULE_CONF, None)
-    spark.conf.set(LATE_RULE_CONF, "false")
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if previous is None:
-            spark.conf.unset(LATE_RULE_CONF)
-        else:
-            spark.conf.set(LATE_RULE_CONF, previous)
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def exact_late_rule(spark, extra: dict[str, str] | None = None):
+    """Start queries with the exact drop boundary (plus any ``extra`` settings)."""
+    return start_settings(spark, {LATE_RULE_CONF: "false", **(extra or {})})
 
 
 def merge_inputs(*streams: DataFrame) -> DataFrame:
@@ -70,28 +79,38 @@ def category_count_stream(events: DataFrame, length: str = WINDOW, delay: str =
 
 
 def _start(frame: DataFrame, sink: BatchSink, checkpoint: str, trigger: dict | None,
-           query_name: str | None) -> StreamingQuery:
+           query_name: str | None, state_partitions: int | None = None) -> StreamingQuery:
+    """Start an append-mode stateful query.
+
+    ``state_partitions`` fixes the number of state-store partitions (the
+    shuffle partitions of the stateful exchange) for the life of the
+    checkpoint; AQE does not resize stateful shuffles, so size it to the
+    cluster's cores rather than inheriting a generic default.
+    """
     writer = (frame.writeStream.outputMode("append").foreachBatch(sink)
               .option("checkpointLocation", checkpoint))
     if trigger:
         writer = writer.trigger(**trigger)
     if query_name:
         writer = writer.queryName(query_name)
-    with exact_late_rule(frame.sparkSession):
+    extra = {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else None
+    with exact_late_rule(frame.sparkSession, extra):
         return writer.start()
 
 
 def start_event_type_counts(events: DataFrame, sink: BatchSink, checkpoint: str,
                             length: str = WINDOW, delay: str = MAX_DELAY,
-                            trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
+                            trigger: dict | None = None, query_name: str | None = None,
+                            state_partitions: int | None = None) -> StreamingQuery:
     """Counts per (window, event type), each window written once when it closes."""
-    return _start(event_type_count_stream(events, length, delay), sink, checkpoint, trigger, query_name)
+    return _start(event_type_count_stream(events, length, delay), sink, checkpoint, trigger, query_name,
+                  state_partitions)
 
 
 def start_category_top_n(events: DataFrame, sink: BatchSink, checkpoint: str,
                          length: str = WINDOW, delay: str = MAX_DELAY, n: int = TOP_N,
                          fallback: str = UNKNOWN_CATEGORY, trigger: dict | None = None,
-                         query_name: str | None = None) -> StreamingQuery:
+                         query_name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Top-n categories per window.
 
     The stateful part is the distributed count per (window, category); the
@@ -104,7 +123,7 @@ def start_category_top_n(events: DataFrame, sink: BatchSink, checkpoint: str,
     def rank_then_write(batch: DataFrame, batch_id: int) -> None:
         sink(top_n_per_window(batch, n), batch_id)
 
-    return _start(counts, rank_then_write, checkpoint, trigger, query_name)
+    return _start(counts, rank_then_write, checkpoint, trigger, query_name, state_partitions)
 
 
 def start_passthrough(frame: DataFrame, sink: BatchSink, checkpoint: str,
