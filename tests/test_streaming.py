@@ -232,7 +232,7 @@ def test_split_policy_validation(spark, bad):
 def test_spark_default_rule_would_count_the_late_row(spark, tmp_path, monkeypatch):
     """Why the jobs set allowMultiple=false: without it the late row is counted."""
     import contextlib
-    monkeypatch.setattr(jobs, "exact_late_rule", lambda s: contextlib.nullcontext())
+    monkeypatch.setattr(jobs, "exact_late_rule", lambda s, extra=None: contextlib.nullcontext())
     topic, out = Topic(tmp_path / "topic"), str(tmp_path / "out")
     for items in TIMELINE:
         topic.publish(items)
