@@ -90,5 +90,7 @@ def decode_events(df: DataFrame, value_col: str = "value", strict: bool = True,
     if strict:
         checks.append((F.col("_unknown"), "unknown_property"))
     checks += typed_checks(lambda n: ev.getField(n), required=("event_time", "event_type"))
-    return staged.select(*keep, *[ev.getField(n).alias(n) for n in EVENT_COLUMNS],
-                         first_reason(checks).alias("reject_reason"))
+    # The reason is fenced too: the reject split then filters on a plain column
+    # instead of re-deriving the event and its checks inside the filter.
+    staged = fence(staged, list(keep), _event=ev, reject_reason=first_reason(checks))
+    return staged.select(*keep, *[ev.getField(n).alias(n) for n in EVENT_COLUMNS], "reject_reason")

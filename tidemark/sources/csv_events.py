@@ -50,10 +50,11 @@ def type_csv(raw: DataFrame) -> DataFrame:
 
     The raw row is fenced first: the parser then always tokenizes all nine
     fields, so a short or long row is flagged whichever columns are used.
+    The typed values and the reason are fenced as well, so the reject split
+    filters on a plain column instead of parsing times and numbers again.
     """
     raw = fence(raw, **{n: F.col(n) for n in CSV_SCHEMA.fieldNames()})
-    typed = [_CASTS[n](F.col(n)).alias(n) for n in EVENT_COLUMNS]
-    raw_cols = [F.coalesce(F.col(n), F.lit("")) for n in EVENT_COLUMNS]  # keep field positions
+    typed = {n: _CASTS[n](F.col(n)) for n in EVENT_COLUMNS}
     short = F.col(CORRUPT_COLUMN).isNotNull() & F.col("user_session").isNull()
     checks = [(short, "short_row")]
     for name in ("event_time", "event_type", "product_id", "category_id", "price", "user_id"):
@@ -61,9 +62,10 @@ def type_csv(raw: DataFrame) -> DataFrame:
         if name == "event_type":
             checks += typed_checks(F.col, required=(name,))[1:]
         else:
-            checks.append((_CASTS[name](F.col(name)).isNull(), f"bad_{name}"))
+            checks.append((typed[name].isNull(), f"bad_{name}"))
+    raw_cols = [F.coalesce(F.col(n), F.lit("")) for n in EVENT_COLUMNS]  # keep field positions
     raw_record = F.coalesce(F.col(CORRUPT_COLUMN), F.concat_ws(",", *raw_cols))
-    return raw.select(*typed, first_reason(checks).alias(REASON), raw_record.alias("raw_record"))
+    return fence(raw, **typed, **{REASON: first_reason(checks), "raw_record": raw_record})
 
 
 def read_csv_events(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
