@@ -95,3 +95,21 @@ def test_manual_requests_batch_and_stream(spark, tmp_path):
         assert len(value["userSession"]) == 36 and value["categoryId"] == 2053013552326770905
         (rej,) = spark.read.parquet(rejects).collect()
         assert rej.reject_reason == "unknown_event_type"
+
+
+def test_count_job_dead_letters_and_fail_policy(spark, tmp_path):
+    topic_dir = tmp_path / "topic"
+    topic_dir.mkdir()
+    good = ('{"eventTime":1704067201,"eventType":"view","productId":1,"categoryId":2,"categoryCode":null,'
+            '"brand":null,"price":1,"userId":7,"userSession":"s"}')
+    with open(topic_dir / "b0.json", "w") as f:
+        for i, v in enumerate([good, "{oops"]):
+            f.write(json.dumps({"partition": 0, "offset": i, "key": "7", "value": v}) + "\n")
+    rejects = str(tmp_path / "rejects")
+    main(["count-job", "--topic-dir", str(topic_dir), "--sink", f"table:{tmp_path / 'counts'}",
+          "--rejects", rejects, "--trigger", "once", "--checkpoint", str(tmp_path / "ck")], spark)
+    assert [(r.offset, r.reason) for r in spark.read.parquet(rejects).collect()] == [(1, "malformed_json")]
+    import pytest
+    with pytest.raises(Exception, match="malformed_json"):
+        main(["count-job", "--topic-dir", str(topic_dir), "--sink", f"table:{tmp_path / 'c2'}",
+              "--on-error", "fail", "--trigger", "once", "--checkpoint", str(tmp_path / "ck2")], spark)

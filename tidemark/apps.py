@@ -54,6 +54,9 @@ def _stream_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--trigger", default=None,
                    help=f"'once' (availableNow) or an interval; default {SINK_FLUSH_INTERVAL}")
     p.add_argument("--lax", action="store_true", help="accept unknown JSON properties")
+    p.add_argument("--on-error", default="reject", choices=["reject", "fail"],
+                   help="reject: set bad records aside; fail: stop on the first one")
+    p.add_argument("--rejects", help="table path for dead letters (a companion query)")
     p.add_argument("--state-partitions", type=int, default=None,
                    help="state-store partitions when the query first starts (default: cluster cores)")
 
@@ -92,23 +95,38 @@ def _sinks(args, render):
     return built[0] if len(built) == 1 else sinks.FanOut(*built)
 
 
+def _good_events(spark, args, ck: str):
+    """Decoded good events, plus the dead-letter query writing ``--rejects`` (if asked)."""
+    decoded = topic.decode_records(_records(spark, args), strict=not args.lax)
+    companions = []
+    if args.rejects:
+        companions.append(jobs.start_passthrough(topic.record_rejects(decoded), sinks.TableSink(args.rejects),
+                                                 f"{ck}-rejects", _trigger(args)))
+    return validate.split(decoded, on_error=args.on_error).good, companions
+
+
+def _await(*queries) -> None:
+    for q in queries:
+        q.awaitTermination()
+
+
 def count_job(spark, args) -> None:
-    good = validate.split(topic.decode_records(_records(spark, args), strict=not args.lax)).good
     ck = args.checkpoint or scratch_path(spark, "checkpoints", "count-job", unique=False)
+    good, companions = _good_events(spark, args, ck)
     q = jobs.start_event_type_counts(good, _sinks(args, event_type_count_lines), ck, args.window,
                                      args.delay, trigger=_trigger(args), query_name="event_type_counts",
                                      state_partitions=args.state_partitions or spark.sparkContext.defaultParallelism)
-    q.awaitTermination()
+    _await(q, *companions)
     print(json.dumps(jobs.progress_summary(q)))
 
 
 def topn_job(spark, args) -> None:
-    good = validate.split(topic.decode_records(_records(spark, args), strict=not args.lax)).good
     ck = args.checkpoint or scratch_path(spark, "checkpoints", "topn-job", unique=False)
+    good, companions = _good_events(spark, args, ck)
     q = jobs.start_category_top_n(good, _sinks(args, category_top_n_lines), ck, args.window, args.delay,
                                   n=args.n, trigger=_trigger(args), query_name="category_top_n",
                                   state_partitions=args.state_partitions or spark.sparkContext.defaultParallelism)
-    q.awaitTermination()
+    _await(q, *companions)
     print(json.dumps(jobs.progress_summary(q)))
 
 
