@@ -33,6 +33,18 @@ def test_query_matches_oracle(spark, con, name):
     assert digest(df.columns, s_rows)[0] == digest(o_cols, o_rows)[0]
 
 
+_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_column_types_match_oracle(spark, con, name):
+    df = queries()[name](spark, SF)
+    spark_types = {f.name: _DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+                   for f in df.schema}
+    rel = con.sql(oracle_sql()[name])
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+
+
 def test_entry_smoke(spark):
     df = entry(spark)
     assert df.columns == ["window_start", "window_end", "rank", "category_code", "event_count"]

@@ -128,7 +128,8 @@ ORACLES: dict[str, str] = {
         "case when trim(categoryCode) = '' then null else categoryCode end as category_code, "
         "case when trim(brand, ' ' || chr(9)) = '' then null else brand end as brand, "
         "try_cast(price as decimal(38,18)) as price, try_cast(userId as bigint) as user_id, "
-        "case when trim(userSession) = '' then 36 else length(userSession) end as session_length, "
+        "cast(case when trim(userSession) = '' then 36 else length(userSession) end as integer) "
+        "as session_length, "
         "case when eventType is null or eventType not in " + _TYPES + " then 'unknown_event_type' "
         "when productId is null then 'bad_product_id' when categoryId is null then 'bad_category_id' "
         "when price is null then 'bad_price' when userId is null then 'bad_user_id' end as reject_reason "
