@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import summary, validate
 from tidemark.operators.summary import category_top_n_lines, event_type_count_lines
-from tidemark.schema import (EVENTS_TOPIC, MANUAL_TOPIC, MAX_DELAY, REQUEST_SCHEMA, SINK_FLUSH_INTERVAL,
+from tidemark.schema import (CONSUMER_POLL_INTERVAL, EVENTS_TOPIC, MANUAL_TOPIC, MAX_DELAY, REQUEST_SCHEMA, SINK_FLUSH_INTERVAL,
                              TOP_N, WINDOW)
 from tidemark.session import build_session, scratch_path
 from tidemark.sources import changes, csv_events, topic
@@ -69,9 +69,9 @@ def _records(spark, args):
                               fmt=args.topic_format)
 
 
-def _trigger(args):
+def _trigger(args, default: str = SINK_FLUSH_INTERVAL):
     if not args.trigger:  # results are flushed on the sink interval by default
-        return {"processingTime": SINK_FLUSH_INTERVAL}
+        return {"processingTime": default}
     if args.trigger == "once":
         return {"availableNow": True}
     return {"processingTime": args.trigger}
@@ -176,10 +176,11 @@ def consume(spark, args) -> None:
     decoded = topic.decode_records(_records(spark, args), strict=not args.lax)
     base = args.checkpoint or scratch_path(spark, "checkpoints", "consume", unique=False)
     audit = sinks.TableSink(args.audit) if args.audit else sinks.ConsoleSink(sinks.lines_column)
-    queries = [jobs.start_passthrough(topic.audit_lines(decoded), audit, f"{base}/audit", _trigger(args))]
+    trigger = _trigger(args, CONSUMER_POLL_INTERVAL)
+    queries = [jobs.start_passthrough(topic.audit_lines(decoded), audit, f"{base}/audit", trigger)]
     if args.rejects:
         queries.append(jobs.start_passthrough(topic.record_rejects(decoded), sinks.TableSink(args.rejects),
-                                              f"{base}/rejects", _trigger(args)))
+                                              f"{base}/rejects", trigger))
     for q in queries:
         q.awaitTermination()
 

@@ -22,6 +22,8 @@ UNKNOWN_CATEGORY = "unknown"
 SINK_BATCH_ROWS = 100
 SINK_FLUSH_INTERVAL = "5 seconds"
 SINK_MAX_RETRIES = 3
+# Poll timeout of the plain consumer (its micro-batch interval here).
+CONSUMER_POLL_INTERVAL = "1 second"
 # Text rendering of window bounds (UTC).
 TEXT_TIME_PATTERN = "yyyy-MM-dd HH:mm:ss"
 # CSV event time: text in TEXT_TIME_PATTERN followed by a 4-character zone suffix.
