@@ -105,3 +105,21 @@ def test_decode_is_zone_independent(spark):
         assert "2019-10-01T00:00:00.5" in text
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+@pytest.mark.parametrize("text,expected", [
+    ('"7"', 7), ("1.5", 1), ("-1.9", -1), ("1e3", 1000), ("7", 7), ("null", 0),
+])
+def test_lenient_numbers_bind(spark, text, expected):
+    value = '{"eventTime":1,' + BASE.replace('"productId":1', '"productId":' + text) + '}'
+    df = spark.createDataFrame([(value,)], "value string")
+    (r,) = decode_events(df, lenient_numbers=True).collect()
+    assert r.reject_reason is None and r.product_id == expected
+
+
+@pytest.mark.parametrize("text", ['"abc"', "true", "99999999999999999999", '"1 "'])
+def test_lenient_numbers_still_reject_non_numbers(spark, text):
+    value = '{"eventTime":1,' + BASE.replace('"productId":1', '"productId":' + text) + '}'
+    df = spark.createDataFrame([(value,)], "value string")
+    (r,) = decode_events(df, lenient_numbers=True).collect()
+    assert r.reject_reason == "bad_number"

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import summary, validate
 from tidemark.operators.summary import category_top_n_lines, event_type_count_lines
-from tidemark.schema import (CONSUMER_POLL_INTERVAL, EVENTS_TOPIC, MANUAL_TOPIC, MAX_DELAY, REQUEST_SCHEMA, SINK_FLUSH_INTERVAL,
-                             TOP_N, WINDOW)
+from tidemark.schema import (CONSUMER_POLL_INTERVAL, EVENTS_TOPIC, MANUAL_TOPIC, MAX_DELAY, REQUEST_SCHEMA,
+                             SINK_FLUSH_INTERVAL, TOP_N, WINDOW)
 from tidemark.session import build_session, scratch_path
 from tidemark.sources import changes, csv_events, topic
 from tidemark.sources.requests import normalize_requests
@@ -54,6 +54,8 @@ def _stream_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--trigger", default=None,
                    help=f"'once' (availableNow) or an interval; default {SINK_FLUSH_INTERVAL}")
     p.add_argument("--lax", action="store_true", help="accept unknown JSON properties")
+    p.add_argument("--lenient-numbers", action="store_true",
+                   help='bind quoted ("7") and fractional (1.5 -> 1) integer fields')
     p.add_argument("--on-error", default="reject", choices=["reject", "fail"],
                    help="reject: set bad records aside; fail: stop on the first one")
     p.add_argument("--rejects", help="table path for dead letters (a companion query)")
@@ -97,7 +99,8 @@ def _sinks(args, render):
 
 def _good_events(spark, args, ck: str):
     """Decoded good events, plus the dead-letter query writing ``--rejects`` (if asked)."""
-    decoded = topic.decode_records(_records(spark, args), strict=not args.lax)
+    decoded = topic.decode_records(_records(spark, args), strict=not args.lax,
+                                   lenient_numbers=args.lenient_numbers)
     companions = []
     if args.rejects:
         companions.append(jobs.start_passthrough(topic.record_rejects(decoded), sinks.TableSink(args.rejects),

@@ -53,9 +53,10 @@ def read_records(spark: SparkSession, *, path: str | None = None, options: dict
     return reader.format(fmt).load(path)
 
 
-def decode_records(records: DataFrame, strict: bool = True) -> DataFrame:
+def decode_records(records: DataFrame, strict: bool = True, lenient_numbers: bool = False) -> DataFrame:
     """Records -> canonical events with coordinates, raw value and ``reject_reason``."""
-    return decode_events(records, "value", strict=strict, keep=(*COORDINATES, "value"))
+    return decode_events(records, "value", strict=strict, keep=(*COORDINATES, "value"),
+                         lenient_numbers=lenient_numbers)
 
 
 def audit_lines(decoded: DataFrame) -> DataFrame:
