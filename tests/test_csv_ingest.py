@@ -98,3 +98,16 @@ def test_blank_lines_are_skipped(spark, tmp_path):
     df = _read(spark, tmp_path, body)
     assert sorted(r.product_id for r in split(df).good.collect()) == [1, 2]
     assert split(df).rejects.count() == 0
+
+
+@pytest.mark.parametrize("day,expected", [
+    ("2019-02-30", dt.datetime(2019, 2, 28, 1, 2, 3)), ("2020-02-30", dt.datetime(2020, 2, 29, 1, 2, 3)),
+    ("2019-04-31", dt.datetime(2019, 4, 30, 1, 2, 3)), ("2019-12-31", dt.datetime(2019, 12, 31, 1, 2, 3)),
+    ("2019-13-01", None), ("2019-02-32", None), ("2019-2-01", None),
+])
+def test_clamp_days_option(spark, tmp_path, day, expected):
+    path = tmp_path / "e.csv"
+    path.write_text(HEADER + f"{day} 01:02:03 UTC,view,1,{CAT},c,b,1.0,1,s\n")
+    (r,) = read_csv_events(spark, str(path), clamp_days=True).collect()
+    assert r.event_time == expected
+    assert (r.reject_reason is None) == (expected is not None)

@@ -162,13 +162,13 @@ def replay_csv(spark, args) -> None:
     if args.files_per_trigger:
         raw = csv_events.csv_reader(spark, args.multi_line, stream=True,
                                     max_files_per_trigger=args.files_per_trigger).csv(args.csv)
-        good = validate.split(csv_events.type_csv(raw), on_error=args.on_error).good
+        good = validate.split(csv_events.type_csv(raw, args.clamp_days), on_error=args.on_error).good
         ck = args.checkpoint or scratch_path(spark, "checkpoints", "replay-csv", unique=False)
         trigger = {"availableNow": True} if args.interval == "once" else {"processingTime": args.interval}
         q = jobs.start_passthrough(good, _publisher(args), ck, trigger)
         q.awaitTermination()
         return
-    checked = csv_events.read_csv_events(spark, args.csv, multi_line=args.multi_line)
+    checked = csv_events.read_csv_events(spark, args.csv, multi_line=args.multi_line, clamp_days=args.clamp_days)
     _publisher(args)(validate.split(checked, on_error=args.on_error).good, 0)
     if args.report:
         print(json.dumps(summary.ingest_summary(checked).first().asDict()))
@@ -216,7 +216,7 @@ def manual_requests(spark, args) -> None:
 
 
 def preview_csv(spark, args) -> None:
-    checked = csv_events.read_csv_events(spark, args.csv, multi_line=args.multi_line)
+    checked = csv_events.read_csv_events(spark, args.csv, multi_line=args.multi_line, clamp_days=args.clamp_days)
     good = validate.split(checked).good
     for row in summary.preview(good, args.rows).collect():  # bounded: args.rows rows
         print(row)
@@ -245,6 +245,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--partitions", type=int, default=4)
     r.add_argument("--topic-format", default="json", choices=["json", "parquet"])
     r.add_argument("--multi-line", action="store_true")
+    r.add_argument("--clamp-days", action="store_true", help="move a day past the month's end to its last day")
     r.add_argument("--on-error", default="reject", choices=["reject", "fail"])
     r.add_argument("--files-per-trigger", type=int, default=None)
     r.add_argument("--interval", default="1 second", help="trigger interval, or 'once' to drain and stop")
@@ -273,6 +274,7 @@ def parser() -> argparse.ArgumentParser:
     v.add_argument("--csv", required=True)
     v.add_argument("--rows", type=int, default=10)
     v.add_argument("--multi-line", action="store_true")
+    v.add_argument("--clamp-days", action="store_true")
     o = sub.add_parser("orders-state")
     o.add_argument("--changes", required=True)
     o.add_argument("--out", required=True)

@@ -55,14 +55,31 @@ def from_epoch_seconds(seconds) -> Column:
     return F.timestamp_add("MICROSECOND", micros, _epoch())
 
 
-def parse_utc_text(text) -> Column:
+# --- Fixed value: the CSV event-time layout, as a pattern of its six fields.
+CSV_TIME_FIELDS = r"^([0-9]{4})-([0-9]{2})-([0-9]{2}) ([0-9]{2}):([0-9]{2}):([0-9]{2})$"
+# --- end of fixed values.
+
+
+def _clamped(body: Column) -> Column:
+    """Fields in range, with a day past the month's end moved to its last day."""
+    y, mo, d, h, mi, s = [F.regexp_extract(body, CSV_TIME_FIELDS, i).try_cast("int") for i in range(1, 7)]
+    in_range = (body.rlike(CSV_TIME_FIELDS) & mo.between(1, 12) & d.between(1, 31)
+                & (h < 24) & (mi < 60) & (s < 60))
+    last_day = F.dayofmonth(F.last_day(F.make_date(y, mo, F.lit(1))))
+    return F.when(in_range, F.make_timestamp_ntz(y, mo, F.least(d, last_day), h, mi, s))
+
+
+def parse_utc_text(text, clamp_days: bool = False) -> Column:
     """``yyyy-MM-dd HH:mm:ss<4-char zone>`` -> TIMESTAMP_NTZ, NULL when unparsable.
 
     The last four characters are cut unchecked (any suffix is accepted) and
-    the rest is read as UTC. An impossible date such as 02-30 gives NULL.
+    the rest is read as UTC. An impossible date such as 02-30 gives NULL,
+    or with ``clamp_days`` the month's last day (as a lenient resolver does).
     """
     t = _c(text)
     body = F.substring(t, F.lit(1), F.length(t) - F.lit(CSV_TIME_SUFFIX_LEN))
+    if clamp_days:
+        return F.when(F.length(t) >= CSV_TIME_SUFFIX_LEN, _clamped(body))
     instant = F.try_to_timestamp(F.concat(body, F.lit(" +00:00")),
                                  F.lit("yyyy-MM-dd HH:mm:ss XXX"))
     return F.when(F.length(t) >= CSV_TIME_SUFFIX_LEN, to_wallclock(instant))

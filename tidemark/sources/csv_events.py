@@ -45,16 +45,19 @@ def csv_reader(spark: SparkSession, multi_line: bool = False, stream: bool = Fal
             .option("multiLine", multi_line))
 
 
-def type_csv(raw: DataFrame) -> DataFrame:
+def type_csv(raw: DataFrame, clamp_days: bool = False) -> DataFrame:
     """All-text CSV rows -> canonical events + ``reject_reason`` + ``raw_record``.
 
     The raw row is fenced first: the parser then always tokenizes all nine
     fields, so a short or long row is flagged whichever columns are used.
     The typed values and the reason are fenced as well, so the reject split
     filters on a plain column instead of parsing times and numbers again.
+    ``clamp_days`` resolves a day past the month's end to its last day
+    instead of rejecting the row.
     """
     raw = fence(raw, **{n: F.col(n) for n in CSV_SCHEMA.fieldNames()})
-    typed = {n: _CASTS[n](F.col(n)) for n in EVENT_COLUMNS}
+    casts = dict(_CASTS, event_time=lambda c: parse_utc_text(c, clamp_days))
+    typed = {n: casts[n](F.col(n)) for n in EVENT_COLUMNS}
     short = F.col(CORRUPT_COLUMN).isNotNull() & F.col("user_session").isNull()
     checks = [(short, "short_row")]
     for name in ("event_time", "event_type", "product_id", "category_id", "price", "user_id"):
@@ -68,6 +71,7 @@ def type_csv(raw: DataFrame) -> DataFrame:
     return fence(raw, **typed, **{REASON: first_reason(checks), "raw_record": raw_record})
 
 
-def read_csv_events(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv_events(spark: SparkSession, path: str, multi_line: bool = False,
+                    clamp_days: bool = False) -> DataFrame:
     """CSV file(s) -> canonical events + ``reject_reason`` (see ``operators.validate.split``)."""
-    return type_csv(csv_reader(spark, multi_line).csv(path))
+    return type_csv(csv_reader(spark, multi_line).csv(path), clamp_days)
