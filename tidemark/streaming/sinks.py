@@ -56,14 +56,19 @@ class JdbcSink:
         self.sleep = time.sleep
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        for attempt in range(self.retries + 1):
-            try:
-                batch.write.format("jdbc").options(**self.options).mode("append").save()
-                return
-            except Exception:  # noqa: BLE001 - rethrown after the last attempt
-                if attempt == self.retries:
-                    raise
-                self.sleep(self.backoff * (attempt + 1))
+        # kept for the retries, so a retry does not recompute the micro-batch
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for attempt in range(self.retries + 1):
+                try:
+                    batch.write.format("jdbc").options(**self.options).mode("append").save()
+                    return
+                except Exception:  # noqa: BLE001 - rethrown after the last attempt
+                    if attempt == self.retries:
+                        raise
+                    self.sleep(self.backoff * (attempt + 1))
+        finally:
+            batch.unpersist()
 
 
 class LinesSink:
