@@ -117,6 +117,21 @@ ORACLES: dict[str, str] = {
         f"from ev where event_time is null or event_type is null or event_type not in {_TYPES}",
     "csv_ingest": f"with {_GOOD} select date_trunc('second', event_time) as event_time, event_type, "
         "product_id, category_id, category_code, brand, price, user_id, user_session from good",
+    "csv_rejects": f"with ev as ({EVENTS_SQL}) select "
+        "coalesce(strftime(event_time, '%Y-%m-%d %H:%M:%S') || ' UTC', '') || ',' || coalesce(event_type, '') "
+        "|| ',' || coalesce(cast(product_id as varchar), '') || ',' || coalesce(cast(category_id as varchar), '') "
+        "|| ',' || coalesce(category_code, '') || ',' || coalesce(brand, '') "
+        "|| ',' || coalesce(cast(price as varchar), '') || ',' || coalesce(cast(user_id as varchar), '') "
+        "|| ',' || coalesce(user_session, '') as raw_record, case "
+        "when event_time is null then 'missing_event_time' "
+        "when event_type is null then 'missing_event_type' "
+        f"when event_type not in {_TYPES} then 'unknown_event_type' "
+        "when product_id is null then 'missing_product_id' "
+        "when category_id is null then 'missing_category_id' "
+        "when price is null then 'missing_price' "
+        "when user_id is null then 'missing_user_id' end as reject_reason "
+        "from ev where event_time is null or event_type is null or event_type not in "
+        f"{_TYPES} or product_id is null or category_id is null or price is null or user_id is null",
     "manual_requests": f"with ev as ({EVENTS_SQL}), req as (select "
         "event_type as eventType, cast(product_id as varchar) as productId, "
         "cast(category_id as varchar) as categoryId, coalesce(category_code, '') as categoryCode, "

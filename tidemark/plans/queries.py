@@ -180,6 +180,12 @@ def csv_ingest(spark, sf_dir):
     return validate.split(csv_events.read_csv_events(spark, csv_replica(spark, sf_dir))).good
 
 
+def csv_rejects(spark, sf_dir):
+    """Rows the CSV stage sets aside: the raw line and the first rule it breaks."""
+    checked = csv_events.read_csv_events(spark, csv_replica(spark, sf_dir))
+    return validate.split(checked).rejects.select("raw_record", validate.REASON)
+
+
 def manual_requests(spark, sf_dir):
     req = raw_events(spark, sf_dir).select(
         F.col("event_type").alias("eventType"),
@@ -295,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "consumed_audit": consumed_audit,
     "record_rejects": record_rejects,
     "csv_ingest": csv_ingest,
+    "csv_rejects": csv_rejects,
     "manual_requests": manual_requests,
     "orders_current_state": orders_current_state,
     "stream_event_type_counts": stream_event_type_counts,
