@@ -241,3 +241,19 @@ def test_spark_default_rule_would_count_the_late_row(spark, tmp_path, monkeypatc
     q.stop()
     got = _result(spark, out, ("window_start", "event_type", "event_count"))
     assert (_t(0), "CART", 2) in got
+
+
+def test_timeline_on_rocksdb_state_store(spark, tmp_path):
+    """The cluster preset's state store gives the same closed windows."""
+    from tidemark.session import cluster_conf
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    topic, out = Topic(tmp_path / "topic"), str(tmp_path / "out")
+    for items in TIMELINE:
+        topic.publish(items)
+    with jobs.start_settings(spark, {provider: cluster_conf(8)[provider]}):
+        q = jobs.start_event_type_counts(_good(spark, topic), sinks.TableSink(out), str(tmp_path / "ck"))
+    drain(q)
+    q.stop()
+    got = _result(spark, out, ("window_start", "event_type", "event_count"))
+    assert got == [(_t(0), "CART", 1), (_t(0), "VIEW", 1), (_t(1), "CART", 2), (_t(1), "VIEW", 1)]
+    assert "RocksDBStateStoreProvider" in (tmp_path / "ck" / "offsets" / "0").read_text()
