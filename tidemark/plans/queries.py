@@ -38,6 +38,11 @@ def _source(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
             _SOURCES[key] = fixtures.raw_events(spark, sf_dir)
         elif kind == "checked":
             _SOURCES[key] = validate.with_reject_reason(_source(spark, sf_dir, "raw"))
+        elif kind == "stream_records":  # a streaming frame can start any number of queries
+            records = topic.read_records(spark, path=topic_replica(spark, sf_dir), stream=True, fmt=TOPIC_FORMAT)
+            _SOURCES[key] = topic.decode_records(records)
+        elif kind == "stream_good":
+            _SOURCES[key] = validate.split(_source(spark, sf_dir, "stream_records")).good
         else:
             raise KeyError(kind)
     return _SOURCES[key]
@@ -209,8 +214,7 @@ def orders_current_state(spark, sf_dir):
 # --- streaming (S2, W1-W9, K2/K3 via a table sink)
 
 def _stream_good(spark, sf_dir):
-    records = topic.read_records(spark, path=topic_replica(spark, sf_dir), stream=True, fmt=TOPIC_FORMAT)
-    return validate.split(topic.decode_records(records)).good
+    return _source(spark, sf_dir, "stream_good")
 
 
 def _cores(spark: SparkSession) -> int:
@@ -248,7 +252,7 @@ def stream_category_topn(spark, sf_dir):
 
 
 def _stream_records(spark, sf_dir):
-    return topic.decode_records(topic.read_records(spark, path=topic_replica(spark, sf_dir), stream=True, fmt=TOPIC_FORMAT))
+    return _source(spark, sf_dir, "stream_records")
 
 
 def stream_record_rejects(spark, sf_dir):

@@ -15,6 +15,7 @@ never holds windows open; no idle timeout needs configuring.
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
@@ -27,6 +28,9 @@ from tidemark.schema import MAX_DELAY, REPLAY_EVENTS_PER_SECOND, TOP_N, UNKNOWN_
 from tidemark.streaming.sinks import BatchSink
 
 LATE_RULE_CONF = "spark.sql.streaming.statefulOperator.allowMultiple"
+# Query starts that change session settings are serialized, so two threads
+# starting queries at once never see each other's temporary values.
+_START_LOCK = threading.RLock()
 INSTANT = "event_instant"
 
 
@@ -38,17 +42,18 @@ def start_settings(spark, settings: dict[str, str]):
     apply to it alone (and settings recorded in its checkpoint, like the state
     partition count, keep their first value on every restart).
     """
-    previous = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in previous.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    with _START_LOCK:
+        previous = {k: spark.conf.get(k, None) for k in settings}
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        try:
+            yield
+        finally:
+            for k, v in previous.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
 
 
 def exact_late_rule(spark, extra: dict[str, str] | None = None):
