@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.schema import CSV_TIME_SUFFIX_LEN
+from tidemark.schema import CSV_TIME_SUFFIX_LEN, TEXT_TIME_PATTERN
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -81,7 +81,7 @@ def parse_utc_text(text, clamp_days: bool = False) -> Column:
     if clamp_days:
         return F.when(F.length(t) >= CSV_TIME_SUFFIX_LEN, _clamped(body))
     instant = F.try_to_timestamp(F.concat(body, F.lit(" +00:00")),
-                                 F.lit("yyyy-MM-dd HH:mm:ss XXX"))
+                                 F.lit(f"{TEXT_TIME_PATTERN} XXX"))
     return F.when(F.length(t) >= CSV_TIME_SUFFIX_LEN, to_wallclock(instant))
 
 
