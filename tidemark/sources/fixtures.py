@@ -109,8 +109,15 @@ def csv_text_columns(events: DataFrame) -> DataFrame:
 
 
 def write_event_csv(events: DataFrame, path: str) -> str:
-    """Events as CSV files with a header, NULL written as an empty field."""
-    csv_text_columns(events).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Events as CSV files with a header, NULL written as an empty field.
+
+    Values are written verbatim: the writer's default trimming of leading and
+    trailing spaces is switched off, quotes are doubled.
+    """
+    (csv_text_columns(events).write.mode("overwrite")
+     .option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
     return path
 
 
