@@ -63,7 +63,7 @@ def valid_events(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -
 
 
 # Bump when a derivation changes so stale derived inputs are never reused.
-DERIVED_VERSION = "3"
+DERIVED_VERSION = "4"
 
 
 def _derived_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
