@@ -111,3 +111,16 @@ def test_clamp_days_option(spark, tmp_path, day, expected):
     (r,) = read_csv_events(spark, str(path), clamp_days=True).collect()
     assert r.event_time == expected
     assert (r.reject_reason is None) == (expected is not None)
+
+
+def test_written_newlines_read_back_with_multiline(spark, tmp_path):
+    from tidemark.schema import EVENT_COLUMNS, EVENT_SCHEMA
+    from tidemark.sources.fixtures import write_event_csv
+    rows = [(dt.datetime(2019, 10, 1, 0, 0, i), "view", i, 7, cat, " b ", Decimal("1.5"), 3, "s")
+            for i, cat in enumerate(["two\nlines", 'say "hi", ok', "x\r\ny", "plain"])]
+    out = str(tmp_path / "out")
+    write_event_csv(spark.createDataFrame(rows, EVENT_SCHEMA), out)
+    back = read_csv_events(spark, out, multi_line=True)
+    assert back.filter("reject_reason is not null").count() == 0
+    got = sorted(tuple(r) for r in back.select(*EVENT_COLUMNS).collect())
+    assert got == sorted(rows)
