@@ -5,6 +5,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from scripts.oracle_check import TABLES, digest
+from tidemark.plans.oracles import ORACLES
+from tidemark.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,10 +20,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = queries()[name](spark, SF)
     s_rows = [tuple(r) for r in df.collect()]
@@ -36,7 +39,7 @@ def test_query_matches_oracle(spark, con, name):
 _DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_column_types_match_oracle(spark, con, name):
     df = queries()[name](spark, SF)
     spark_types = {f.name: _DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
