@@ -28,3 +28,22 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     """The fold that no model learns from: crc32 of the id's text, modulo 4, is 2."""
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+#: Columns that identify a row by its id and text; none of them is null.
+KEY = ["id_null", "id", "content"]
+
+
+def keyed(docs: DataFrame, *more: Column | str) -> DataFrame:
+    """``KEY`` columns of ``docs`` (integer ``doc_id``, ``text``) and ``more``, without name clashes.
+
+    Rows that repeat an id and its text share a key; a null id is kept apart from
+    every other; the hash of the text parts different texts of one id.
+    """
+    return docs.select(F.col("doc_id").isNull().alias("id_null"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"),
+                       F.xxhash64("text").alias("content"), *more)
+
+
+def doc_id_of() -> Column:
+    """The ``doc_id`` that a key was made of."""
+    return F.when(~F.col("id_null"), F.col("id"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, sharding, warc
+from tidemark.llm import chat, lines, sharding, simhash, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -13,6 +13,18 @@ def op1_warc_transactions(spark, sf_dir):
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_simhash_blocks(spark, sf_dir):
+    """Near-duplicate components of all documents: three-word shingles, at most three differing bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+def op4_line_chunks(spark, sf_dir):
+    """Every document without the multi-line chunks that an earlier document or place has."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs, count_as="cut_lines")
+
+
 def op8_weighted_hash_tree(spark, sf_dir):
     """40 equal shards in four regions of two racks; the grown tree has one more in the first rack."""
     tree = sharding.even_tree(40)
@@ -24,6 +36,6 @@ def op9_perspective_rotation(spark, sf_dir):
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_transactions, op8_weighted_hash_tree, op9_perspective_rotation)}
+QUERIES = {f.__name__: f for f in (op1_warc_transactions, op3_simhash_blocks, op4_line_chunks, op8_weighted_hash_tree, op9_perspective_rotation)}
 
-ORACLES = {"op1_warc_transactions": warc.ORACLE, "op9_perspective_rotation": chat.ORACLE}
+ORACLES = {"op1_warc_transactions": warc.ORACLE, "op4_line_chunks": lines.ORACLE, "op9_perspective_rotation": chat.ORACLE}
