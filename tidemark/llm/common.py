@@ -13,6 +13,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary_path(name: str) -> str:
+    """Where the public vocabulary file ``name`` is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the folder the cluster shares and read it back.
 
