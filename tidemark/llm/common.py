@@ -54,3 +54,20 @@ def keyed(docs: DataFrame, *more: Column | str) -> DataFrame:
 def doc_id_of() -> Column:
     """The ``doc_id`` that a key was made of."""
     return F.when(~F.col("id_null"), F.col("id"))
+
+
+def share_of(draw: Column) -> Column:
+    """A 64-bit hash as a number from 0 to 1."""
+    return F.shiftrightunsigned(draw, 11).cast("double") * (2.0 ** -53)
+
+
+def share_that_holds(most: Column | int, rows: Column | int) -> Column:
+    """A share of ``rows`` uniform draws that holds the ``most`` smallest, but for a negligible chance."""
+    most, rows = (F.lit(v) if isinstance(v, int) else v for v in (most, rows))
+    return (4.0 * most + 100) / F.greatest(rows, F.lit(1))
+
+
+def smallest(rows: DataFrame, draw: Column, most: int, *ties: str) -> DataFrame:
+    """The ``most`` rows of smallest hash. Larger hashes are put aside in each task, so that few rows meet in one."""
+    near = rows.where(share_of(draw) <= share_that_holds(most, rows.count()))
+    return near.orderBy(draw, *ties).limit(most)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, chat, lines, sharding, simhash, warc
-from tidemark.llm.common import table, vocabulary_path
+from tidemark.llm import bpe, chat, language, lines, sharding, simhash, toxicity, warc
+from tidemark.llm.common import held_out, table, vocabulary_path
 from tidemark.session import scratch_path
 
 
@@ -25,11 +25,25 @@ def op4_line_chunks(spark, sf_dir):
     return lines.dedup_lines(docs, count_as="cut_lines")
 
 
+def op5_output_codes(spark, sf_dir):
+    """Language of every document, learnt outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.train(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op6_bpe_backtracking(spark, sf_dir):
     """Every document encoded with the 50k byte-level vocabulary and decoded again."""
     return bpe.tokenize(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), with_ids=False)
 
 
+def op7_positive_unlabelled(spark, sf_dir):
+    """Toxicity of every document, learnt outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op8_weighted_hash_tree(spark, sf_dir):
     """40 equal shards in four regions of two racks; the grown tree has one more in the first rack."""
     tree = sharding.even_tree(40)
@@ -41,6 +55,8 @@ def op9_perspective_rotation(spark, sf_dir):
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_transactions, op3_simhash_blocks, op4_line_chunks, op6_bpe_backtracking, op8_weighted_hash_tree, op9_perspective_rotation)}
+QUERIES = {f.__name__: f for f in (
+    op1_warc_transactions, op3_simhash_blocks, op4_line_chunks, op5_output_codes, op6_bpe_backtracking,
+    op7_positive_unlabelled, op8_weighted_hash_tree, op9_perspective_rotation)}
 
 ORACLES = {"op1_warc_transactions": warc.ORACLE, "op4_line_chunks": lines.ORACLE, "op9_perspective_rotation": chat.ORACLE}
