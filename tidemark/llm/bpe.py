@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import slices
+
 #: Bounds of the tables kept in a task; what is dropped from them is made again.
 MOST_PIECES, LONGEST_KEPT, MOST_PAIRS = 300_000, 64, 1_000_000
 
@@ -198,8 +200,8 @@ class _Pieces(dict):
         return ids
 
 
-def tokenize(docs: DataFrame, vocabulary: str, with_ids: bool = True, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, ``n_tokens, ids_sha256, decoded_sha256`` and, if asked for, ``ids`` and ``decoded`` of every row.
+def tokenize(docs: DataFrame, vocabulary: str, with_ids: bool = True, with_text: bool = False, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep``, ``n_tokens, ids_sha256, decoded_sha256`` and, if asked for, ``ids`` and the ``decoded`` text of every row.
 
     ``vocabulary`` is the path of a ``tokenizer.json`` that the driver reads and
     broadcasts: a fixed file of some MB. The digests are of the ids as
@@ -213,7 +215,9 @@ def tokenize(docs: DataFrame, vocabulary: str, with_ids: bool = True, keep: tupl
     chosen = docs.select(*keep, F.col("text").alias("__text"))
     schema = chosen.drop("__text").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if with_ids:
-        schema = schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
+        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
+    if with_text:
+        schema = schema.add("decoded", "string")
 
     def run(batches):
         bpe = Bpe.from_text(spec.value)
@@ -229,20 +233,10 @@ def tokenize(docs: DataFrame, vocabulary: str, with_ids: bool = True, keep: tupl
                 if with_ids:
                     ends = np.cumsum([0, *map(len, made)])
                     flat = np.concatenate(made) if made else np.empty(0)
-                    columns += [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32))),
-                                pa.array([d.decode("utf-8") for d in decoded], pa.string())]
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32))))
+                if with_text:
+                    columns.append(pa.array([d.decode("utf-8") for d in decoded], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return chosen.mapInArrow(run, schema)
 
-
-def slices(texts: pa.Array, most: int = 4 << 20):
-    """(from, to) ranges of rows that hold about ``most`` bytes of text, at least a row."""
-    at = size = 0
-    for i in range(len(texts)):
-        size += len(texts[i].as_buffer() or b"") if texts[i].is_valid else 0
-        if size >= most:
-            yield at, i + 1
-            at, size = i + 1, 0
-    if at < len(texts):
-        yield at, len(texts)

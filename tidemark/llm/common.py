@@ -51,6 +51,11 @@ def keyed(docs: DataFrame, *more: Column | str) -> DataFrame:
                        F.xxhash64("text").alias("content"), *more)
 
 
+def numbered(columns: list[str]) -> list[Column]:
+    """Columns under names that clash with nothing, ``__0, __1, ...``, to carry along and name again at the end."""
+    return [F.col("`" + c.replace("`", "``") + "`").alias(f"__{i}") for i, c in enumerate(columns)]
+
+
 def doc_id_of() -> Column:
     """The ``doc_id`` that a key was made of."""
     return F.when(~F.col("id_null"), F.col("id"))
@@ -71,3 +76,15 @@ def smallest(rows: DataFrame, draw: Column, most: int, *ties: str) -> DataFrame:
     """The ``most`` rows of smallest hash. Larger hashes are put aside in each task, so that few rows meet in one."""
     near = rows.where(share_of(draw) <= share_that_holds(most, rows.count()))
     return near.orderBy(draw, *ties).limit(most)
+
+
+def slices(texts, most: int = 4 << 20):
+    """(from, to) ranges of rows that hold about ``most`` bytes of text, at least a row."""
+    at = size = 0
+    for i in range(len(texts)):
+        size += len(texts[i].as_buffer() or b"") if texts[i].is_valid else 0
+        if size >= most:
+            yield at, i + 1
+            at, size = i + 1, 0
+    if at < len(texts):
+        yield at, len(texts)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.fence import fence
-from tidemark.llm.common import KEY, keyed, settle
+from tidemark.llm.common import KEY, keyed, numbered, settle
 
 # Fixed values of the rolling hash: below 2^29 times line hashes below 2^32 four terms fit a long.
 PRIME, BASE = 536870909, 69069
@@ -82,13 +82,15 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, m
     id comes last. An empty table gives no rows. Other columns, whatever their
     names, are passed on.
     """
+    carried = [f"__{i}" for i in range(len(docs.columns))]
+    text = carried[docs.columns.index("text")]
     found = repeated_chunks(docs, window, divisor, min_lines)
     spans = found.groupBy(*KEY).agg(F.collect_set(F.struct("at", "to", "hash", "size", "first")).alias("spans"))
-    rows = keyed(docs, F.struct("*").alias("row")).join(spans, KEY, "left")
-    rows = settle(rows.select(*KEY, "row", "spans"), "chunked")
+    rows = keyed(docs, *numbered(docs.columns)).join(spans, KEY, "left")
+    rows = settle(rows.select(*KEY, *carried, "spans"), "chunked")
 
     # bytes are compared: a hash whose chunks are not all equal is dealt with by its texts
-    marked = fence(rows.where(F.col("spans").isNotNull()), [*KEY, "spans"], lines=F.split("row.text", "\n", -1))
+    marked = fence(rows.where(F.col("spans").isNotNull()), [*KEY, "spans"], lines=F.split(text, "\n", -1))
     body = F.array_join(F.slice(F.col("lines"), F.col("s.at") + 1, F.col("s.to") - F.col("s.at") + 1), "\n")
     bodies = marked.select(*KEY, "lines", F.explode("spans").alias("s")).select(*KEY, "s.*", body.alias("body"))
     unequal = settle(bodies.groupBy("hash", "size").agg(F.min("body").alias("lo"), F.max("body").alias("hi")).where(
@@ -104,13 +106,13 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, m
 
     cut = F.filter(F.coalesce("spans", F.array().cast(rows.schema["spans"].dataType)),
                    lambda s: ~s["first"] & ~F.array_contains("spared", s["at"]))
-    rows = fence(rows, ["row"], gone=F.flatten(F.transform(cut, lambda s: F.sequence(s["at"], s["to"]))))
-    rows = fence(rows, ["row", "gone"], lines=F.split("row.text", "\n", -1))
-    rows = fence(rows, ["row", "gone", "lines"], left=F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone")))
-    text = F.when(F.size("gone") == 0, F.col("row.text")).otherwise(
+    rows = fence(rows, carried, gone=F.flatten(F.transform(cut, lambda s: F.sequence(s["at"], s["to"]))))
+    rows = fence(rows, [*carried, "gone"], lines=F.split(text, "\n", -1))
+    rows = fence(rows, [*carried, "gone", "lines"],
+                 left=F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone")))
+    kept = F.when(F.size("gone") == 0, F.col(text)).otherwise(
         F.array_join(F.transform("left", lambda i: F.get(F.col("lines"), i)), "\n"))
-    rows = fence(rows, ["row", "gone"], text=text)
-    out = [F.col("text") if n == "text" else F.col("row").getField(n).alias(n) for n in docs.columns]
+    out = [(kept if c == text else F.col(c)).alias(n) for c, n in zip(carried, docs.columns)]
     return rows.select(*out, *([F.size("gone").alias(count_as)] if count_as else []))
 
 

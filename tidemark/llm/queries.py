@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, chat, language, lines, sharding, simhash, toxicity, warc
+import corpus_pipeline
+from tidemark.llm import bpe, chat, decontaminate, language, lattice, lines, sharding, simhash, toxicity, warc
 from tidemark.llm.common import held_out, table, vocabulary_path
 from tidemark.session import scratch_path
 
@@ -13,6 +14,11 @@ def op1_warc_transactions(spark, sf_dir):
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_cgk_windows(spark, sf_dir):
+    """Every benchmark item found in a document, with its best window."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_simhash_blocks(spark, sf_dir):
     """Near-duplicate components of all documents: three-word shingles, at most three differing bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
@@ -55,8 +61,18 @@ def op9_perspective_rotation(spark, sf_dir):
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op10_e8_lattice(spark, sf_dir):
+    """Links and components of all embeddings at cosine 0.9."""
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+def pipeline(spark, sf_dir):
+    """All stages of the corpus pipeline over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_warc_transactions, op3_simhash_blocks, op4_line_chunks, op5_output_codes, op6_bpe_backtracking,
-    op7_positive_unlabelled, op8_weighted_hash_tree, op9_perspective_rotation)}
+    op1_warc_transactions, op2_cgk_windows, op3_simhash_blocks, op4_line_chunks, op5_output_codes, op6_bpe_backtracking,
+    op7_positive_unlabelled, op8_weighted_hash_tree, op9_perspective_rotation, op10_e8_lattice, pipeline)}
 
 ORACLES = {"op1_warc_transactions": warc.ORACLE, "op4_line_chunks": lines.ORACLE, "op9_perspective_rotation": chat.ORACLE}

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import KEY, doc_id_of, keyed, settle
+from tidemark.llm.common import KEY, doc_id_of, keyed, numbered, settle
 from tidemark.llm.components import components
 
 SEED = 42
@@ -143,5 +143,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, agree: i
 def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one row of each near-duplicate component, all columns as they were."""
     kept = near_duplicates(docs, words, max_bits).where("keep").select(*KEY).distinct()
-    rows = keyed(docs, F.struct("*").alias("row")).join(kept, KEY, "left_semi")
-    return rows.groupBy(*KEY).agg(F.first("row").alias("row")).select("row.*")
+    carried = [f"__{i}" for i in range(len(docs.columns))]
+    rows = keyed(docs, *numbered(docs.columns)).join(kept, KEY, "left_semi")
+    rows = rows.groupBy(*KEY).agg(F.first(F.struct(*carried)).alias("row"))
+    return rows.select(*[F.col(f"row.{c}").alias(n) for c, n in zip(carried, docs.columns)])

@@ -146,6 +146,27 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = 1500, max_unla
     return fit([f for f, p in zip(found, is_p) if p == 1], [f for f, u in zip(found, least) if u == 0], prior)
 
 
+class Scorer:
+    """Scores of whole texts, with a bounded table of the words seen."""
+
+    def __init__(self, model: Model):
+        self.weights, self.bias = model.weights, model.bias
+        self.table: dict[str, tuple[int, ...]] = {}
+
+    def known(self, word: str) -> tuple[int, ...]:
+        got = self.table.get(word)
+        if got is None:
+            if len(self.table) >= MOST_WORDS:
+                self.table.clear()
+            got = self.table[word] = tuple(f for f in word_features(word) if f in self.weights)
+        return got
+
+    def score(self, text: str | None) -> float:
+        found = {f for w in words_of(text) for f in self.known(w)}
+        z = self.bias + sum(self.weights[f] for f in sorted(found))
+        return float(1 / (1 + np.exp(-max(-700.0, z))))
+
+
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep``, ``score`` (0 to 1) and ``predicted`` for every row, from its whole ``text`` alone.
 
@@ -154,27 +175,26 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, keep: tuple[str
     """
     chosen = docs.select(*keep, F.col("text").alias("__text"))
     schema = chosen.drop("__text").schema.add("score", "double").add("predicted", "integer")
-    weights, bias = model.weights, model.bias
 
     def run(batches):
-        table: dict[str, tuple[int, ...]] = {}
-
-        def known(word):
-            got = table.get(word)
-            if got is None:
-                if len(table) >= MOST_WORDS:
-                    table.clear()
-                got = table[word] = tuple(f for f in word_features(word) if f in weights)
-            return got
-
-        def one(text):
-            z = bias + sum(weights[f] for f in sorted({f for w in words_of(text) for f in known(w)}))
-            return float(1 / (1 + np.exp(-max(-700.0, z))))
-
+        scorer = Scorer(model)
         for batch in batches:
-            made = [one(t.as_py()) for t in batch.column("__text")]
+            made = [scorer.score(t.as_py()) for t in batch.column("__text")]
             columns = [batch.column(i) for i in range(len(keep))] + [
                 pa.array(made, pa.float64()), pa.array([int(s >= threshold) for s in made], pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return chosen.mapInArrow(run, schema)
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns as they were; rows are not shuffled."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        scorer = Scorer(model)
+        for batch in batches:
+            kept = [scorer.score(t.as_py()) < threshold for t in batch.column(at)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
