@@ -1,0 +1,65 @@
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import sharding
+
+SCHEMA = "doc_id long, text string, shard string, size int"
+
+
+def test_contract_on_edge_rows(spark):
+    rows = [(i, f"text {i} é", "x", None) for i in range(400)] + [(None, None, None, 1), (None, "", None, 1), (7, "text 7 é", "x", 0)]
+    tree = sharding.even_tree(40)
+    got = sharding.shard_documents(spark.createDataFrame(rows, SCHEMA), tree, tree.grow("region1", "rack0", 40)).collect()
+    assert len(got) == len(rows)
+    by_shard = Counter(r["shard"] for r in got)
+    for s, n in by_shard.items():
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(n))
+    text = {r[0]: r[1] for r in rows}
+    for r in got:
+        body = (text[r["doc_id"]] or "").encode()
+        assert r["size"] == len(body) + 16 and r["text_crc32"] == zlib.crc32(body) and r["law"] == "key"
+        assert r["grown_shard"] in (r["shard"], 40)
+    assert len({r["shard"] for r in got if r["doc_id"] is None}) == 1
+    assert len({r["shard"] for r in got if r["doc_id"] == 7}) == 1
+    empty = sharding.shard_documents(spark.createDataFrame([], SCHEMA), tree, tree)
+    assert empty.count() == 0
+
+
+def places(spark, tree, n=20_000):
+    return [r[0] for r in spark.range(n).select(sharding.shard_of(F.col("id"), tree)).collect()]
+
+
+def test_shares_follow_weights(spark):
+    tree = sharding.HashTree((("a", "k", 0, 1.0), ("a", "k", 1, 3.0), ("a", "l", 2, 2.0), ("b", "k", 3, 4.0)))
+    got = Counter(places(spark, tree))
+    for shard, share in ((0, 0.1), (1, 0.3), (2, 0.2), (3, 0.4)):
+        assert abs(got[shard] / 20_000 - share) < 0.02
+
+
+def test_added_shards_take_rows_only_into_themselves(spark):
+    tree = sharding.even_tree(12, regions=3, racks=2)
+    grown = tree.grow("region2", "rack1", 12)
+    again = grown.grow("region0", "rack0", 13, 2.0)
+    a, b, c = (places(spark, t) for t in (tree, grown, again))
+    assert {y for x, y in zip(a, b) if x != y} == {12} and abs(b.count(12) / 20_000 - 1 / 13) < 0.01
+    assert {y for x, y in zip(b, c) if x != y} == {13} and abs(c.count(13) / 20_000 - 2 / 15) < 0.01
+
+
+def test_a_lowered_weight_moves_rows_only_out_of_or_within_its_region(spark):
+    tree = sharding.even_tree(12, regions=3, racks=2)
+    less = sharding.HashTree(tuple((r, k, s, 0.25 if s == 3 else w) for r, k, s, w in tree.base))
+    region = {s: r for r, _, s, _ in tree.base}
+    rack = {s: (r, k) for r, k, s, _ in tree.base}
+    moved = [(x, y) for x, y in zip(places(spark, tree), places(spark, less)) if x != y]
+    assert moved and all(region[x] == region[3] for x, _ in moved)
+    assert all(x == 3 or region[y] != region[3] or rack[x] == rack[3] for x, y in moved)
+
+
+def test_bad_trees_are_refused():
+    with pytest.raises(ValueError):
+        sharding.HashTree(())
+    with pytest.raises(ValueError):
+        sharding.HashTree((("a", "k", 0, 0.0),))

@@ -1,0 +1,85 @@
+import base64
+import gzip
+import hashlib
+
+import pytest
+
+from tidemark.llm import warc
+from tidemark.session import scratch_path
+
+SCHEMA = "page_id long, url string, html string, type string"
+
+
+def digest(html):
+    return base64.b32encode(hashlib.sha1((html or "").encode()).digest()).decode()
+
+
+def brute(rows, min_bytes=0):
+    out = []
+    for pid, _, html, _ in rows:
+        data = (html or "").encode()
+        equal = [r[0] for r in rows if (r[2] or "") == (html or "") and r[0] is not None]
+        first = min(equal, default=None)
+        revisit = len(data) >= min_bytes and first is not None and pid != first
+        out.append((pid, len(data), digest(html), "revisit" if revisit else "response", first if revisit else None))
+    return sorted(out, key=str)
+
+
+ROWS = [
+    (5, "http://a.example/x?y=1", "<p>same</p>", "clash"),
+    (2, "http://a.example/\r\nX: y", "<p>same</p>", None),
+    (9, None, None, "z"), (4, "", "", "z"),
+    (7, "https://b.example", "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.1\r\n", ""),
+    (8, "nonsense", "é\n\n\r\n\r\n" * 3, ""), (11, "http://c.example/", "x" * 300_000, ""),
+]
+
+
+@pytest.mark.parametrize("min_bytes", [0, 5])
+def test_round_trip_equals_brute_force(spark, min_bytes):
+    got = warc.round_trip(spark.createDataFrame(ROWS, SCHEMA), scratch_path(spark, "t"), min_bytes)
+    rows = [tuple(r)[:5] for r in got.collect()]
+    assert sorted(rows, key=str) == brute(ROWS, min_bytes)
+
+
+def test_null_ids_repeats_and_empty_table(spark):
+    rows = [(None, "u", "a", ""), (3, "u", "a", ""), (3, "u", "a", ""), (None, "u", "b", "")]
+    got = sorted(map(tuple, warc.round_trip(spark.createDataFrame(rows, SCHEMA), scratch_path(spark, "t")).collect()), key=str)
+    kinds = [(r[0], r[3], r[4]) for r in got]
+    assert sorted(kinds, key=str) == sorted([(3, "response", None), (3, "revisit", 3), (None, "revisit", 3), (None, "response", None)], key=str)
+    assert warc.round_trip(spark.createDataFrame([], SCHEMA), scratch_path(spark, "t")).count() == 0
+
+
+def record(kind, rid, block=b"", *more):
+    head = [f"WARC-Type: {kind}", f"WARC-Record-ID: {rid}", *more, f"Content-Length: {len(block)}"]
+    return b"WARC/1.1\r\n" + "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_links_in_both_directions_and_over_one_record(spark, tmp_path):
+    data = (record("request", "<q1>") + record("response", "<r1>", b"one", "WARC-Concurrent-To: <q1>")
+            + record("metadata", "<m1>", b"a: b", "WARC-Concurrent-To: <q1>")
+            + record("response", "<r2>", b"two") + record("request", "<q2>", b"", "WARC-Concurrent-To: <r2>")
+            + record("metadata", "<m2>", b"", "WARC-Concurrent-To: <r2>") + record("metadata", "<m3>", b"", "WARC-Concurrent-To: <r2>")
+            + record("metadata", "<lost>", b"", "WARC-Concurrent-To: <nowhere>"))
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(p) for p in (data[:200], data[200:])))
+    records = warc.read_records(spark, str(tmp_path)).cache()
+    rows = {r["capture_id"]: r for r in warc.assemble(records).collect()}
+    assert set(rows) == {"<r1>", "<r2>"}
+    assert (rows["<r1>"]["request"]["record_id"], rows["<r1>"]["metadata"]["record_id"]) == ("<q1>", "<m1>")
+    assert bytes(rows["<r1>"]["main"]["payload"]) == b"one" and rows["<r2>"]["n_metadata"] == 2
+    assert rows["<r2>"]["metadata"]["record_id"] == "<m2>"
+    left = warc.unassembled(records, warc.assemble(records))
+    assert {r["record_id"] for r in left.collect()} == {"<m3>", "<lost>"}
+
+
+def test_broken_archives_go_on_at_the_next_record():
+    good = record("response", "<a>", b"x")
+    cut = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <cut>\r\nContent-Length: 9999\r\n\r\nshort\r\n"
+    got = list(warc.parse_records(b"garbage\r\n" + good + cut + good[:-4]))
+    assert [(r.get("record_id"), "problem" in r) for r in got] == [(None, True), ("<a>", False), ("<cut>", True), ("<a>", False)]
+    assert list(warc.parse_records(b"")) == []
+
+
+def test_folded_headers_and_other_blocks():
+    data = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID:\r\n  <f>\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
+    [row] = warc.parse_records(data)
+    assert row["record_id"] == "<f>" and row["payload"] == b"hi"

@@ -19,6 +19,8 @@ from tidemark.llm.common import KEY, keyed, numbered, settle
 PRIME, BASE = 536870909, 69069
 WINDOW, DIVISOR, MIN_LINES = 2, 2, 2
 
+chunk_hash = F.xxhash64
+
 
 def _chunks(docs: DataFrame, keep: list[str], window: int, divisor: int) -> DataFrame:
     """``keep`` columns, ``lines`` and ``ends``: the last line of every chunk."""
@@ -61,7 +63,7 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISO
     chunks = rows.select(*KEY, F.explode(F.filter(F.transform(_spans(), lambda s: F.struct(
         s["from"].alias("at"), s["to"].alias("to"), _body(s).alias("body"))),
         lambda c: (c["to"] - c["at"] + 1 >= min_lines) & (F.trim(F.translate(c["body"], "\n\t\r", "   ")) != ""))).alias("c"))
-    chunks = chunks.select(*KEY, "c.at", "c.to", F.xxhash64("c.body").alias("hash"),
+    chunks = chunks.select(*KEY, "c.at", "c.to", chunk_hash("c.body").alias("hash"),
                            F.octet_length("c.body").cast("long").alias("size"))
     place = F.struct(*KEY, "at")
     counted = chunks.groupBy("hash", "size").agg(F.min(place).alias("least"), F.max(place).alias("most")).where(

@@ -164,7 +164,7 @@ class Scorer:
     def score(self, text: str | None) -> float:
         found = {f for w in words_of(text) for f in self.known(w)}
         z = self.bias + sum(self.weights[f] for f in sorted(found))
-        return float(1 / (1 + np.exp(-max(-700.0, z))))
+        return float(1 / (1 + np.exp(-z))) if z > -700 else 0.0
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -116,7 +116,7 @@ def _headers(head: bytes) -> list[tuple[str, str]]:
     out: list[tuple[str, str]] = []
     for line in head.decode("utf-8", "replace").split(CRLF):
         if line[:1] in (" ", "\t") and out:  # a folded line
-            out[-1] = (out[-1][0], f"{out[-1][1]} {line.strip()}")
+            out[-1] = (out[-1][0], f"{out[-1][1]} {line.strip()}".strip())
         elif ":" in line:
             name, _, value = line.partition(":")
             out.append((name.strip().lower(), value.strip()))
