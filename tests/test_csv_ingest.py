@@ -39,15 +39,14 @@ def test_sample_rows(spark, tmp_path):
     (f"2019-10-01 00:00:00 UTC,remove,1,{CAT},c,b,1.0,1,s", "unknown_event_type"),
     (f"2019-10-01 00:00:00 UTC,VIEW,1,{CAT},c,b,1.0,1,s", "unknown_event_type"),
     (f"2019-10-01 00:00:00 UTC,view,1,{CAT},c", "short_row"),
-    (f"2019-02-30 00:00:00 UTC,view,1,{CAT},c,b,1.0,1,s", "bad_event_time"),
+    (f"2019-02-32 00:00:00 UTC,view,1,{CAT},c,b,1.0,1,s", "bad_event_time"),
     (f"2019-10-01 00:00:00 UTC,view,1,{CAT},c,b,abc,1,s", "bad_price"),
     (f'2019-10-01 00:00:00 UTC,view," 5 ",{CAT},c,b,1.0,1,s', "bad_product_id"),
     (f"2019-10-01 00:00:00 UTC,view,1.5,{CAT},c,b,1.0,1,s", "bad_product_id"),
     (f"2019-10-01 00:00:00 UTC,view,1,99999999999999999999,c,b,1.0,1,s", "bad_category_id"),
     (f"UTC,view,1,{CAT},c,b,1.0,1,s", "bad_event_time"),
     (f"2019-10-01 00:00:00 XYZW,view,1,{CAT},c,b,1.0,1,s", "bad_event_time"),
-    # known false reject: a tenth column together with an empty session
-    (f"2019-10-01 00:00:00 UTC,view,1,{CAT},c,b,1.0,1,,extra", "short_row"),
+    (f'2019-10-01 00:00:00 UTC,view,1,{CAT},"c,d,e",b', "short_row"),
 ])
 def test_reject_cases(spark, tmp_path, line, reason):
     df = _read(spark, tmp_path, line + "\n")
@@ -58,6 +57,8 @@ def test_reject_cases(spark, tmp_path, line, reason):
 
 @pytest.mark.parametrize("line,check", [
     (f"2019-10-01 00:00:00 UTC,view,1,{CAT},c,b,1.0,1,s,extra", lambda r: r.user_session == "s"),
+    (f"2019-10-01 00:00:00 UTC,view,1,{CAT},c,b,1.0,1,,extra", lambda r: r.user_session == ""),
+    (f"2019-02-30 00:00:00 UTC,view,1,{CAT},c,b,1.0,1,s", lambda r: r.event_time == dt.datetime(2019, 2, 28)),
     (f"2019-10-01 00:00:00 XYZ,view,1,{CAT},c,b,1.0,1,s",
      lambda r: r.event_time == dt.datetime(2019, 10, 1)),
     (f'2019-10-01 00:00:00 UTC,view,1,{CAT},"q ""dd"" q",b,1.0,1,s',
@@ -92,6 +93,15 @@ def test_reject_keeps_raw_record(spark, tmp_path):
     assert r.raw_record == f"2019-10-01 00:00:00 UTC,remove,1,{CAT},,,1.0,1,s"
 
 
+def test_raw_record_parses_again(spark, tmp_path):
+    df = _read(spark, tmp_path, f'2019-10-01 00:00:00 UTC,remove,1,{CAT},"a,b","q ""d""",1.0,1,s\n')
+    (r,) = split(df).rejects.collect()
+    again = tmp_path / "again"
+    again.mkdir()
+    (r2,) = split(_read(spark, again, r.raw_record + "\n")).rejects.collect()
+    assert (r2.category_code, r2.brand, r2.raw_record) == ("a,b", 'q "d"', r.raw_record)
+
+
 def test_blank_lines_are_skipped(spark, tmp_path):
     body = (f"2019-10-01 00:00:00 UTC,view,1,{CAT},c,b,1.0,1,s\n\n"
             f"2019-10-01 00:00:01 UTC,view,2,{CAT},c,b,1.0,1,s\n")
@@ -105,10 +115,12 @@ def test_blank_lines_are_skipped(spark, tmp_path):
     ("2019-04-31", dt.datetime(2019, 4, 30, 1, 2, 3)), ("2019-12-31", dt.datetime(2019, 12, 31, 1, 2, 3)),
     ("2019-13-01", None), ("2019-02-32", None), ("2019-2-01", None),
 ])
-def test_clamp_days_option(spark, tmp_path, day, expected):
+def test_days_past_the_month_end(spark, tmp_path, day, expected):
     path = tmp_path / "e.csv"
     path.write_text(HEADER + f"{day} 01:02:03 UTC,view,1,{CAT},c,b,1.0,1,s\n")
-    (r,) = read_csv_events(spark, str(path), clamp_days=True).collect()
+    (strict,) = read_csv_events(spark, str(path), clamp_days=False).collect()
+    assert (strict.reject_reason is None) == (day == "2019-12-31")
+    (r,) = read_csv_events(spark, str(path)).collect()
     assert r.event_time == expected
     assert (r.reject_reason is None) == (expected is not None)
 

@@ -14,9 +14,9 @@ BASE = ('"eventType":"view","productId":1,"categoryId":2053013552326770905,'
         '"categoryCode":"electronics.smartphone","brand":null,"price":99.90,"userId":1,"userSession":"s-1"')
 
 
-def _decode(spark, values, strict=True):
+def _decode(spark, values, strict=True, lenient=True):
     df = spark.createDataFrame([(v,) for v in values], "value string")
-    return decode_events(df, strict=strict, keep=("value",))
+    return decode_events(df, strict=strict, keep=("value",), lenient_numbers=lenient)
 
 
 def test_wire_example(spark):
@@ -49,10 +49,22 @@ def test_time_encodings(spark, time_text):
     ('{"eventTime":1,' + BASE.replace('"productId":1', '"productId":1.5') + '}', "malformed_json"),
 ])
 def test_reject_cases(spark, value, reason):
-    (r,) = _decode(spark, [value]).collect()
+    (r,) = _decode(spark, [value], lenient=False).collect()
     assert r.reject_reason == reason
 
 
+@pytest.mark.parametrize("time_text,ok", [
+    ("2019-10-01T00:00:00Z", True), ("2019-10-01T02:00:00+02:00", True), ("2019-10-01T00:00:00", False),
+    ("2019-10-01", False), ("2019-10-01 00:00:00", False)])
+def test_text_times_name_their_zone(spark, time_text, ok):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        (r,) = _decode(spark, ['{"eventTime":"' + time_text + '",' + BASE + '}']).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (r.reject_reason, r.event_time) == ((None, dt.datetime(2019, 10, 1)) if ok else ("malformed_json", None))
+
+
 def test_lax_mode_ignores_unknown_property(spark):
     (r,) = _decode(spark, ['{"eventTime":1,' + BASE + ',"extra":1}'], strict=False).collect()
     assert r.reject_reason is None
@@ -113,7 +125,7 @@ def test_decode_is_zone_independent(spark):
 def test_lenient_numbers_bind(spark, text, expected):
     value = '{"eventTime":1,' + BASE.replace('"productId":1', '"productId":' + text) + '}'
     df = spark.createDataFrame([(value,)], "value string")
-    (r,) = decode_events(df, lenient_numbers=True).collect()
+    (r,) = decode_events(df).collect()
     assert r.reject_reason is None and r.product_id == expected
 
 
@@ -121,5 +133,5 @@ def test_lenient_numbers_bind(spark, text, expected):
 def test_lenient_numbers_still_reject_non_numbers(spark, text):
     value = '{"eventTime":1,' + BASE.replace('"productId":1', '"productId":' + text) + '}'
     df = spark.createDataFrame([(value,)], "value string")
-    (r,) = decode_events(df, lenient_numbers=True).collect()
+    (r,) = decode_events(df).collect()
     assert r.reject_reason == "bad_number"

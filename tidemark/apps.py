@@ -8,24 +8,28 @@
     python -m tidemark preview-csv --csv PATH
     python -m tidemark orders-state --changes PATH --out PATH
 
-Sinks (repeatable, fanned out from one computation): ``table:PATH``,
-``lines:PATH``, ``jdbc:URL#TABLE`` (credentials from --jdbc-user /
---jdbc-password), ``console``. Checkpoints default to the shared folder
-named by ``spark.checkpoint.dir``.
+Sinks (at least one; repeatable, fanned out from one computation):
+``table:PATH``, ``lines:PATH``, ``jdbc:URL#TABLE`` (credentials from --jdbc-user /
+--jdbc-password), ``console`` (lines in the executors' output). Checkpoints
+default to the shared folder named by ``spark.checkpoint.dir``, one for each
+job, input and target. Master and shuffle partitions are those of
+``spark-submit``, unless --master is given.
 """
 
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
 import sys
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators import summary, validate
 from tidemark.operators.summary import category_top_n_lines, event_type_count_lines
-from tidemark.schema import (CONSUMER_POLL_INTERVAL, EVENTS_TOPIC, MANUAL_TOPIC, MAX_DELAY, REQUEST_SCHEMA,
-                             SINK_FLUSH_INTERVAL, TOP_N, WINDOW)
+from tidemark.schema import (CONSUMER_POLL_INTERVAL, EVENTS_TOPIC, MANUAL_TOPIC, MAX_DELAY, REPLAY_EVENTS_PER_SECOND,
+                             REQUEST_SCHEMA, SINK_FLUSH_INTERVAL, TOP_N, WINDOW)
 from tidemark.session import build_session, scratch_path
 from tidemark.sources import changes, csv_events, topic
 from tidemark.sources.requests import normalize_requests
@@ -39,13 +43,16 @@ def _source_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--topic", default=EVENTS_TOPIC)
     p.add_argument("--max-per-trigger", type=int, default=None,
                    help="records (Kafka) or files per micro-batch")
+    p.add_argument("--rate", type=int, default=None,
+                   help=f"Kafka: records per second, by one bounded micro-batch a second (the replay's pace is "
+                        f"{REPLAY_EVENTS_PER_SECOND}); the bound of a directory is --max-per-trigger files")
     p.add_argument("--topic-format", default="json", choices=["json", "parquet"],
                    help="envelope file format of --topic-dir")
 
 
 def _stream_args(p: argparse.ArgumentParser) -> None:
     _source_args(p)
-    p.add_argument("--sink", action="append", default=[], help="table:PATH | lines:PATH | jdbc:URL#TABLE | console")
+    p.add_argument("--sink", action="append", required=True, help="table:PATH | lines:PATH | jdbc:URL#TABLE | console")
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-password")
     p.add_argument("--checkpoint")
@@ -54,24 +61,27 @@ def _stream_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--trigger", default=None,
                    help=f"'once' (availableNow) or an interval; default {SINK_FLUSH_INTERVAL}")
     p.add_argument("--lax", action="store_true", help="accept unknown JSON properties")
-    p.add_argument("--lenient-numbers", action="store_true",
-                   help='bind quoted ("7") and fractional (1.5 -> 1) integer fields')
+    p.add_argument("--strict-numbers", action="store_true",
+                   help='reject quoted ("7") and fractional (1.5) integer fields instead of binding them')
     p.add_argument("--on-error", default="reject", choices=["reject", "fail"],
                    help="reject: set bad records aside; fail: stop on the first one")
     p.add_argument("--rejects", help="table path for dead letters (a companion query)")
     p.add_argument("--state-partitions", type=int, default=None,
-                   help="state-store partitions when the query first starts (default: cluster cores)")
+                   help="state-store partitions when the query first starts; raise it for many more keys")
 
 
 def _records(spark, args):
     if args.kafka:
-        opts = topic.kafka_options(args.kafka, args.topic, max_offsets_per_trigger=args.max_per_trigger)
+        most = jobs.replay_trigger(args.rate)[1] if args.rate else args.max_per_trigger
+        opts = topic.kafka_options(args.kafka, args.topic, max_offsets_per_trigger=most)
         return topic.read_records(spark, options=opts)
     return topic.read_records(spark, path=args.topic_dir, max_files_per_trigger=args.max_per_trigger,
                               fmt=args.topic_format)
 
 
 def _trigger(args, default: str = SINK_FLUSH_INTERVAL):
+    if args.kafka and args.rate and not args.trigger:
+        return jobs.replay_trigger(args.rate)[0]
     if not args.trigger:  # results are flushed on the sink interval by default
         return {"processingTime": default}
     if args.trigger == "once":
@@ -81,7 +91,7 @@ def _trigger(args, default: str = SINK_FLUSH_INTERVAL):
 
 def _sinks(args, render):
     built = []
-    for spec in args.sink or ["console"]:
+    for spec in args.sink:
         kind, _, target = spec.partition(":")
         if kind == "table":
             built.append(sinks.TableSink(target))
@@ -100,7 +110,7 @@ def _sinks(args, render):
 def _good_events(spark, args, ck: str):
     """Decoded good events, plus the dead-letter query writing ``--rejects`` (if asked)."""
     decoded = topic.decode_records(_records(spark, args), strict=not args.lax,
-                                   lenient_numbers=args.lenient_numbers)
+                                   lenient_numbers=not args.strict_numbers)
     companions = []
     if args.rejects:
         companions.append(jobs.start_passthrough(topic.record_rejects(decoded), sinks.TableSink(args.rejects),
@@ -108,29 +118,51 @@ def _good_events(spark, args, ck: str):
     return validate.split(decoded, on_error=args.on_error).good, companions
 
 
-def _await(*queries) -> None:
-    for q in queries:
-        q.awaitTermination()
+def _checkpoint(spark, args, job: str, *identity) -> str:
+    """The given checkpoint, or one in the shared folder named by job, input and targets."""
+    if args.checkpoint:
+        return args.checkpoint
+    name = hashlib.sha1(json.dumps([str(i) for i in identity]).encode()).hexdigest()[:16]
+    return scratch_path(spark, "checkpoints", f"{job}-{name}", unique=False)
+
+
+def _run_reported(spark, start) -> None:
+    """Start queries (the first is the job's own), wait for all, print the job's totals."""
+    totals = jobs.Totals(spark)
+    try:
+        queries = start()
+        try:
+            jobs.await_all(*queries)
+        finally:
+            print(json.dumps(totals.of(queries[0])))
+    finally:
+        totals.close()
 
 
 def count_job(spark, args) -> None:
-    ck = args.checkpoint or scratch_path(spark, "checkpoints", "count-job", unique=False)
-    good, companions = _good_events(spark, args, ck)
-    q = jobs.start_event_type_counts(good, _sinks(args, event_type_count_lines), ck, args.window,
-                                     args.delay, trigger=_trigger(args), query_name="event_type_counts",
-                                     state_partitions=args.state_partitions or spark.sparkContext.defaultParallelism)
-    _await(q, *companions)
-    print(json.dumps(jobs.progress_summary(q)))
+    ck = _checkpoint(spark, args, "count-job", args.kafka or args.topic_dir, args.topic, *sorted(args.sink))
+
+    def start():
+        good, companions = _good_events(spark, args, ck)
+        q = jobs.start_event_type_counts(good, _sinks(args, event_type_count_lines), ck, args.window,
+                                         args.delay, trigger=_trigger(args), query_name="event_type_counts",
+                                         state_partitions=args.state_partitions)
+        return [q, *companions]
+
+    _run_reported(spark, start)
 
 
 def topn_job(spark, args) -> None:
-    ck = args.checkpoint or scratch_path(spark, "checkpoints", "topn-job", unique=False)
-    good, companions = _good_events(spark, args, ck)
-    q = jobs.start_category_top_n(good, _sinks(args, category_top_n_lines), ck, args.window, args.delay,
-                                  n=args.n, trigger=_trigger(args), query_name="category_top_n",
-                                  state_partitions=args.state_partitions or spark.sparkContext.defaultParallelism)
-    _await(q, *companions)
-    print(json.dumps(jobs.progress_summary(q)))
+    ck = _checkpoint(spark, args, "topn-job", args.kafka or args.topic_dir, args.topic, *sorted(args.sink))
+
+    def start():
+        good, companions = _good_events(spark, args, ck)
+        q = jobs.start_category_top_n(good, _sinks(args, category_top_n_lines), ck, args.window, args.delay,
+                                      n=args.n, trigger=_trigger(args), query_name="category_top_n",
+                                      state_partitions=args.state_partitions)
+        return [q, *companions]
+
+    _run_reported(spark, start)
 
 
 def _publisher(args):
@@ -141,11 +173,13 @@ def _publisher(args):
             sinks.write_topic(batch, args.kafka, args.topic, ordered=True)
             return
         frame = sinks.topic_frame(batch, ordered=True)
-        records = frame.select(
-            F.pmod(F.hash("key"), F.lit(args.partitions)).cast("int").alias("partition"),
-            (F.lit(batch_id).cast("bigint") * F.lit(1 << 40) + F.monotonically_increasing_id()).alias("offset"),
-            "key", "value")
-        records.write.mode("append").format(getattr(args, "topic_format", "json")).save(args.topic_dir)
+        frame = frame.select(F.pmod(F.hash("key"), F.lit(args.partitions)).cast("int").alias("partition"), "key", "value")
+        frame.persist()
+        try:
+            records = topic.with_offsets(frame, batch_id)
+            records.write.mode("append").format(getattr(args, "topic_format", "json")).save(args.topic_dir)
+        finally:
+            frame.unpersist()
 
     return publish
 
@@ -162,13 +196,22 @@ def replay_csv(spark, args) -> None:
     if args.files_per_trigger:
         raw = csv_events.csv_reader(spark, args.multi_line, stream=True,
                                     max_files_per_trigger=args.files_per_trigger).csv(args.csv)
-        good = validate.split(csv_events.type_csv(raw, args.clamp_days), on_error=args.on_error).good
-        ck = args.checkpoint or scratch_path(spark, "checkpoints", "replay-csv", unique=False)
+        checked = csv_events.type_csv(raw, not args.strict_days)
+        ck = _checkpoint(spark, args, "replay-csv", args.csv, args.kafka or args.topic_dir, args.topic)
         trigger = {"availableNow": True} if args.interval == "once" else {"processingTime": args.interval}
-        q = jobs.start_passthrough(good, _publisher(args), ck, trigger)
-        q.awaitTermination()
+        publish, totals = _publisher(args), {}
+
+        def replay(batch, batch_id: int) -> None:
+            seen = Observation()
+            publish(validate.split(summary.observe_ingest(batch, seen), on_error=args.on_error).good, batch_id)
+            for name, n in seen.get.items():
+                totals[name] = totals.get(name, 0) + n
+            if args.report:
+                print(json.dumps(totals))
+
+        jobs.await_all(jobs.start_passthrough(checked, replay, ck, trigger))
         return
-    checked = csv_events.read_csv_events(spark, args.csv, multi_line=args.multi_line, clamp_days=args.clamp_days)
+    checked = csv_events.read_csv_events(spark, args.csv, multi_line=args.multi_line, clamp_days=not args.strict_days)
     _publisher(args)(validate.split(checked, on_error=args.on_error).good, 0)
     if args.report:
         print(json.dumps(summary.ingest_summary(checked).first().asDict()))
@@ -176,16 +219,15 @@ def replay_csv(spark, args) -> None:
 
 def consume(spark, args) -> None:
     """Topic -> audit lines (``partition= offset= key= event=``) and dead letters."""
-    decoded = topic.decode_records(_records(spark, args), strict=not args.lax)
-    base = args.checkpoint or scratch_path(spark, "checkpoints", "consume", unique=False)
-    audit = sinks.TableSink(args.audit) if args.audit else sinks.ConsoleSink(sinks.lines_column)
-    trigger = _trigger(args, CONSUMER_POLL_INTERVAL)
-    queries = [jobs.start_passthrough(topic.audit_lines(decoded), audit, f"{base}/audit", trigger)]
+    decoded = topic.decode_records(_records(spark, args), strict=not args.lax, lenient_numbers=not args.strict_numbers)
+    ck = _checkpoint(spark, args, "consume", args.kafka or args.topic_dir, args.topic, args.audit, args.rejects)
+    audit = sinks.ConsoleSink(sinks.lines_column) if args.audit == "console" else sinks.TableSink(args.audit)
+    parts = [(topic.audit_lines, audit)]
     if args.rejects:
-        queries.append(jobs.start_passthrough(topic.record_rejects(decoded), sinks.TableSink(args.rejects),
-                                              f"{base}/rejects", trigger))
-    for q in queries:
-        q.awaitTermination()
+        parts.append((topic.record_rejects, sinks.TableSink(args.rejects)))
+    # one query: a micro-batch is read and decoded once for both results
+    _run_reported(spark, lambda: [jobs.start_passthrough(
+        decoded, sinks.FanOut(*[sinks.Derived(f, s) for f, s in parts]), ck, _trigger(args, CONSUMER_POLL_INTERVAL))])
 
 
 def manual_requests(spark, args) -> None:
@@ -209,14 +251,14 @@ def manual_requests(spark, args) -> None:
             batch.unpersist()
 
     if args.stream:
-        ck = args.checkpoint or scratch_path(spark, "checkpoints", "manual-requests", unique=False)
-        jobs.start_passthrough(checked, write, ck, {"availableNow": True} if args.once else None).awaitTermination()
+        ck = _checkpoint(spark, args, "manual-requests", args.requests, args.kafka or args.topic_dir, args.topic)
+        jobs.await_all(jobs.start_passthrough(checked, write, ck, {"availableNow": True} if args.once else None))
     else:
         write(checked, 0)
 
 
 def preview_csv(spark, args) -> None:
-    checked = csv_events.read_csv_events(spark, args.csv, multi_line=args.multi_line, clamp_days=args.clamp_days)
+    checked = csv_events.read_csv_events(spark, args.csv, multi_line=args.multi_line, clamp_days=not args.strict_days)
     good = validate.split(checked).good
     for row in summary.preview(good, args.rows).collect():  # bounded: args.rows rows
         print(row)
@@ -245,7 +287,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--partitions", type=int, default=4)
     r.add_argument("--topic-format", default="json", choices=["json", "parquet"])
     r.add_argument("--multi-line", action="store_true")
-    r.add_argument("--clamp-days", action="store_true", help="move a day past the month's end to its last day")
+    r.add_argument("--strict-days", action="store_true", help="reject a day past the month's end instead of taking its last day")
     r.add_argument("--on-error", default="reject", choices=["reject", "fail"])
     r.add_argument("--files-per-trigger", type=int, default=None)
     r.add_argument("--interval", default="1 second", help="trigger interval, or 'once' to drain and stop")
@@ -253,7 +295,8 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--report", action="store_true")
     s = sub.add_parser("consume")
     _source_args(s)
-    s.add_argument("--audit")
+    s.add_argument("--audit", required=True, help="table path, or 'console' (the executors' output)")
+    s.add_argument("--strict-numbers", action="store_true")
     s.add_argument("--rejects")
     s.add_argument("--checkpoint")
     s.add_argument("--trigger", default=None)
@@ -274,7 +317,7 @@ def parser() -> argparse.ArgumentParser:
     v.add_argument("--csv", required=True)
     v.add_argument("--rows", type=int, default=10)
     v.add_argument("--multi-line", action="store_true")
-    v.add_argument("--clamp-days", action="store_true")
+    v.add_argument("--strict-days", action="store_true")
     o = sub.add_parser("orders-state")
     o.add_argument("--changes", required=True)
     o.add_argument("--out", required=True)
@@ -288,7 +331,7 @@ COMMANDS = {"count-job": count_job, "topn-job": topn_job, "replay-csv": replay_c
 def main(argv=None, spark=None) -> None:
     args = parser().parse_args(argv)
     if spark is None:
-        spark = build_session(args.master or "local[*]")
+        spark = build_session(args.master)
     COMMANDS[args.cmd](spark, args)
 
 

@@ -41,6 +41,10 @@ _PASS_TIMESTAMP = _wire_schema(T.TimestampType())
 _LENIENT_DECIMAL = _wire_schema(T.DecimalType(20, 9), T.StringType())
 _LENIENT_TIMESTAMP = _wire_schema(T.TimestampType(), T.StringType())
 
+# An instant as text: a date, a time, and the zone it is in.
+ZONED_TIME = r"^[+-]?[0-9]+-[0-9]{2}-[0-9]{2}[Tt][0-9:.,]+([Zz]|[+-][0-9]{2}(:?[0-9]{2}){0,2})$"
+
+
 def lenient_long(text: Column) -> Column:
     """Integer text as is; a fractional number truncated toward zero; else NULL."""
     return (F.when(text.rlike(LONG_TEXT), text.try_cast("bigint"))
@@ -74,16 +78,17 @@ def _bound(parsed: Column, time_col: Column, lenient: bool = False) -> Column:
 
 
 def decode_events(df: DataFrame, value_col: str = "value", strict: bool = True,
-                  keep: tuple[str, ...] = (), lenient_numbers: bool = False) -> DataFrame:
+                  keep: tuple[str, ...] = (), lenient_numbers: bool = True) -> DataFrame:
     """JSON text -> canonical events plus ``reject_reason`` (NULL when valid).
 
     ``strict`` rejects records carrying properties outside the event model,
-    as a default JSON binder does. ``lenient_numbers`` binds quoted integers
-    (``"7"``) and truncates fractional ones (``1.5`` -> 1) for the integer
-    fields, as a lenient binder does; by default both reject the record.
-    ``keep`` lists input columns carried through (record coordinates, the
-    raw value). Each record is parsed once (twice only when its time is ISO
-    text), however the result is used.
+    as a default JSON binder does; it reads the property names in a pass of its
+    own. ``lenient_numbers`` (the default, as that binder has it) binds quoted
+    integers (``"7"``) and truncates fractional ones (``1.5`` -> 1) for the integer
+    fields; without it both reject the record. A time as text must name its
+    zone (``Z`` or an offset). ``keep`` lists input columns carried through (record
+    coordinates, the raw value). The values are parsed once (twice only when
+    the time is text), however the result is used.
     """
     v = F.col(value_col)
     carry = list(dict.fromkeys([*keep, value_col]))
@@ -96,10 +101,12 @@ def decode_events(df: DataFrame, value_col: str = "value", strict: bool = True,
     staged = fence(df, carry, **first)
     p1 = F.col("_p1")
     p1_ok = p1.getField(CORRUPT_COLUMN).isNull()
-    staged = fence(staged, [*carry, *first], _p2=F.when(~p1_ok, F.from_json(v, pass_timestamp, _JSON_OPTS)))
+    zoned = F.get_json_object(v, "$." + WIRE_OF["event_time"]).rlike(ZONED_TIME)
+    staged = fence(staged, [*carry, *first],
+                   _p2=F.when(~p1_ok, F.when(zoned, F.from_json(v, pass_timestamp, _JSON_OPTS))))
     p2 = F.col("_p2")
     event = (F.when(p1_ok, _bound(p1, from_epoch_seconds(p1.getField("eventTime")), lenient_numbers))
-             .when(p2.getField(CORRUPT_COLUMN).isNull(),
+             .when(p2.isNotNull() & p2.getField(CORRUPT_COLUMN).isNull(),
                    _bound(p2, to_wallclock(p2.getField("eventTime")), lenient_numbers)))
     staged = staged.select(*carry, *[c for c in first if c != "_p1"], event.alias("_event"))
 

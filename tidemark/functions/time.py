@@ -69,12 +69,12 @@ def _clamped(body: Column) -> Column:
     return F.when(in_range, F.make_timestamp_ntz(y, mo, F.least(d, last_day), h, mi, s))
 
 
-def parse_utc_text(text, clamp_days: bool = False) -> Column:
+def parse_utc_text(text, clamp_days: bool = True) -> Column:
     """``yyyy-MM-dd HH:mm:ss<4-char zone>`` -> TIMESTAMP_NTZ, NULL when unparsable.
 
     The last four characters are cut unchecked (any suffix is accepted) and
-    the rest is read as UTC. An impossible date such as 02-30 gives NULL,
-    or with ``clamp_days`` the month's last day (as a lenient resolver does).
+    the rest is read as UTC. A day past the month's end, such as 02-30, is its
+    last day (as the default resolver has it), or NULL without ``clamp_days``.
     """
     t = _c(text)
     body = F.substring(t, F.lit(1), F.length(t) - F.lit(CSV_TIME_SUFFIX_LEN))

@@ -51,6 +51,15 @@ def with_reject_reason(df: DataFrame, required: tuple[str, ...] = REQUIRED) -> D
     return df.withColumn(REASON, first_reason(typed_checks(required=required)))
 
 
+def good_events(df: DataFrame, required: tuple[str, ...] = REQUIRED) -> DataFrame:
+    """The valid rows of typed events, by plain conditions that a scan can take over."""
+    for name in required:
+        df = df.filter(F.col(name).isNotNull())
+        if name == "event_type":
+            df = df.filter(is_known_type(F.col(name)))
+    return df
+
+
 def split(df: DataFrame, on_error: str = "reject", keep: tuple[str, ...] = ()) -> Split:
     """Split a frame carrying ``reject_reason`` into canonical good rows and rejects.
 

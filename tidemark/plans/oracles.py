@@ -157,6 +157,30 @@ ORACLES: dict[str, str] = {
         _window_counts("minute", "upper(event_type)", "event_type", "wire")),
     "stream_category_topn": f"with {_WIRE_GOOD} " + _closed(_topn("minute", "wire")),
 }
+# Replayed from CSV: times are whole seconds there, and every required field must be present.
+_CSV_GOOD = f"""{_GOOD}, sent as (select * replace (date_trunc('second', event_time) as event_time) from good)"""
+ORACLES["stream_replay_counts"] = f"with {_CSV_GOOD} " + _closed(
+    _window_counts("minute", "upper(event_type)", "event_type", "sent"), "sent")
+# Late events (id % 50 = 7) come after all others: lost if their window has closed by then.
+ORACLES["stream_late_events"] = f"""with {_WIRE_GOOD},
+mark as (select max(event_time) - interval 5 second as w from wire where event_id % 50 <> 7),
+counted as (select wire.* from wire, mark where event_id % 50 <> 7
+            or date_trunc('minute', event_time) + interval 1 minute > w)
+""" + _closed(_window_counts("minute", "upper(event_type)", "event_type", "counted"))
+ORACLES["stream_fan_out_lines"] = (
+    f"with {_WIRE_GOOD}, c as (" + _closed(_window_counts("minute", "upper(event_type)", "event_type", "wire"))
+    + ") select '[' || " + _fmt("window_start") + " || ' - ' || " + _fmt("window_end")
+    + " || '] ' || event_type || ': ' || cast(event_count as varchar) as line from c")
+ORACLES["json_binding_cases"] = f"""with ev as ({EVENTS_SQL}),
+k as (select *, event_id % 6 as kind,
+      case when event_time is null then 'missing_event_time' when event_type is null then 'missing_event_type'
+           when event_type not in {_TYPES} then 'unknown_event_type' end as plain_reason from ev)
+select event_id as "offset",
+       case when kind = 5 then null when kind = 4 then date_trunc('second', event_time) else event_time end as event_time,
+       case when kind = 5 then null when kind = 3 then 0 else coalesce(product_id, 0) end as product_id,
+       case when kind = 5 then null else coalesce(user_id, 0) end as user_id,
+       case when kind = 5 then 'malformed_json' else plain_reason end as reject_reason
+from k"""
 ORACLES["stream_record_rejects"] = ORACLES["record_rejects"]
 ORACLES["stream_consumed_audit"] = ORACLES["consumed_audit"]
 ORACLES["stream_orders_current_state"] = ORACLES["orders_current_state"]

@@ -9,6 +9,7 @@ return the result table their sink wrote.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,82 +17,56 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import summary, topn, validate, windows
 from tidemark.schema import CATEGORY_TOP_N_SCHEMA, EVENT_COLUMNS, EVENT_TYPE_COUNTS_SCHEMA, ORDER_CHANGE_SCHEMA
-from tidemark.session import scratch_path
+from tidemark.session import file_system, files_under, scratch_path
 from tidemark.sources import changes, csv_events, fixtures, requests, topic
 from tidemark.streaming import jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_SOURCES: dict[tuple, DataFrame] = {}
-
-
-def _source(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Source frames defined once per session and table folder, shared by all queries.
-
-    A DataFrame is an immutable plan: sharing it saves rebuilding the same
-    expressions for every query; each query still reads the table in full.
-    """
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
-    if key not in _SOURCES:
-        if kind == "raw":
-            _SOURCES[key] = fixtures.raw_events(spark, sf_dir)
-        elif kind == "checked":
-            _SOURCES[key] = validate.with_reject_reason(_source(spark, sf_dir, "raw"))
-        elif kind == "stream_records":  # a streaming frame can start any number of queries
-            records = topic.read_records(spark, path=topic_replica(spark, sf_dir), stream=True, fmt=TOPIC_FORMAT)
-            _SOURCES[key] = topic.decode_records(records)
-        elif kind == "stream_good":
-            _SOURCES[key] = validate.split(_source(spark, sf_dir, "stream_records")).good
-        else:
-            raise KeyError(kind)
-    return _SOURCES[key]
-
-
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _source(spark, sf_dir, "raw")
+    return fixtures.raw_events(spark, sf_dir)
 
 
 def checked_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table with ``reject_reason``."""
-    return _source(spark, sf_dir, "checked")
+    return validate.with_reject_reason(raw_events(spark, sf_dir))
 
 
 def valid_events(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """The events table, validated; the good side in canonical columns."""
-    return validate.split(checked_events(spark, sf_dir), keep=keep).good
+    return validate.good_events(raw_events(spark, sf_dir)).select(*EVENT_COLUMNS, *keep)
 
 
 # Bump when a derivation changes so stale derived inputs are never reused.
-DERIVED_VERSION = "4"
-
+DERIVED_VERSION = "5"
+# A replay has a micro-batch for each slice of time: at least these, and no more than so many bytes of the table to one.
+SLICES, SLICE_BYTES = 5, 256 * 1024 * 1024
+REPLAY_SLICES = 12
 
-def _derived_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
-    digest = hashlib.sha1(f"{DERIVED_VERSION}:{sf_dir.rstrip('/')}".encode()).hexdigest()[:12]
-    return scratch_path(spark, "derived", f"{kind}-{digest}", unique=False)
 
+def _slices(spark: SparkSession, sf_dir: str, least: int = SLICES) -> int:
+    size = sum(n for _, n, _ in files_under(spark, f"{sf_dir}/events.parquet"))
+    return max(least, -(-size // SLICE_BYTES))
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
+def _derived(spark: SparkSession, sf_dir: str, table: str, kind: str, write: Callable[[str], object]) -> str:
+    """A derived copy of a table as it is now, written unless a complete one is there.
 
-def _derive_once(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
-    """Write a derived input at ``path`` unless it is already complete.
-
-    The data is written to a fresh sibling folder and renamed into place, so
-    concurrent callers never read a half-written folder; a caller that loses
-    the race simply uses the winner's copy.
+    The folder is named by the names, lengths and modification times of the
+    table's files, so a table that has changed gets a new copy. Each attempt
+    writes to a folder of its own and marks it when done; no folder is renamed.
     """
-    fs, target = _fs(spark, path)
-    if fs.exists(_fs(spark, f"{path}/_SUCCESS")[1]):
-        return path
-    staging = scratch_path(spark, "staging")
-    write(staging)
-    fs.mkdirs(target.getParent())
-    if not fs.rename(_fs(spark, staging)[1], target) and not fs.exists(_fs(spark, f"{path}/_SUCCESS")[1]):
-        raise RuntimeError(f"could not publish derived input at {path}")
+    listing = files_under(spark, f"{sf_dir.rstrip('/')}/{table}.parquet")
+    digest = hashlib.sha1(repr((DERIVED_VERSION, listing)).encode()).hexdigest()[:16]
+    home = scratch_path(spark, "derived", f"{kind}-{digest}", unique=False)
+    done = [name for name, _, _ in files_under(spark, home) if name.endswith("/_complete")]
+    if done:
+        return done[0].rsplit("/", 1)[0]
+    path = f"{home}/{uuid.uuid4().hex}"
+    write(path)
+    fs, mark = file_system(spark, f"{path}/_complete")
+    fs.create(mark).close()
     return path
 
 
@@ -100,15 +75,40 @@ TOPIC_FORMAT = "parquet"
 
 
 def topic_replica(spark: SparkSession, sf_dir: str) -> str:
-    """The events table published as topic record files (written once per table)."""
-    return _derive_once(spark, _derived_path(spark, sf_dir, "topic"), lambda p: fixtures.write_topic_files(
-        fixtures.topic_records(fixtures.raw_events(spark, sf_dir)), p, TOPIC_FORMAT))
+    """The events table published as topic record files, in the order of time."""
+    def write(path):
+        events = fixtures.by_time(raw_events(spark, sf_dir), _slices(spark, sf_dir))
+        fixtures.write_topic_files(fixtures.topic_records(events), path, TOPIC_FORMAT)
+        fixtures.arrive_in_order(spark, path)
+
+    return _derived(spark, sf_dir, "events", "topic", write)
 
 
 def csv_replica(spark: SparkSession, sf_dir: str) -> str:
-    """The events table written as event CSV files (written once per table)."""
-    return _derive_once(spark, _derived_path(spark, sf_dir, "csv"),
-                        lambda p: fixtures.write_event_csv(fixtures.raw_events(spark, sf_dir), p))
+    """The events table written as event CSV files."""
+    return _derived(spark, sf_dir, "events", "csv", lambda p: fixtures.write_event_csv(raw_events(spark, sf_dir), p))
+
+
+def csv_by_time(spark: SparkSession, sf_dir: str) -> str:
+    """The events table as CSV files that arrive in the order of time."""
+    def write(path):
+        fixtures.write_event_csv(fixtures.by_time(raw_events(spark, sf_dir), _slices(spark, sf_dir, REPLAY_SLICES)), path)
+        fixtures.arrive_in_order(spark, path)
+
+    return _derived(spark, sf_dir, "events", "csv-by-time", write)
+
+
+def late_topic(spark: SparkSession, sf_dir: str) -> str:
+    """As `topic_replica`, but every 50th event arrives after all others."""
+    def write(path):
+        events = raw_events(spark, sf_dir)
+        late = F.coalesce(F.col("event_id") % 50 == 7, F.lit(False))
+        n = _slices(spark, sf_dir)
+        fixtures.write_topic_files(fixtures.topic_records(fixtures.by_time(events.where(~late), n)), path, TOPIC_FORMAT)
+        fixtures.arrive_in_order(spark, path)
+        (fixtures.topic_records(events.where(late)).write.mode("append").format(TOPIC_FORMAT).save(path))
+
+    return _derived(spark, sf_dir, "events", "late-topic", write)
 
 
 # --- windowed counts and rankings
@@ -213,13 +213,15 @@ def orders_current_state(spark, sf_dir):
 
 # --- streaming (S2, W1-W9, K2/K3 via a table sink)
 
-def _stream_good(spark, sf_dir):
-    return _source(spark, sf_dir, "stream_good")
+def _stream_records(spark, sf_dir):
+    """The topic replica read as a stream, a slice of time in each micro-batch."""
+    records = topic.read_records(spark, path=topic_replica(spark, sf_dir), stream=True, fmt=TOPIC_FORMAT,
+                                 max_files_per_trigger=1)
+    return topic.decode_records(records)
 
 
-def _cores(spark: SparkSession) -> int:
-    """State partitions for a new streaming query: one per core the cluster runs at once."""
-    return spark.sparkContext.defaultParallelism
+def _stream_good(spark, sf_dir):
+    return validate.split(_stream_records(spark, sf_dir)).good
 
 
 def _run_to_end(query) -> None:
@@ -237,7 +239,7 @@ def stream_event_type_counts(spark, sf_dir):
     out = scratch_path(spark, "results", "event_type_counts")
     q = jobs.start_event_type_counts(
         _stream_good(spark, sf_dir), sinks.TableSink(out), scratch_path(spark, "checkpoints", "etc"),
-        trigger={"availableNow": True}, state_partitions=_cores(spark))
+        trigger={"availableNow": True})
     _run_to_end(q)
     return _read_result(spark, out, EVENT_TYPE_COUNTS_SCHEMA)
 
@@ -246,15 +248,11 @@ def stream_category_topn(spark, sf_dir):
     out = scratch_path(spark, "results", "category_top_n")
     q = jobs.start_category_top_n(
         _stream_good(spark, sf_dir), sinks.TableSink(out), scratch_path(spark, "checkpoints", "ctn"),
-        trigger={"availableNow": True}, state_partitions=_cores(spark))
+        trigger={"availableNow": True})
     _run_to_end(q)
     return _read_result(spark, out, CATEGORY_TOP_N_SCHEMA)
 
 
-def _stream_records(spark, sf_dir):
-    return _source(spark, sf_dir, "stream_records")
-
-
 def stream_record_rejects(spark, sf_dir):
     """Dead letters of a running consumer (stateless stream into an idempotent table)."""
     out = scratch_path(spark, "results", "record_rejects")
@@ -273,20 +271,72 @@ def stream_consumed_audit(spark, sf_dir):
     return spark.read.parquet(out).drop("batch_id")
 
 
+def stream_replay_counts(spark, sf_dir):
+    """CSV files replayed into a topic, a file to a micro-batch, and the topic counted publish by publish."""
+    topic_dir = scratch_path(spark, "results", "replayed-topic")
+    raw = csv_events.csv_reader(spark, stream=True, max_files_per_trigger=1).csv(csv_by_time(spark, sf_dir))
+    good = validate.split(csv_events.type_csv(raw)).good
+
+    def publish(batch, batch_id):
+        records = sinks.topic_frame(batch, ordered=True).select(F.lit(0).alias("partition"), "key", "value")
+        records.persist()
+        try:
+            topic.with_offsets(records, batch_id).coalesce(1).write.mode("append").format(TOPIC_FORMAT).save(topic_dir)
+        finally:
+            records.unpersist()
+
+    _run_to_end(jobs.start_passthrough(good, publish, scratch_path(spark, "checkpoints", "replay"), {"availableNow": True}))
+    records = topic.read_records(spark, path=topic_dir, stream=True, fmt=TOPIC_FORMAT, max_files_per_trigger=1)
+    out = scratch_path(spark, "results", "replay_counts")
+    _run_to_end(jobs.start_event_type_counts(
+        validate.split(topic.decode_records(records)).good, sinks.TableSink(out), scratch_path(spark, "checkpoints", "rc"),
+        trigger={"availableNow": True}))
+    return _read_result(spark, out, EVENT_TYPE_COUNTS_SCHEMA)
+
+
+def stream_late_events(spark, sf_dir):
+    """Counts of a stream whose last file holds late events: those of closed windows are dropped."""
+    records = topic.read_records(spark, path=late_topic(spark, sf_dir), stream=True, fmt=TOPIC_FORMAT, max_files_per_trigger=1)
+    out = scratch_path(spark, "results", "late_counts")
+    _run_to_end(jobs.start_event_type_counts(
+        validate.split(topic.decode_records(records)).good, sinks.TableSink(out), scratch_path(spark, "checkpoints", "late"),
+        trigger={"availableNow": True}))
+    return _read_result(spark, out, EVENT_TYPE_COUNTS_SCHEMA)
+
+
+def stream_fan_out_lines(spark, sf_dir):
+    """The lines of a running count job that also writes its table, from one computation."""
+    out = scratch_path(spark, "results", "fan_out")
+    _run_to_end(jobs.start_event_type_counts(
+        _stream_good(spark, sf_dir), sinks.FanOut(sinks.TableSink(f"{out}/table"), sinks.count_lines_sink(f"{out}/lines")),
+        scratch_path(spark, "checkpoints", "fan"), trigger={"availableNow": True}))
+    return spark.read.schema("value string").text(f"{out}/lines").select(F.col("value").alias("line"))
+
+
+def json_binding_cases(spark, sf_dir):
+    """Event records with ids quoted, fractional or missing and times as text, bound by the default rules."""
+    records = fixtures.topic_records(raw_events(spark, sf_dir))
+    return topic.decode_records(fixtures.binding_cases(records)).select(
+        "offset", "event_time", "product_id", "user_id", validate.REASON)
+
+
 def order_change_replica(spark: SparkSession, sf_dir: str) -> str:
-    """The orders table's change rows as files (a change topic, written once)."""
-    return _derive_once(spark, _derived_path(spark, sf_dir, "order-changes"),
-                        lambda p: fixtures.order_changes(spark, sf_dir).write.parquet(p))
+    """The orders table's change rows as files (a change topic)."""
+    def write(path):
+        fixtures.order_changes(spark, sf_dir).repartitionByRange(SLICES, "change_seq").write.parquet(path)
+        fixtures.arrive_in_order(spark, path)
+
+    return _derived(spark, sf_dir, "orders", "order-changes", write)
 
 
 def stream_orders_current_state(spark, sf_dir):
-    """Change rows streamed into an append-only, batch-idempotent table; state on read."""
-    table = scratch_path(spark, "results", "order_changes")
-    feed = spark.readStream.schema(ORDER_CHANGE_SCHEMA).parquet(order_change_replica(spark, sf_dir))
-    q = jobs.start_passthrough(feed, lambda b, i: changes.append_changes(b, i, table),
-                               scratch_path(spark, "checkpoints", "orders"), {"availableNow": True})
+    """Change rows merged into the order state, a micro-batch at a time."""
+    table = scratch_path(spark, "results", "order_state")
+    feed = spark.readStream.schema(ORDER_CHANGE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(order_change_replica(spark, sf_dir))
+    q = jobs.start_passthrough(feed, changes.StateTable(table), scratch_path(spark, "checkpoints", "orders"),
+                               {"availableNow": True})
     _run_to_end(q)
-    return changes.current_state(spark.read.parquet(table).drop("batch_id"))
+    return changes.StateTable(table).read(spark)
 
 
 QUERIES: dict[str, Query] = {
@@ -313,4 +363,8 @@ QUERIES: dict[str, Query] = {
     "stream_record_rejects": stream_record_rejects,
     "stream_consumed_audit": stream_consumed_audit,
     "stream_orders_current_state": stream_orders_current_state,
+    "stream_replay_counts": stream_replay_counts,
+    "stream_late_events": stream_late_events,
+    "stream_fan_out_lines": stream_fan_out_lines,
+    "json_binding_cases": json_binding_cases,
 }

@@ -40,6 +40,9 @@ MANUAL_TOPIC = "manual-events"
 FORM_DEFAULTS = ("view", "123456", "2053013552326770905", "", "", "99.99", "1", "")
 # --- end of fixed values.
 
+# State stores of the windowed jobs: three event types, some hundred categories, two open windows.
+STATE_PARTITIONS = {"event_type": 4, "category": 8}
+
 # Canonical typed event. event_time is TIMESTAMP_NTZ holding the UTC
 # wall-clock time, so results never depend on the session time zone.
 PRICE_TYPE = T.DecimalType(38, 18)
@@ -110,4 +113,3 @@ ORDER_CHANGE_SCHEMA = T.StructType([
     T.StructField("created_at", T.TimestampNTZType(), True),
 ])
 ORDER_COLUMNS = ("order_id", "customer_name", "product_name", "amount", "status", "created_at")
-CHANGE_OPS = ("insert", "update", "delete")

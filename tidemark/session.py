@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,18 +11,18 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tidemark", extra: dict | None = None) -> SparkSession:
     """A session configured the way every job here expects.
 
     Session time zone is pinned to UTC (event times are UTC wall-clock), AQE
     is on so shuffle partition counts and skewed partitions are re-planned at
-    runtime, and the UI server stays off.
+    runtime, and the UI server stays off. Master and shuffle partitions are
+    set only if given: ``spark-submit`` and the cluster's defaults decide else.
     """
     builder = (
-        SparkSession.builder.master(master)
+        SparkSession.builder
         .appName(app_name)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -29,6 +30,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
     )
+    if master is not None:
+        builder = builder.master(master)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -39,14 +44,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (a bare local test session)
-    is a private folder created and registered, so lineage cuts and derived
-    tables never land in a machine-local folder on a real cluster.
+    Read from the session; only a session in one process (``local``, as in tests)
+    gets a private folder where it is unset. A cluster without it is an error:
+    its machines share no folder of their own.
     """
     base = spark.conf.get(CHECKPOINT_CONF, None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set(CHECKPOINT_CONF, base)
         spark.sparkContext.setCheckpointDir(base)
@@ -61,22 +68,23 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join(segs)
 
 
-def balanced(df, min_partitions: int | None = None):
-    """Spread a scan that yields fewer partitions than the cluster can run at once.
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path as it names it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    A small table stored as one parquet row group scans in a single task,
-    and everything fused after the scan (decode, encode, validation, partial
-    aggregation) then runs on one core. Below the default parallelism the
-    rows are dealt round-robin over that many partitions; at scale, where a
-    scan already yields thousands of splits, this is a no-op and adds no
-    shuffle.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the plan as is
-        return df
-    return df if splits >= target else df.repartition(target)
+
+def files_under(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, length, modification time) of every file under ``path``; none if it does not exist."""
+    fs, p = file_system(spark, path)
+    if not fs.exists(p):
+        return []
+    out, files = [], fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
 
 
 def cluster_conf(executor_cores_total: int) -> dict[str, str]:

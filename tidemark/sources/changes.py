@@ -13,15 +13,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schema import ORDER_COLUMNS
+from tidemark.session import file_system, files_under
 
 
 def current_state(changes: DataFrame) -> DataFrame:
     """``order_id, customer_name, product_name, amount, status, created_at, last_change_seq``."""
+    return _live(last_changes(changes))
+
+
+def _live(last: DataFrame) -> DataFrame:
+    return last.filter(F.col("op") != F.lit("delete")).select(*ORDER_COLUMNS, F.col("change_seq").alias("last_change_seq"))
+
+
+def last_changes(changes: DataFrame) -> DataFrame:
+    """The latest change row of each order, deletes included."""
     latest = F.max(F.struct("change_seq", "op", *ORDER_COLUMNS[1:])).alias("last")
-    folded = changes.groupBy("order_id").agg(latest)
-    return folded.filter(F.col("last.op") != F.lit("delete")).select(
-        "order_id", *[F.col(f"last.{n}").alias(n) for n in ORDER_COLUMNS[1:]],
-        F.col("last.change_seq").alias("last_change_seq"))
+    return changes.groupBy("order_id").agg(latest).select("order_id", "last.*")
+
+
+class StateTable:
+    """The latest change of every order, kept up to date by a change stream.
+
+    A micro-batch reads the last version, folds its own changes in and writes
+    the next one, so the cost follows the number of orders, not their
+    history. Deletes stay as rows: an older change that comes later must not
+    bring the order back. A micro-batch that runs again writes the same version
+    from the one before it; the version before the last is kept for that.
+    """
+
+    def __init__(self, path: str):
+        self.path = path
+        self.targets = [path]
+
+    def _versions(self, spark) -> list[int]:
+        done = [n for n, _, _ in files_under(spark, self.path) if n.endswith("/_SUCCESS") and "/batch_id=" in n]
+        return sorted(int(n.rsplit("/batch_id=", 1)[1].split("/")[0]) for n in done)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = [v for v in self._versions(spark) if v < batch_id]
+        rows = batch.select("change_seq", "op", *ORDER_COLUMNS)
+        if before:
+            rows = rows.unionByName(spark.read.parquet(f"{self.path}/batch_id={before[-1]}"))
+        last_changes(rows).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        for version in before[:-1]:
+            fs, old = file_system(spark, f"{self.path}/batch_id={version}")
+            fs.delete(old, True)
+
+    def read(self, spark) -> DataFrame:
+        """The current state, as `current_state` gives it."""
+        versions = self._versions(spark)
+        if not versions:
+            raise FileNotFoundError(f"no state at {self.path}")
+        return _live(spark.read.parquet(f"{self.path}/batch_id={versions[-1]}"))
 
 
 def append_changes(batch: DataFrame, batch_id: int, table_path: str) -> None:

@@ -45,20 +45,23 @@ def csv_reader(spark: SparkSession, multi_line: bool = False, stream: bool = Fal
             .option("multiLine", multi_line))
 
 
-def type_csv(raw: DataFrame, clamp_days: bool = False) -> DataFrame:
+def type_csv(raw: DataFrame, clamp_days: bool = True) -> DataFrame:
     """All-text CSV rows -> canonical events + ``reject_reason`` + ``raw_record``.
 
     The raw row is fenced first: the parser then always tokenizes all nine
     fields, so a short or long row is flagged whichever columns are used.
     The typed values and the reason are fenced as well, so the reject split
     filters on a plain column instead of parsing times and numbers again.
-    ``clamp_days`` resolves a day past the month's end to its last day
-    instead of rejecting the row.
+    ``clamp_days`` resolves a day past the month's end to its last day; without
+    it the row is rejected. Columns past the ninth are passed over. ``raw_record``
+    parses to the same fields again: quoted where a value needs it.
     """
     raw = fence(raw, **{n: F.col(n) for n in CSV_SCHEMA.fieldNames()})
     casts = dict(_CASTS, event_time=lambda c: parse_utc_text(c, clamp_days))
     typed = {n: casts[n](F.col(n)) for n in EVENT_COLUMNS}
-    short = F.col(CORRUPT_COLUMN).isNotNull() & F.col("user_session").isNull()
+    # a corrupt row is short or long: fields are counted with quoted ones set aside
+    unquoted = F.regexp_replace(CORRUPT_COLUMN, r'"([^"]|"")*"', "")
+    short = F.col(CORRUPT_COLUMN).isNotNull() & (F.size(F.split(unquoted, ",", -1)) < len(EVENT_COLUMNS))
     checks = [(short, "short_row")]
     for name in ("event_time", "event_type", "product_id", "category_id", "price", "user_id"):
         checks.append((F.col(name).isNull(), f"missing_{name}"))
@@ -66,12 +69,13 @@ def type_csv(raw: DataFrame, clamp_days: bool = False) -> DataFrame:
             checks += typed_checks(F.col, required=(name,))[1:]
         else:
             checks.append((typed[name].isNull(), f"bad_{name}"))
-    raw_cols = [F.coalesce(F.col(n), F.lit("")) for n in EVENT_COLUMNS]  # keep field positions
-    raw_record = F.coalesce(F.col(CORRUPT_COLUMN), F.concat_ws(",", *raw_cols))
+    whole = F.to_csv(F.struct(*[F.col(n) for n in EVENT_COLUMNS]), {
+        "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    raw_record = F.coalesce(F.col(CORRUPT_COLUMN), whole)
     return fence(raw, **typed, **{REASON: first_reason(checks), "raw_record": raw_record})
 
 
 def read_csv_events(spark: SparkSession, path: str, multi_line: bool = False,
-                    clamp_days: bool = False) -> DataFrame:
+                    clamp_days: bool = True) -> DataFrame:
     """CSV file(s) -> canonical events + ``reject_reason`` (see ``operators.validate.split``)."""
     return type_csv(csv_reader(spark, multi_line).csv(path), clamp_days)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.codec import encode_event
 from tidemark.functions.scalar import user_key
 from tidemark.functions.time import text_utc
-from tidemark.session import balanced
+from tidemark.session import file_system
 from tidemark.schema import EVENT_COLUMNS
 
 CATEGORY_ID_BASE = 2053013552326770000  # beyond 2^53: ids must never pass through a double
@@ -36,11 +36,11 @@ TABLE_SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table, spread over the cluster's cores if its files give fewer splits."""
+    """One driver table; splits follow ``spark.sql.files.maxPartitionBytes`` and its row groups."""
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
-    return balanced(reader.parquet(f"{sf_dir}/{name}.parquet"))
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,12 +91,53 @@ def topic_records(events: DataFrame, partitions: int = TOPIC_PARTITIONS) -> Data
     )
 
 
+def arrive_in_order(spark: SparkSession, path: str) -> str:
+    """Give the files of a folder modification times in the order of their names.
+
+    A file stream reads files by modification time. The part files of one write
+    are closed in any order; a folder filled over time has its own.
+    """
+    fs, folder = file_system(spark, path)
+    files = sorted((f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")),
+                   key=lambda f: f.getName())
+    for i, f in enumerate(files):
+        fs.setTimes(f, 1_600_000_000_000 + 1000 * i, -1)
+    return path
+
+
+def by_time(events: DataFrame, slices: int) -> DataFrame:
+    """Events as ``slices`` range partitions of event time, each in order: replayed in turn, none is late."""
+    return events.repartitionByRange(slices, "event_time", "event_id").sortWithinPartitions("event_time", "event_id")
+
+
 def write_topic_files(records: DataFrame, path: str, fmt: str = "json") -> str:
     """Envelope files (one directory = one replayable topic), JSON lines or parquet."""
     records.write.mode("overwrite").format(fmt).save(path)
     return path
 
 
+def binding_cases(records: DataFrame) -> DataFrame:
+    """Topic records whose JSON is written another way, by offset % 6.
+
+    1: product id as text; 2: user id with a fraction; 3: no product id; 4: time as
+    text in UTC, to the second; 5: time as text without a zone; 0: as it was.
+    """
+    kind = F.col("offset") % 6
+    value = F.col("value")
+    seconds = F.regexp_extract(value, r'"eventTime":([0-9]+)', 1).cast("bigint")
+    text = F.substring(F.timestamp_add("SECOND", seconds, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")).cast("string"), 1, 19)
+    iso = F.replace(text, F.lit(" "), F.lit("T"))
+
+    def with_time(form):
+        return F.concat(F.lit('{"eventTime":"'), form, F.lit('",'), F.regexp_extract(value, r'^[{]"eventTime":[^,]*,(.*)$', 1))
+
+    return records.withColumn("value", F.when(kind == 1, F.regexp_replace(value, r'"productId":([0-9]+)', '"productId":"$1"'))
+                              .when(kind == 2, F.regexp_replace(value, r'"userId":([0-9]+)', '"userId":$1.75'))
+                              .when(kind == 3, F.regexp_replace(value, r'"productId":[^,]*,', ""))
+                              .when(kind == 4, with_time(F.concat(iso, F.lit("Z"))))
+                              .when(kind == 5, with_time(iso)).otherwise(value))
+
+
 def csv_text_columns(events: DataFrame) -> DataFrame:
     """Canonical events rendered as the nine CSV text columns."""
     cols = []

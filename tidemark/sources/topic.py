@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.functions.codec import decode_events
 from tidemark.operators.validate import REASON
@@ -53,7 +54,25 @@ def read_records(spark: SparkSession, *, path: str | None = None, options: dict
     return reader.format(fmt).load(path)
 
 
-def decode_records(records: DataFrame, strict: bool = True, lenient_numbers: bool = False) -> DataFrame:
+def with_offsets(records: DataFrame, batch_id: int) -> DataFrame:
+    """Envelope rows of one publish: every record gets an offset that no other of the topic has.
+
+    Records are numbered within their task and moved up by the rows of the
+    tasks before it (one number per task); each publish has 2^40 offsets. The
+    frame should be persisted: it is read twice.
+    """
+    shift = 33  # monotonically_increasing_id is the task, then 33 bits for the row
+    marked = records.select("*", F.monotonically_increasing_id().alias("mark"))
+    task, row = F.shiftright("mark", shift), F.col("mark").bitwiseAND(F.lit((1 << shift) - 1))
+    counts = marked.groupBy(task.alias("task")).agg(F.count("*").alias("n"))
+    earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("task").alias("of_task"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    placed = marked.join(F.broadcast(starts), task == F.col("of_task"))  # a row per task
+    return placed.select("partition", (F.lit(batch_id).cast("bigint") * F.lit(1 << 40) + F.col("start") + row).alias("offset"),
+                         "key", "value")
+
+
+def decode_records(records: DataFrame, strict: bool = True, lenient_numbers: bool = True) -> DataFrame:
     """Records -> canonical events with coordinates, raw value and ``reject_reason``."""
     return decode_events(records, "value", strict=strict, keep=(*COORDINATES, "value"),
                          lenient_numbers=lenient_numbers)

@@ -16,16 +16,19 @@ never holds windows open; no idle timeout needs configuring.
 from __future__ import annotations
 
 import threading
+import time
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidemark.functions.time import to_instant
 from tidemark.operators.topn import top_n_per_window
 from tidemark.operators.windows import category_counts, event_type_counts
-from tidemark.schema import MAX_DELAY, REPLAY_EVENTS_PER_SECOND, TOP_N, UNKNOWN_CATEGORY, WINDOW
-from tidemark.streaming.sinks import BatchSink
+from tidemark.schema import (MAX_DELAY, REPLAY_EVENTS_PER_SECOND, STATE_PARTITIONS, TOP_N, UNKNOWN_CATEGORY,
+                             WINDOW)
+from tidemark.streaming.sinks import BatchSink, claim
 
 LATE_RULE_CONF = "spark.sql.streaming.statefulOperator.allowMultiple"
 # Query starts that change session settings are serialized, so two threads
@@ -89,9 +92,11 @@ def _start(frame: DataFrame, sink: BatchSink, checkpoint: str, trigger: dict | N
 
     ``state_partitions`` fixes the number of state-store partitions (the
     shuffle partitions of the stateful exchange) for the life of the
-    checkpoint; AQE does not resize stateful shuffles, so size it to the
-    cluster's cores rather than inheriting a generic default.
+    checkpoint. Every store commits in every micro-batch, so the number follows
+    the keys of the open windows, not the cluster: a few for event types, more
+    for categories (`STATE_PARTITIONS`), raised by option for more keys.
     """
+    claim(frame.sparkSession, sink, checkpoint)
     writer = (frame.writeStream.outputMode("append").foreachBatch(sink)
               .option("checkpointLocation", checkpoint))
     if trigger:
@@ -109,7 +114,7 @@ def start_event_type_counts(events: DataFrame, sink: BatchSink, checkpoint: str,
                             state_partitions: int | None = None) -> StreamingQuery:
     """Counts per (window, event type), each window written once when it closes."""
     return _start(event_type_count_stream(events, length, delay), sink, checkpoint, trigger, query_name,
-                  state_partitions)
+                  state_partitions or STATE_PARTITIONS["event_type"])
 
 
 def start_category_top_n(events: DataFrame, sink: BatchSink, checkpoint: str,
@@ -128,12 +133,15 @@ def start_category_top_n(events: DataFrame, sink: BatchSink, checkpoint: str,
     def rank_then_write(batch: DataFrame, batch_id: int) -> None:
         sink(top_n_per_window(batch, n), batch_id)
 
-    return _start(counts, rank_then_write, checkpoint, trigger, query_name, state_partitions)
+    rank_then_write.targets = getattr(sink, "targets", [])
+    return _start(counts, rank_then_write, checkpoint, trigger, query_name,
+                  state_partitions or STATE_PARTITIONS["category"])
 
 
 def start_passthrough(frame: DataFrame, sink: BatchSink, checkpoint: str,
                       trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
     """Stateless streams (audit lines, dead letters, change rows) into a batch sink."""
+    claim(frame.sparkSession, sink, checkpoint)
     writer = frame.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
@@ -149,20 +157,73 @@ def replay_trigger(events_per_second: int = REPLAY_EVENTS_PER_SECOND,
     return {"processingTime": f"{interval_seconds} seconds"}, events_per_second * interval_seconds
 
 
-def progress_summary(query: StreamingQuery) -> dict:
-    """Totals over a query's retained progress reports.
+class Totals(StreamingQueryListener):
+    """Running totals of streaming queries, from every progress report (a query keeps only its last ones).
 
-    Rows read, micro-batches, the last event-time watermark, and rows dropped
-    as late by the stateful operator (the late-data rule made visible).
+    Register before the query starts and take it off when done::
+
+        totals = Totals(spark)
+        query = ...
+        totals.of(query); totals.close()
+
+    ``late_groups`` counts what the stateful operator dropped: rows that were
+    pre-aggregated in their task, so one for all late events of a task with
+    the same window and key.
     """
-    reports = query.recentProgress
-    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
-                  for p in reports for op in p.get("stateOperators", []))
-    watermark = next((p["eventTime"].get("watermark") for p in reversed(reports)
-                      if p.get("eventTime", {}).get("watermark")), None)
-    return {
-        "batches": len(reports),
-        "input_rows": sum(p.get("numInputRows", 0) for p in reports),
-        "rows_dropped_late": dropped,
-        "watermark": watermark,
-    }
+
+    def __init__(self, spark):
+        self.spark, self.lock, self.runs = spark, threading.Lock(), {}
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self.lock:
+            self._run(event.runId)["ended"] = True
+
+    def _run(self, run_id) -> dict:
+        return self.runs.setdefault(str(run_id), {"batches": 0, "input_rows": 0, "late_groups": 0, "watermark": None, "ended": False})
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        with self.lock:
+            run = self._run(p.runId)
+            run["batches"] += 1
+            run["input_rows"] += p.numInputRows
+            run["late_groups"] += sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+            run["watermark"] = dict(p.eventTime or {}).get("watermark", run["watermark"])
+
+    def of(self, query: StreamingQuery, wait_seconds: float = 10.0) -> dict:
+        """Totals of a query; of an ended one after its last report has come in."""
+        end = time.monotonic() + wait_seconds
+        while not query.isActive and time.monotonic() < end:
+            with self.lock:
+                if self._run(query.runId)["ended"]:
+                    break
+            time.sleep(0.05)
+        with self.lock:
+            return {k: v for k, v in self._run(query.runId).items() if k != "ended"}
+
+    def close(self) -> None:
+        self.spark.streams.removeListener(self)
+
+
+def await_all(*queries: StreamingQuery) -> None:
+    """Wait for all; if one fails, stop the others and raise its error."""
+    try:
+        while True:
+            running = [q for q in queries if q.isActive]
+            for q in queries:
+                if not q.isActive and q.exception() is not None:
+                    raise q.exception()
+            if not running:
+                return
+            running[0].awaitTermination(1)
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()

@@ -3,7 +3,8 @@
 Each sink is a callable ``(batch_df, batch_id) -> None``. Table sinks write
 a batch to its own ``batch_id=`` partition with overwrite, so a micro-batch
 replayed after a failure replaces its first attempt instead of adding to
-it: with the checkpoint this gives exactly-once results in the table.
+it: with the checkpoint this gives exactly-once results in the table. A folder
+belongs to one checkpoint; `claim` refuses it to another.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from tidemark.functions.codec import encode_event
 from tidemark.functions.scalar import user_key
 from tidemark.operators.summary import category_top_n_lines, event_type_count_lines
 from tidemark.schema import EVENTS_TOPIC, SINK_BATCH_ROWS, SINK_MAX_RETRIES
+from tidemark.session import files_under
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -28,6 +30,7 @@ class TableSink:
 
     def __init__(self, path: str, fmt: str = "parquet"):
         self.path, self.fmt = path, fmt
+        self.targets = [path]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").format(self.fmt).save(f"{self.path}/batch_id={batch_id}")
@@ -56,8 +59,11 @@ class JdbcSink:
         self.sleep = time.sleep
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        # kept for the retries, so a retry does not recompute the micro-batch
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        # kept for the retries, so a retry does not recompute the micro-batch; a batch
+        # that an outer sink keeps is left to it
+        owner = not batch.is_cached
+        if owner:
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for attempt in range(self.retries + 1):
                 try:
@@ -68,7 +74,8 @@ class JdbcSink:
                         raise
                     self.sleep(self.backoff * (attempt + 1))
         finally:
-            batch.unpersist()
+            if owner:
+                batch.unpersist()
 
 
 class LinesSink:
@@ -76,6 +83,7 @@ class LinesSink:
 
     def __init__(self, path: str, render: Callable[[DataFrame], DataFrame]):
         self.path, self.render = path, render
+        self.targets = [path]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self.render(batch).write.mode("overwrite").text(f"{self.path}/batch_id={batch_id}")
@@ -89,14 +97,19 @@ def top_n_lines_sink(path: str) -> LinesSink:
     return LinesSink(path, category_top_n_lines)
 
 
+def _print_lines(rows) -> None:
+    for row in rows:
+        print(row[0], flush=True)
+
+
 class ConsoleSink:
-    """Development print of rendered lines (bounded by ``max_rows`` per batch)."""
+    """Prints every rendered line where it is: to the output of the executor that holds it."""
 
-    def __init__(self, render: Callable[[DataFrame], DataFrame], max_rows: int = 1000):
-        self.render, self.max_rows = render, max_rows
+    def __init__(self, render: Callable[[DataFrame], DataFrame]):
+        self.render = render
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.render(batch).show(self.max_rows, truncate=False)
+        self.render(batch).foreachPartition(_print_lines)
 
 
 class FanOut:
@@ -105,27 +118,58 @@ class FanOut:
 
     def __init__(self, *sinks: BatchSink):
         self.sinks = sinks
+        self.targets = [t for s in sinks for t in getattr(s, "targets", ())]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        owner = not batch.is_cached
+        if owner:
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for sink in self.sinks:
                 sink(batch, batch_id)
         finally:
-            batch.unpersist()
+            if owner:
+                batch.unpersist()
+
+
+class Derived:
+    """A result computed from the micro-batch, into a sink of its own."""
+
+    def __init__(self, compute: Callable[[DataFrame], DataFrame], sink: BatchSink):
+        self.compute, self.sink = compute, sink
+        self.targets = getattr(sink, "targets", [])
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.sink(self.compute(batch), batch_id)
+
+
+def claim(spark, sink: BatchSink, checkpoint: str) -> None:
+    """Refuse file targets that hold another run's batches.
+
+    Batches are numbered from 0 under a new checkpoint; in a folder that an
+    earlier checkpoint filled, some would replace its batches and the rest would
+    stay beside them.
+    """
+    if files_under(spark, f"{checkpoint}/metadata"):
+        return
+    for target in getattr(sink, "targets", ()):
+        if any("/batch_id=" in name for name, _, _ in files_under(spark, target)):
+            raise ValueError(f"{target} holds the batches of another run; continue with its checkpoint or choose a new folder")
 
 
 def topic_frame(events: DataFrame, ordered: bool = False) -> DataFrame:
     """Events -> ``key, value`` records (key = user id text, value = event JSON).
 
     Records of one key go to one topic partition (the producer hashes the
-    key). ``ordered`` additionally sorts each task's records by (user, time)
-    so a user's events leave every task in event-time order; it costs a
-    sort, not a shuffle, and does not gather a user's events into one task.
+    key). ``ordered`` deals the events out by ranges of time and sorts each
+    task's records by (time, user): every task sends a span of time in order, so
+    a topic partition gets a user's events in order within a task, and tasks
+    run at the same time are no further apart than their spans. A hot user is
+    spread over all of them.
     """
     frame = events
     if ordered:
-        frame = frame.sortWithinPartitions("user_id", "event_time")
+        frame = frame.repartitionByRange("event_time", "user_id").sortWithinPartitions("event_time", "user_id")
     return frame.select(user_key("user_id").alias("key"), encode_event().alias("value"))
 
 
@@ -137,15 +181,6 @@ def write_topic(events: DataFrame, bootstrap: str, topic: str = EVENTS_TOPIC,
      .option("kafka.acks", "all").options(**options).save())
 
 
-def topic_sink(bootstrap: str, topic: str = EVENTS_TOPIC, **options: str) -> BatchSink:
-    """Streaming form of :func:`write_topic` for ``foreachBatch``."""
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        write_topic(batch, bootstrap, topic, **options)
-
-    return sink
-
-
 def lines_column(batch: DataFrame) -> DataFrame:
     """Identity renderer for frames already holding a ``line`` column."""
     return batch.select(F.col("line"))
