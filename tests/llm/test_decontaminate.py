@@ -3,6 +3,7 @@ import random
 import pytest
 
 from tidemark.llm import decontaminate as dc
+from tidemark.llm.common import words
 
 
 def plain_distances(pattern, text, anywhere):
@@ -51,8 +52,8 @@ def test_recall_of_edited_items(share):
     tables = dc.Items(items)
     texts = []
     for _, text in items:
-        words = text.split()
-        planted = edited(words, int(len(words) * share), r, vocab)
+        split = text.split()
+        planted = edited(split, int(len(split) * share), r, vocab)
         texts.append(" ".join(r.choice(vocab) for _ in range(80)) + ". " + " ".join(planted).title() + "! " + " ".join(r.choice(vocab) for _ in range(50)))
     found = tables.find(texts)
     assert sum(any(x[0] == i for x in got) for (i, _), got in zip(items, found)) >= 0.97 * len(items)
@@ -64,11 +65,11 @@ ITEM = "one two three four five six seven eight nine ten eleven twelve thirteen
 def brute(rows, items):
     out = []
     for doc_id, text, _ in rows:
-        words = [w for part in dc.words(text) for w in part]
+        read = [w for part in words(text) for w in part]
         for item_id, item in items:
-            pattern = [w for part in dc.words(item) for w in part]
-            if item_id is not None and len(pattern) >= 5 and words:
-                d = min(plain_distances(pattern, words, True))
+            pattern = [w for part in words(item) for w in part]
+            if item_id is not None and len(pattern) >= 5 and read:
+                d = min(plain_distances(pattern, read, True))
                 if d <= int(len(pattern) * 0.2 + 1e-9):
                     out.append((doc_id, item_id, d, len(pattern)))
     return sorted(out, key=str)

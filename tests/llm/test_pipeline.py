@@ -10,8 +10,8 @@ import corpus_pipeline
 from tests.llm.test_decontaminate import plain_distances
 from tests.llm.test_lines import brute as plain_lines
 from tests.llm.test_simhash import plain_components, plain_fingerprint
-from tidemark.llm import decontaminate, toxicity
-from tidemark.llm.common import settle, table
+from tidemark.llm import toxicity
+from tidemark.llm.common import settle, table, words
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,11 +37,11 @@ def test_stages_against_brute_force(spark):
     assert single.columns == names and read(single) == {i: t for (i, t), r in zip(rows, roots) if i == r}
 
     clean = settle(stages["benchmark decontamination"](spark, single, SF), "t")
-    words = lambda t: [w for part in decontaminate.words(t) for w in part]
-    items = [words(r["text"]) for r in table(spark, SF, "benchmark").collect()]
+    split = lambda t: [w for part in words(t) for w in part]
+    items = [split(r["text"]) for r in table(spark, SF, "benchmark").collect()]
 
     def leaks(text):
-        seen = words(text)
+        seen = split(text)
         return any(not set(i).isdisjoint(seen) and len(set(i) & set(seen)) >= 0.5 * len(set(i))
                    and min(plain_distances(i, seen, True)) <= int(len(i) * 0.2 + 1e-9) for i in items)
     assert clean.columns == names and read(clean) == {i: t for i, t in read(single).items() if not leaks(t)}

@@ -37,6 +37,12 @@ def test_fingerprint_follows_the_contract():
         assert simhash.fingerprint(text) == plain_fingerprint(text)
 
 
+def test_pieces_of_long_texts(monkeypatch):
+    monkeypatch.setattr(simhash, "PIECE", 7)
+    for text in ("a b", "one two three four five six seven", " x " * 30, "abcdefghijklmnop qrst", "a\n\n\n\n\n\n\n\n\n\nb c"):
+        assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
 def test_operator_equals_brute_force(spark):
     r = random.Random(3)
     base = [" ".join(r.choice("abcdefghij") + str(r.randrange(50)) for _ in range(60)) for _ in range(12)]

@@ -16,32 +16,16 @@ Lookup goes coordinate by coordinate: a walk that no item shares so far ends.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import slices, words
 
-WORD = re.compile(r"\w+")
-NOT_WORD = re.compile(r"\W")
-PIECE = 4 << 20  # characters read into words at a time
 TOKENS = 1 << 20  # words scanned at a time
 
 
-def words(text: str | None):
-    """Lists of the words of the whole text in lower case, some MB of text at a time."""
-    text = (text or "").lower()
-    at = 0
-    while at < len(text):
-        end = NOT_WORD.search(text, min(at + PIECE, len(text)))
-        stop = end.start() if end else len(text)
-        yield WORD.findall(text, at, stop)
-        at = max(stop, at + 1)
-
-
 class Items:
     """The hash tables of a set of benchmark items."""
 

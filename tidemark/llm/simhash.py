@@ -14,6 +14,7 @@ within a piece add nothing to the components and are never formed.
 
 from __future__ import annotations
 
+import re
 from itertools import combinations
 
 import numpy as np
@@ -27,6 +28,8 @@ from tidemark.llm.components import components
 
 SEED = 42
 BITS = 64
+PIECE = 1 << 20  # bytes of text read into words at a time
+BLANK = re.compile(rb"[ \t-\r]")
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -36,23 +39,37 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     ``words`` words joined by a space, repeats counted; fewer words: all of them
     as one shingle. A bit is 1 if it is set in over half of the XXH64 values.
     """
-    parts = (text or "").encode("utf-8").lower().split()
-    if not parts:
-        return 0
+    data = (text or "").encode("utf-8").lower()
+    counts, n, carried, at = np.zeros(BITS, dtype=np.int64), 0, [], 0
+    while at < len(data):  # long texts by pieces that share the words of a shingle that spans them
+        blank = BLANK.search(data, at + PIECE)
+        stop = blank.start() if blank else len(data)
+        parts = carried + data[at:stop].split()
+        at = max(stop, at + 1)
+        if len(parts) >= words:
+            n += len(parts) - words + 1
+            counts += _bit_counts(parts, words)
+        carried = parts[max(0, len(parts) - words + 1):]
+    if not n:
+        if not carried:
+            return 0
+        n, counts = 1, _bit_counts(carried, len(carried))
+    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+
+
+def _bit_counts(parts: list[bytes], words: int) -> np.ndarray:
+    """How many shingles of ``words`` words have each bit set in their hash."""
     joined = b" ".join(parts)
     sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
     ends = np.cumsum(sizes + 1) - 1
-    starts = ends - sizes
-    n = max(1, len(parts) - words + 1)
-    ends = ends[min(words, len(parts)) - 1:].tolist()
-    starts = starts[:n].tolist()
+    starts = (ends - sizes)[:len(parts) - words + 1].tolist()
+    ends = ends[words - 1:].tolist()
     hash_of = xxhash.xxh64_intdigest
     counts = np.zeros(BITS, dtype=np.int64)
-    for at in range(0, n, 65536):
+    for at in range(0, len(starts), 65536):
         values = np.array([hash_of(joined[a:b], SEED) for a, b in zip(starts[at:at + 65536], ends[at:at + 65536])], dtype="<u8")
         counts += np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * counts > n, bitorder="little")
-    return int(bits.view("<u8")[0])
+    return counts
 
 
 def fingerprints(docs: DataFrame, words: int = 3, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -9,7 +9,6 @@ negative risk falls below zero, a step undoes it instead.
 
 from __future__ import annotations
 
-import re
 import zlib
 from dataclasses import dataclass
 
@@ -18,9 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, smallest
+from tidemark.llm.common import held_out, smallest, words
 
-WORD = re.compile(r"\w+")
 PREFIXES = (3, 4, 5, 6)
 SPACE = (1 << 24) - 1
 MOST_WORDS = 500_000  # kept in a task's table of words; what is dropped is made again
@@ -42,7 +40,7 @@ def word_features(word: str) -> list[int]:
 
 
 def words_of(text: str | None) -> set[str]:
-    return set(WORD.findall((text or "").lower()))
+    return set().union(*words(text))
 
 
 def text_features(text: str | None) -> set[int]:
