@@ -44,7 +44,17 @@ def _good(spark, topic):
     return split(decode_records(records)).good
 
 
-def drain(q, settle=0.3, quiet_checks=6, max_rounds=100):
+def _unclosed(q):
+    """The last micro-batch moved the watermark, and the one that closes windows by it has not run."""
+    last = q.lastProgress
+    times = (last or {}).get("eventTime") or {}
+    if not last or not last["numInputRows"] or "max" not in times:
+        return False
+    read = lambda name: dt.datetime.fromisoformat(times[name].replace("Z", "+00:00"))
+    return read("max") - dt.timedelta(seconds=5) > read("watermark")
+
+
+def drain(q, settle=0.3, quiet_checks=3, max_rounds=100):
     """Process all input, including the no-data batches that evict closed windows.
 
     Settled = several consecutive checks with no new progress, no trigger
@@ -56,7 +66,7 @@ def drain(q, settle=0.3, quiet_checks=6, max_rounds=100):
         q.processAllAvailable()
         time.sleep(settle)
         status, n = q.status, len(q.recentProgress)
-        if n == seen and not status["isTriggerActive"] and not status["isDataAvailable"]:
+        if n == seen and not _unclosed(q) and not status["isTriggerActive"] and not status["isDataAvailable"]:
             quiet += 1
             if quiet >= quiet_checks:
                 return
