@@ -68,6 +68,7 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISO
     place = F.struct(*KEY, "at")
     counted = chunks.groupBy("hash", "size").agg(F.min(place).alias("least"), F.max(place).alias("most")).where(
         F.col("least") != F.col("most")).select("hash", "size", "least")
+    counted = settle(counted, "repeated")  # the join then deals out both sides anew and can split a chunk that most documents have
     return chunks.join(counted, ["hash", "size"]).select(
         *KEY, "at", "to", "hash", "size", (place == F.col("least")).alias("first"))
 
