@@ -255,6 +255,7 @@ def page_captures(captures: DataFrame) -> DataFrame:
         "capture_id", F.regexp_extract("metadata.fields", r"page-id: (-?[0-9]+)", 1).try_cast("long").alias("page_id"),
         "main.payload_bytes", "main.payload_digest", F.col("main.type").alias("record_type"),
         F.col("main.refers_to").alias("ref"), F.col("main.target_uri").alias("url"))
+    rows = settle(rows, "captures")  # both sides of the join are then dealt out anew, and a response that most refer to can be split
     first = rows.where(F.col("record_type") == "response").select(
         F.col("capture_id").alias("ref_id"), F.col("page_id").alias("refers_to"))
     return rows.join(first, F.col("ref") == F.col("ref_id"), "left").select(
