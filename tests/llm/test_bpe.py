@@ -30,6 +30,16 @@ def test_same_ids_and_text_as_the_library(both, text):
     assert mine.decode(np.array(want, dtype=np.uint32)) == library.decode(want, skip_special_tokens=False)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=30).map("".join))
+def test_pieces_of_long_texts(both, text):
+    kept, bpe.PIECE = bpe.PIECE, 5
+    try:
+        assert both[0].encode(text).tolist() == both[1].encode(text, add_special_tokens=False).ids
+    finally:
+        bpe.PIECE = kept
+
+
 @pytest.mark.parametrize("text", ["a" * 60_000, " " * 30_000, "ab" * 20_000, "é" * 10_000, "the" * 9_999, "0" * 20_000])
 def test_very_long_pieces(both, text):
     assert both[0].encode(text).tolist() == both[1].encode(text, add_special_tokens=False).ids

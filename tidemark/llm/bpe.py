@@ -1,17 +1,19 @@
 """Byte-level BPE: backtracking encoder and offset-table decoder.
 
 The exact merge result of a piece is built from left to right: an Aho-Corasick
-automaton over the reversed tokens gives, at every position, the
-longest token that starts there; a token is taken if it may stand after the one
-before it (the merges of the two tokens' bytes give just these two tokens), else
-the next shorter one, else the last token taken is given up. Positions found to
-be dead ends are marked, so each is tried once and the work is linear.
+automaton gives the longest token that starts at a position; a token is taken if
+it may stand after the one before it (the merges of the two tokens' bytes give
+just these two tokens), else the next shorter one, else the last token taken is
+given up. Positions found to be dead ends are marked, so each is tried once and
+the work is linear.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
+import struct
 from dataclasses import dataclass
 
 import ahocorasick
@@ -25,10 +27,17 @@ from pyspark.sql import types as T
 from tidemark.llm.common import slices
 
 #: Bounds of the tables kept in a task; what is dropped from them is made again.
-MOST_PIECES, LONGEST_KEPT, MOST_PAIRS = 300_000, 64, 1_000_000
+MOST_PARTS, LONGEST_KEPT, MOST_PAIRS = 300_000, 64, 200_000
 
 # The split pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # what \s stands for in it
+
+PIECE = 1 << 20  # characters encoded at a time
+SAFE = re.compile(f"[^{BLANKS}](?= [^{BLANKS}])")  # the pattern cuts after this in any case
+
+# Runs without blanks, or of blanks, cut where the pattern cuts in any case: most of a text is runs met before.
+RUN = re.compile(f" ?[^{BLANKS}]+|[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -65,13 +74,13 @@ class Bpe:
             found = next((usable[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in usable), None)
             if found is not None:
                 self.shorter[i] = found
-        # the automaton reads a piece backwards, so that matches end where tokens start
+        self.widest = max(map(len, usable))
         self.automaton = ahocorasick.Automaton()
         for token, i in usable.items():
-            self.automaton.add_word(token[::-1].decode("latin-1"), i)
+            self.automaton.add_word(token.decode("latin-1"), i)
         self.automaton.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.cache = _Pieces(self)
+        self.runs, self.pieces = _Made(self._run), _Made(self._piece)
         # decoding: the bytes of id i are blob[offsets[i]:offsets[i + 1]]
         every = tokens | {i: s.encode("utf-8") for s, i in special.items()}
         top = max(every) + 1
@@ -134,39 +143,58 @@ class Bpe:
         data = piece.encode("utf-8")
         if data in self.whole:
             return [self.whole[data]]
-        n = len(data)
-        longest: list[int | None] = [None] * n
-        for end, token in self.automaton.iter(data[::-1].decode("latin-1")):
-            start = n - 1 - end
-            if longest[start] is None or self.size[token] > self.size[longest[start]]:
-                longest[start] = token
-        out: list[int] = []
+        n, read = len(data), data.decode("latin-1")
+        size, shorter, fits = self.size, self.shorter, self.compatible
+        out = [token for _, token in self.automaton.iter_long(read)]
+        if all(map(fits, out, out[1:])):
+            return out  # the longest matches one after the other are the merges already
+        out = []
         dead = bytearray(n + 1)
-        at, token = 0, longest[0]
+        at, token = 0, self._longest(read, 0)
         while at < n:
-            end = at + self.size[token]
-            if not dead[end] and (not out or self.compatible(out[-1], token)):
+            end = at + size[token]
+            if not dead[end] and (not out or fits(out[-1], token)):
                 out.append(token)
-                at, token = end, longest[end] if end < n else None
-            elif token in self.shorter:
-                token = self.shorter[token]
+                at = end
+                if end < n:
+                    token = self._longest(read, end)
+            elif token in shorter:
+                token = shorter[token]
             else:  # nothing can start here: give up the token before
                 dead[at] = 1
                 token = out.pop()
-                at -= self.size[token]
+                at -= size[token]
         return out
 
+    def _longest(self, read: str, at: int) -> int:
+        """The longest token that starts at ``at``; each byte is one, so the leftmost match starts there."""
+        return next(self.automaton.iter_long(read, at, min(len(read), at + self.widest)))[1]
+
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of the whole text, unsigned 32-bit; null is empty."""
         text = text or ""
         found, at = [], 0
         for mark in self.marks.finditer(text) if self.marks else ():
-            found += map(self.cache.__getitem__, self.cut.findall(text, at, mark.start()))
-            found.append(np.array([self.special[mark[0]]], dtype="<u4").tobytes())
+            found += self._plain(text, at, mark.start())
+            found.append(_bytes([self.special[mark[0]]]))
             at = mark.end()
-        found += map(self.cache.__getitem__, self.cut.findall(text[at:] if at else text))
+        found += self._plain(text, at, len(text))
         return np.frombuffer(b"".join(found), dtype="<u4")
 
+    def _plain(self, text: str, at: int, end: int):
+        """Ids of text[at:end], which is plain text, as bytes for some MB at a time."""
+        while at < end:
+            cut = SAFE.search(text, at + PIECE, end) if end - at > PIECE else None
+            stop = cut.start() + 1 if cut else end
+            yield b"".join(map(self.runs.__getitem__, RUN.findall(text[at:stop])))
+            at = stop
+
+    def _piece(self, piece: str) -> bytes:
+        return _bytes(self.encode_piece(piece))
+
+    def _run(self, run: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.cut.findall(run)))
+
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         """The bytes of ``ids``, gathered through the offset table; unknown ids are nothing."""
         out = []
@@ -184,19 +212,23 @@ class Bpe:
         return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
-class _Pieces(dict):
-    """Piece of text to its ids as little-endian bytes, made on first use; holds a bounded number."""
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Made(dict):
+    """A part of a text to its ids as little-endian bytes, made on first use; holds a bounded number."""
 
-    def __init__(self, bpe: Bpe):
+    def __init__(self, make):
         super().__init__()
-        self.bpe = bpe
+        self.make = make
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.bpe.encode_piece(piece), dtype="<u4").tobytes()
-        if len(piece) <= LONGEST_KEPT:
-            if len(self) >= MOST_PIECES:
+    def __missing__(self, part: str) -> bytes:
+        ids = self.make(part)
+        if len(part) <= LONGEST_KEPT:
+            if len(self) >= MOST_PARTS:
                 self.clear()
-            self[piece] = ids
+            self[part] = ids
         return ids
 
 
