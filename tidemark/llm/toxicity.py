@@ -21,7 +21,7 @@ from tidemark.llm.common import held_out, smallest, words
 
 PREFIXES = (3, 4, 5, 6)
 SPACE = (1 << 24) - 1
-MOST_WORDS = 500_000  # kept in a task's table of words; what is dropped is made again
+MOST_WORDS = 200_000  # kept in a task's table of words; what is dropped is made again
 
 
 @dataclass(frozen=True)
