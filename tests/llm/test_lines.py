@@ -81,3 +81,46 @@ def test_repeated_rows_and_empty_table(spark):
     got = sorted(tuple(x) for x in lines.dedup_lines(docs).collect())
     assert got[0] == got[1] == rows[0] and len(got[2][1]) < len(rows[0][1])
     assert lines.dedup_lines(docs.limit(0)).count() == 0
+
+
+def plain_pairs(rows):
+    """Text of each row without the lines of pairs that stand earlier, ids in order and unique."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+        read, gone = (text or "").split("\n"), set()
+        for i in range(len(read) - 1):
+            pair = read[i] + "\n" + read[i + 1]
+            if pair.strip(" \n\t\r"):
+                if pair in seen:
+                    gone |= {i, i + 1}
+                seen.add(pair)
+        out[doc_id] = None if text is None else "\n".join(x for i, x in enumerate(read) if i not in gone)
+    return out
+
+
+def test_every_pair_equals_brute_force(spark, monkeypatch):
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lines.dedup_lines(docs, count_as="cut", every_pair=True).collect()
+    assert {x["doc_id"]: x["text"] for x in got} == plain_pairs(rows)
+    size = lambda t: len(t.split("\n")) if t else 0
+    assert all(x["cut"] >= size(dict(rows)[x["doc_id"]]) - size(x["text"]) for x in got)
+    monkeypatch.setattr(lines, "chunk_hash", lambda body: F.lit(7).cast("long"))
+    again = lines.dedup_lines(docs, every_pair=True).collect()
+    assert {x["doc_id"]: x["text"] for x in again} == plain_pairs(rows)
+
+
+def test_no_line_of_a_planted_passage_stays(spark):
+    """Passages of 1 to 10 lines in 30 documents of other lines: all copies but one go; single lines stay."""
+    r = random.Random(9)
+    rows = []
+    for i in range(30):
+        body = []
+        for n in range(1, 11):
+            body += [f"own {i} {n} {k} {r.random()}" for k in range(r.randrange(1, 4))] + [f"passage {n} {k}" for k in range(n)]
+        rows.append((i, "\n".join([*body, f"end {i}"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x["doc_id"]: x["text"].split("\n") for x in lines.dedup_lines(docs, every_pair=True).collect()}
+    assert got[0] == rows[0][1].split("\n")
+    for i, text in rows[1:]:
+        assert got[i] == [x for x in text.split("\n") if not x.startswith("passage") or x == "passage 1 0"]

@@ -5,6 +5,10 @@ divisible by ``divisor``. Boundaries depend on nearby lines alone, so lines put
 or taken out elsewhere shift no boundary. Chunks of several lines that occur
 more than once in the whole corpus keep their first occurrence, by (doc_id,
 hash of the text, position), and are cut everywhere else, after their bytes are compared.
+
+With ``every_pair`` no boundary is drawn: every two adjacent lines are a chunk, so
+each line of a repeated passage of two or more lines lies in one that can be cut,
+whatever stands around the passage.
 """
 
 from __future__ import annotations
@@ -48,19 +52,28 @@ def _spans() -> Column:
     return F.transform("ends", lambda e, k: F.struct(begin(k).alias("from"), e.alias("to")))
 
 
+def _pairs() -> Column:
+    """Array of (from, to) of every two adjacent lines."""
+    return F.transform(F.sequence(F.lit(1), F.size("lines") - 1), lambda i: F.struct((i - 1).alias("from"), i.alias("to")))
+
+
 def _body(span: Column) -> Column:
     return F.array_join(F.slice(F.col("lines"), span["from"] + 1, span["to"] - span["from"] + 1), "\n")
 
 
-def repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
+def repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
+                    every_pair: bool = False) -> DataFrame:
     """``KEY, at, to, hash, size, first``: every occurrence of a chunk hash that occurs at two places.
 
     ``first`` marks the earliest occurrence. Only hashes are shuffled, counted in
     each task before; a chunk that a third of all documents share is one row
     per task, and the join back to its occurrences can be split.
     """
-    rows = _chunks(keyed(docs, "text"), KEY, window, divisor)
-    chunks = rows.select(*KEY, F.explode(F.filter(F.transform(_spans(), lambda s: F.struct(
+    if every_pair:
+        rows = fence(keyed(docs, "text"), KEY, lines=F.split("text", "\n", -1)).where(F.size("lines") > 1)
+    else:
+        rows = _chunks(keyed(docs, "text"), KEY, window, divisor)
+    chunks = rows.select(*KEY, F.explode(F.filter(F.transform(_pairs() if every_pair else _spans(), lambda s: F.struct(
         s["from"].alias("at"), s["to"].alias("to"), _body(s).alias("body"))),
         lambda c: (c["to"] - c["at"] + 1 >= min_lines) & (F.trim(F.translate(c["body"], "\n\t\r", "   ")) != ""))).alias("c"))
     chunks = chunks.select(*KEY, "c.at", "c.to", chunk_hash("c.body").alias("hash"),
@@ -74,7 +87,7 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISO
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
-                count_as: str | None = None) -> DataFrame:
+                count_as: str | None = None, every_pair: bool = False) -> DataFrame:
     """All columns of ``docs`` (``doc_id, text``) with repeated chunks cut from ``text``.
 
     ``count_as`` adds a column with the number of lines cut. Lines end at a line
@@ -83,11 +96,13 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, m
     as they are. Rows that repeat an id and its text are one document and are
     cut alike; other ties of the id are ordered by the hash of the text; a null
     id comes last. An empty table gives no rows. Other columns, whatever their
-    names, are passed on.
+    names, are passed on. ``every_pair``: the chunks are all pairs of adjacent lines;
+    ``window``, ``divisor`` and ``min_lines`` then have no part. A line repeated
+    without one of its neighbours stays; every line that is cut stays somewhere.
     """
     carried = [f"__{i}" for i in range(len(docs.columns))]
     text = carried[docs.columns.index("text")]
-    found = repeated_chunks(docs, window, divisor, min_lines)
+    found = repeated_chunks(docs, window, divisor, min_lines, every_pair)
     spans = found.groupBy(*KEY).agg(F.collect_set(F.struct("at", "to", "hash", "size", "first")).alias("spans"))
     rows = keyed(docs, *numbered(docs.columns)).join(spans, KEY, "left")
     rows = settle(rows.select(*KEY, *carried, "spans"), "chunked")
@@ -109,7 +124,8 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, m
 
     cut = F.filter(F.coalesce("spans", F.array().cast(rows.schema["spans"].dataType)),
                    lambda s: ~s["first"] & ~F.array_contains("spared", s["at"]))
-    rows = fence(rows, carried, gone=F.flatten(F.transform(cut, lambda s: F.sequence(s["at"], s["to"]))))
+    gone = F.flatten(F.transform(cut, lambda s: F.sequence(s["at"], s["to"])))
+    rows = fence(rows, carried, gone=F.array_distinct(gone) if every_pair else gone)  # pairs share lines
     rows = fence(rows, [*carried, "gone"], lines=F.split(text, "\n", -1))
     rows = fence(rows, [*carried, "gone", "lines"],
                  left=F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone")))
