@@ -115,3 +115,35 @@ def test_windows_over_the_bounds_of_a_scan(monkeypatch):
     for before in range(0, 120, 7):
         [found] = tables.find(["filler " * before + ITEM + " filler" * 100])
         assert found == [(1, 0, 15, before, before + 15)]
+
+
+@pytest.mark.parametrize("n", range(5, 21))
+def test_recall_of_short_items(n):
+    """Items of 5 to 20 words: every exact copy is found, and 98 of 100 with as many edits as allowed."""
+    r = random.Random(n)
+    vocab = vocabulary(2000, 4)
+    items = [(i, " ".join(r.choice(vocab) for _ in range(n))) for i in range(150)]
+    tables = dc.Items(items)
+    for edits in (0, int(n * 0.2 + 1e-9)):
+        copies = [edited(t.split(), edits, r, vocab) for _, t in items]
+        texts = [" ".join([*(r.choice(vocab) for _ in range(30)), *c, *(r.choice(vocab) for _ in range(30))]) for c in copies]
+        texts += [" ".join(c) for c in copies]
+        found = [{x[0] for x in got} for got in tables.find(texts)]
+        met = sum(i in got for (i, _), got in zip(items * 2, found))
+        assert met >= (0.98 if edits else 1) * len(texts)
+
+
+def test_bands_follow_from_the_recall():
+    r = random.Random(12)
+    vocab = vocabulary(2000, 5)
+    items = [(i, " ".join(r.choice(vocab) for _ in range(r.randrange(15, 60)))) for i in range(200)]
+    few, many = dc.Items(items, recall=0.5).plan, dc.Items(items, recall=0.999).plan
+    assert few.keys() == many.keys() and all(0 < few[c] and (few[c] <= many[c] or many[c] == 0) for c in few)
+    assert few != many
+
+
+def test_an_item_without_keys_is_found():
+    """Two words in turn: no window has enough different words of a long item to be a key."""
+    item = "la " * 30 + "one two three four"
+    [found] = dc.Items([(1, item)]).find(["so " * 9 + item + " and on"])
+    assert [x[:2] for x in found] == [(1, 0)]

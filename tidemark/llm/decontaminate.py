@@ -9,7 +9,13 @@ All windows of a document, one from each word, are embedded and hashed by
 sampled coordinates, and looked up among the items; this is repeated with new
 bits and samples in every band. An item is embedded from every few words on,
 so that edits in one part leave other parts to find it by; a hit there says where
-the item-sized window begins. Windows found are verified by exact edit distance.
+the item-sized window begins. How many bands a class of items gets (those that
+allow the same number of edits) follows from a target recall: edited copies of
+its items, with as many edits as allowed, are looked up in band after band (six at least).
+Items too short to sample, and classes that many bands do not bring to the
+target, are cut into one piece more than the edits allowed, one of which is
+then unchanged, and looked up by each of them. Windows found are verified by
+exact edit distance.
 
 Lookup goes coordinate by coordinate: a walk that no item shares so far ends.
 """
@@ -24,13 +30,15 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import slices, words
 
 TOKENS = 1 << 20  # words scanned at a time
+MOST_BANDS, MOST_EDITS = 12, 12  # bands of a class; edits from which items are one class
+TRIALS = 600  # edited copies that a class is tried with
 
 
 class Items:
     """The hash tables of a set of benchmark items."""
 
-    def __init__(self, items: list[tuple[int, str]], similarity: float = 0.8, bands: int = 6, sampled: int = 6,
-                 steps: int = 18, stride: int = 2, min_words: int = 5, seed: int = 1):
+    def __init__(self, items: list[tuple[int, str]], similarity: float = 0.8, recall: float = 0.99, bands: int = 6, sampled: int = 6,
+                 steps: int = 18, stride: int = 2, min_words: int = 5, seed: int = 1, plan: dict[int, int] | None = None):
         draw = np.random.default_rng(seed)
         self.vocabulary: dict[str, int] = {}
         self.ids: list[int] = []
@@ -42,34 +50,91 @@ class Items:
                 self.ids.append(item_id)
                 self.tokens.append(np.array(found, dtype=np.int32))
                 self.edits.append(int(len(found) * (1 - similarity) + 1e-9))
-        size = len(self.vocabulary) + 1  # word 0 is any word that no item has
-        self.steps, self.size = steps, size
+        self.size = len(self.vocabulary) + 2  # word 0 is any word that no item has, the last one is past a window's end
+        self.steps, self.window, self.stride = steps, steps // 2, stride
         self.reach = max([len(t) + 2 * e for t, e in zip(self.tokens, self.edits)], default=0) + steps
-        self.bands = []
-        for _ in range(bands if self.ids else 0):
+        drawn = []
+        for _ in range(MOST_BANDS):
             first = int(draw.integers(0, 3))
             rest = np.sort(draw.choice(np.arange(first + 2, steps, 2), size=sampled - 1, replace=False) + draw.integers(0, 2, sampled - 1))
             coordinates = [first, *np.minimum(rest, steps - 1).tolist()]
-            moves = draw.integers(0, 2, size=(steps, size)).astype(np.int8)
-            self.bands.append(self._band(coordinates, moves, stride))
-
-    def _band(self, coordinates: list[int], moves: np.ndarray, stride: int):
-        """(coordinates, moves, levels, owners): sorted keys (node, word) of each level, and the items at the leaves."""
-        keys, owners = [], []
-        for item, tokens in enumerate(self.tokens):
-            for offset in range(0, max(1, len(tokens) - self.steps // 2), stride):
-                seen, at = [], offset
-                for t in range(coordinates[-1] + 1):
-                    if at >= len(tokens):
-                        break
-                    if t in coordinates:
-                        seen += [int(tokens[at])] * coordinates.count(t)
-                    at += int(moves[t, tokens[at]])
-                if len(seen) == len(coordinates) and len(set(seen)) >= min(4, len(set(tokens.tolist()))):
-                    keys.append(seen)
-                    owners.append((item, offset))
-        node = np.zeros(len(keys), dtype=np.int64)
-        table = np.array(keys, dtype=np.int64).reshape(-1, len(coordinates))
+            drawn.append((coordinates, draw.integers(0, 2, size=(steps, self.size)).astype(np.int8)))
+        #: bands of each class of items; none: by pieces
+        self.plan = self._planned(drawn, recall, bands, draw) if plan is None else plan
+        given = [self.plan.get(self._class(i), 0) for i in range(len(self.ids))]
+        self.tables = [self._band(*band, [i for i, n in enumerate(given) if n > b]) for b, band in enumerate(drawn) if b < max(given, default=0)]
+        keyed = {item for *_, leaves in self.tables for owners in leaves.values() for item, _ in owners}
+        self.tables += self._pieces([i for i in range(len(self.ids)) if i not in keyed])
+
+    def _class(self, item: int) -> int:
+        """The edits an item allows, -1 for one that is too short to sample."""
+        short = len(self.tokens[item]) <= self.window or self.edits[item] < 2
+        return -1 if short else min(self.edits[item], MOST_EDITS)
+
+    def _planned(self, drawn, recall: float, least: int, draw) -> dict[int, int]:
+        """For each class the bands, ``least`` or more, after which its target is met; 0: too many.
+
+        The copies missed have to be fewer than the target allows by two standard deviations.
+        """
+        classes: dict[int, list[int]] = {}
+        for i in range(len(self.ids)):
+            if self._class(i) >= 0:
+                classes.setdefault(self._class(i), []).append(i)
+        plan = {}
+        for c, members in sorted(classes.items()):
+            chosen = members[::-(-len(members) // TRIALS)]
+            copies = [(i, _edited(self.tokens[i], self.edits[i], self.size - 1, draw)) for i in chosen * -(-TRIALS // len(chosen))]
+            gap = np.zeros(self.reach, dtype=np.int32)
+            x = np.concatenate([part for _, copy in copies for part in (copy, gap)])
+            begins = np.cumsum([0] + [len(copy) + len(gap) for _, copy in copies[:-1]])
+            met: set[int] = set()
+            plan[c] = 0
+            for b, band in enumerate(drawn):
+                hits = self.candidates(x, [self._band(*band, chosen)])
+                for start, item in hits:
+                    k = max(0, int(np.searchsorted(begins, start + self.window, side="right")) - 1)
+                    if copies[k][0] == item and abs(start - int(begins[k])) <= self.edits[item]:
+                        met.add(k)
+                allowed = len(copies) * (1 - recall)
+                if b + 1 >= least and len(copies) - len(met) <= max(0, allowed - 2 * (allowed * recall) ** 0.5):
+                    plan[c] = b + 1
+                    break
+        return plan
+
+    def _band(self, coordinates: list[int], moves: np.ndarray, members: list[int]):
+        """The table of the windows of some items under one walk."""
+        owners = [(i, o) for i in members for o in sorted({*range(0, len(self.tokens[i]) - self.window, self.stride),
+                                                          len(self.tokens[i]) - self.window})]
+        begins = np.cumsum([0] + [len(self.tokens[i]) for i in members])
+        from_ = dict(zip(members, begins.tolist()))
+        x = np.concatenate([*(self.tokens[i] for i in members), np.zeros(self.steps + 1, dtype=np.int32)])
+        begin = np.array([from_[i] + o for i, o in owners], dtype=np.int64)
+        at, columns, t = begin.copy(), [], 0
+        for coordinate in coordinates:
+            while t < coordinate:
+                at = at + moves[t][x[at]]
+                t += 1
+            columns.append(np.where(at - begin < self.window, x[at], self.size - 1))
+        table = np.array(columns, dtype=np.int64).T.reshape(-1, len(coordinates))
+        distinct = {i: min(4, len(set(self.tokens[i].tolist()))) for i in members}
+        enough = [len(set(row)) >= distinct[i] for row, (i, _) in zip(table.tolist(), owners)]
+        return self._table(coordinates, moves, table[np.array(enough, dtype=bool)], [o for o, e in zip(owners, enough) if e])
+
+    def _pieces(self, members: list[int]):
+        """Tables of whole pieces, by their words: one piece more than edits, so that one is unchanged."""
+        by_words: dict[int, list[tuple[list[int], tuple[int, int]]]] = {}
+        for i in members:
+            tokens = self.tokens[i].tolist()
+            n = min(self.edits[i] + 1, len(tokens))
+            for k in range(n):
+                lo, hi = k * len(tokens) // n, (k + 1) * len(tokens) // n
+                by_words.setdefault(hi - lo, []).append((tokens[lo:hi], (i, lo)))
+        return [self._table(list(range(n)), None, np.array([key for key, _ in found], dtype=np.int64), [owner for _, owner in found])
+                for n, found in sorted(by_words.items())]
+
+    def _table(self, coordinates: list[int], moves: np.ndarray | None, table: np.ndarray, owners: list[tuple[int, int]]):
+        """(coordinates, moves, levels, leaves): sorted keys (node, word) of each level, and the items at the leaves."""
+        node = np.zeros(len(table), dtype=np.int64)
         levels = []
         for c in range(len(coordinates)):
             level, node = np.unique(node * self.size + table[:, c], return_inverse=True)
@@ -86,18 +151,21 @@ class Items:
         parts = [np.fromiter((get(w, 0) for w in part), dtype=np.int32, count=len(part)) for part in words(text)]
         return np.concatenate(parts) if parts else np.empty(0, dtype=np.int32)
 
-    def candidates(self, x: np.ndarray) -> set[tuple[int, int]]:
-        """(start of the window, item) pairs that some band finds in the words ``x``."""
+    def candidates(self, x: np.ndarray, tables: list | None = None) -> set[tuple[int, int]]:
+        """(start of the window, item) pairs that some table finds in the words ``x``."""
         out: set[tuple[int, int]] = set()
         n = len(x)
-        x = np.concatenate([x, np.zeros(self.steps + 1, dtype=np.int32)])
-        for coordinates, moves, levels, leaves in self.bands:
+        x = np.concatenate([x, np.zeros(self.reach + 1, dtype=np.int32)])
+        for coordinates, moves, levels, leaves in self.tables if tables is None else tables:
             at, begin, node, t = np.arange(n, dtype=np.int32), None, None, 0
             for c, coordinate in enumerate(coordinates):
                 while t < coordinate:
-                    at = at + moves[t][x[at]]
+                    at = at + (moves[t][x[at]] if moves is not None else 1)
                     t += 1
-                key = x[at].astype(np.int64) if node is None else node * self.size + x[at]
+                word = x[at].astype(np.int64)
+                if moves is not None and coordinate >= self.window:
+                    word[at - begin >= self.window] = self.size - 1
+                key = word if node is None else node * self.size + word
                 level, hint = levels[c]
                 near = np.flatnonzero(hint[_slot(key)])
                 key = key[near]
@@ -159,6 +227,15 @@ class Items:
                 best[i][item] = min(best[i].get(item, got), got)
 
 
+def _edited(tokens: np.ndarray, edits: int, size: int, draw) -> np.ndarray:
+    """A copy with so many words replaced, left out or put in, at random."""
+    out = tokens.tolist()
+    for kind, word, at in zip(draw.integers(0, 3, edits).tolist(), draw.integers(0, size, edits).tolist(), draw.random(edits).tolist()):
+        i = int(at * len(out))
+        out[i:i + (kind < 2)] = [] if kind == 1 else [word]
+    return np.array(out, dtype=np.int32)
+
+
 def _slot(key: np.ndarray) -> np.ndarray:
     return ((key * 0x9E3779B97F4A7C1) >> 21) & ((1 << 20) - 1)
 
@@ -214,12 +291,14 @@ def blocks(benchmark: DataFrame, block_bytes: int = 8 << 20):
         yield [tuple(r) for r in part.distinct().collect()]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, keep: tuple[str, ...] = ("doc_id",),
+               recall: float = 0.99) -> DataFrame:
     """``keep, item_id, distance, item_words, start, stop`` for every item found in a row of ``docs``.
 
     An item is found where a window of the text is within
     ``(1 - similarity) * words of the item`` word edits (case and what stands between
-    words set aside); the best window is given. Items of fewer than five words are
+    words set aside); the best window is given. ``recall`` is the share of copies with the
+    largest number of edits that each class of items is to find. Items of fewer than five words are
     no passages and are not looked for; null items and null item ids neither. Null and
     empty texts have no leaks; texts of any length are read whole; repeated
     rows and items repeat results; an empty table gives no rows; other
@@ -231,10 +310,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, k
         schema = schema.add(name, "long")
     out = None
     for block in blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+        sent = docs.sparkSession.sparkContext.broadcast((block, Items(block, similarity, recall).plan))
 
         def run(batches, sent=sent):
-            items = Items(sent.value, similarity)
+            items = Items(sent.value[0], similarity, plan=sent.value[1])
             for batch in batches:
                 rows, found = [], []
                 for lo, hi in slices(batch.column("__text")):
@@ -251,14 +330,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, k
     return out
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
     """``docs`` without the rows in which an item of ``benchmark`` is found; rows are not shuffled."""
     at = docs.columns.index("text")
     for block in blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+        sent = docs.sparkSession.sparkContext.broadcast((block, Items(block, similarity, recall).plan))
 
         def run(batches, sent=sent):
-            items = Items(sent.value, similarity)
+            items = Items(sent.value[0], similarity, plan=sent.value[1])
             for batch in batches:
                 clean = [not leaks for lo, hi in slices(batch.column(at))
                          for leaks in items.find(batch.column(at).slice(lo, hi - lo).to_pylist())]
