@@ -147,3 +147,26 @@ def test_an_item_without_keys_is_found():
     item = "la " * 30 + "one two three four"
     [found] = dc.Items([(1, item)]).find(["so " * 9 + item + " and on"])
     assert [x[:2] for x in found] == [(1, 0)]
+
+
+@pytest.mark.parametrize("item", ["中国的首都是北京它有三千多年的历史", "吾輩は猫である名前はまだ無いどこで生れたか", "กรุงเทพมหานครเป็นเมืองหลวงของประเทศไทย"])
+def test_items_in_scripts_without_blanks(item):
+    tables = dc.Items([(1, item)])
+    for text in (item, "前文 " + item + "后文", item[:4] + "x" + item[5:], "abc " + item[:6] + item[7:]):
+        [found] = tables.find([text])
+        assert [x[0] for x in found] == [1]
+    assert tables.find([item[:len(item) // 2], "全く別の文です", None]) == [[], [], []]
+
+
+def test_items_of_few_words_are_found_exactly():
+    tables = dc.Items([(1, "Too short item"), (2, "answer"), (3, "四十二"), (4, "...")])
+    found = tables.find(["a too SHORT, item!", "too short an item", "the answers", "Answer", "答えは四十二です", "四十", ""])
+    assert [[x[0] for x in got] for got in found] == [[1], [], [], [2], [3], [], []]
+    assert found[0] == [(1, 0, 3, 1, 4)]
+
+
+def test_long_texts_of_letters_are_cut_between_words(monkeypatch):
+    monkeypatch.setattr(dc, "PIECE", 7)
+    text = "latin words 漢字かな and longer latin words กขค end"
+    assert [w for part in dc.tokens_of(text) for w in part] == [
+        "latin", "words", *"漢字かな", "and", "longer", "latin", "words", *"กขค", "end"]

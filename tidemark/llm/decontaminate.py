@@ -22,30 +22,51 @@ Lookup goes coordinate by coordinate: a walk that no item shares so far ends.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, words
+from tidemark.llm.common import PIECE, slices, words
 
 TOKENS = 1 << 20  # words scanned at a time
 MOST_BANDS, MOST_EDITS = 12, 12  # bands of a class; edits from which items are one class
+#: Letters and vowel signs of scripts written without blanks: Thai to Myanmar, Khmer, kana and Han.
+UNSPACED = "\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0eb9\u0ebb-\u0ecd\u1000-\u103f\u1780-\u17d3\u3005-\u3007\u3041-\u3096\u30a1-\u30fa\u30fc-\u30fe\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U000323af"
+UNSPACED_LETTER = re.compile(f"[{UNSPACED}]")
+TOKEN = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
+TOKEN_END = re.compile(rf"[\W{UNSPACED}]")
 TRIALS = 600  # edited copies that a class is tried with
 
 
+def tokens_of(text: str | None):
+    """Lists of the words of the whole text in lower case; in scripts without blanks every letter is a word."""
+    if not text or text.isascii() or not UNSPACED_LETTER.search(text):
+        yield from words(text)
+        return
+    text = text.lower()
+    at = 0
+    while at < len(text):
+        end = TOKEN_END.search(text, min(at + PIECE, len(text)))
+        stop = end.start() if end else len(text)
+        yield TOKEN.findall(text, at, stop)
+        at = stop
+
+
 class Items:
     """The hash tables of a set of benchmark items."""
 
     def __init__(self, items: list[tuple[int, str]], similarity: float = 0.8, recall: float = 0.99, bands: int = 6, sampled: int = 6,
-                 steps: int = 18, stride: int = 2, min_words: int = 5, seed: int = 1, plan: dict[int, int] | None = None):
+                 steps: int = 18, stride: int = 2, min_words: int = 1, seed: int = 1, plan: dict[int, int] | None = None):
         draw = np.random.default_rng(seed)
         self.vocabulary: dict[str, int] = {}
         self.ids: list[int] = []
         self.tokens: list[np.ndarray] = []
         self.edits: list[int] = []
         for item_id, text in items:
-            found = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for part in words(text) for w in part]
+            found = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for part in tokens_of(text) for w in part]
             if item_id is not None and len(found) >= min_words:
                 self.ids.append(item_id)
                 self.tokens.append(np.array(found, dtype=np.int32))
@@ -148,7 +169,7 @@ class Items:
 
     def word_ids(self, text: str | None) -> np.ndarray:
         get = self.vocabulary.get
-        parts = [np.fromiter((get(w, 0) for w in part), dtype=np.int32, count=len(part)) for part in words(text)]
+        parts = [np.fromiter((get(w, 0) for w in part), dtype=np.int32, count=len(part)) for part in tokens_of(text)]
         return np.concatenate(parts) if parts else np.empty(0, dtype=np.int32)
 
     def candidates(self, x: np.ndarray, tables: list | None = None) -> set[tuple[int, int]]:
@@ -298,8 +319,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, k
     An item is found where a window of the text is within
     ``(1 - similarity) * words of the item`` word edits (case and what stands between
     words set aside); the best window is given. ``recall`` is the share of copies with the
-    largest number of edits that each class of items is to find. Items of fewer than five words are
-    no passages and are not looked for; null items and null item ids neither. Null and
+    largest number of edits that each class of items is to find. In scripts written without blanks (Chinese,
+    Japanese, Thai, ...) every letter is a word. Items of fewer than five words allow
+    no edit and are found where all their words stand in a row. Null items and null
+    item ids are not looked for. Null and
     empty texts have no leaks; texts of any length are read whole; repeated
     rows and items repeat results; an empty table gives no rows; other
     columns are not read.
