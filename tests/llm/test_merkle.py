@@ -1,0 +1,97 @@
+"""The manifest against a plain recursive tree, its proofs and its versions."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from tidemark.llm import merkle
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string, place string, hash int"
+
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(r, more=0):
+    show = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    doc_id, source, lang, n, text = r[:5]
+    return H(show(doc_id), show(source), show(lang), show(None if n is None else n + more), show(text))
+
+
+def plain_tree(nodes):
+    """(root, for each node the siblings from below)."""
+    paths, at, level = [[] for _ in nodes], list(range(len(nodes))), list(nodes)
+    while len(level) > 1:
+        for p, i in zip(paths, at):
+            p.append([(j, level[j]) for j in range(i // 2 * 2, min(i // 2 * 2 + 2, len(level))) if j != i] or None)
+        sides = [(level[i:i + 2]) for i in range(0, len(level), 2)]
+        at, level = [i // 2 for i in at], [H(*s) for s in sides]
+    return level[0], paths
+
+
+def fold(node, i, path):
+    for step in path:
+        node = H(node) if step is None else H(step[0][1], node) if step[0][0] < i else H(node, step[0][1])
+        i //= 2
+    return node
+
+
+def brute(rows):
+    """doc id and leaf -> (subroot, root, proof digest, folded root)."""
+    langs = sorted({r[2] for r in rows}, key=lambda v: (v is not None, (v or "").encode()))
+    trees = {}
+    for lang in langs:
+        mine = sorted((r for r in rows if r[2] == lang), key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        trees[lang] = mine, *plain_tree([leaf(r) for r in mine])
+    root, tops = plain_tree([trees[x][1] for x in langs])
+    out = []
+    for k, lang in enumerate(langs):
+        mine, sub, paths = trees[lang]
+        for i, (r, p) in enumerate(zip(mine, paths)):
+            hit = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 0
+            folded = fold(fold(leaf(r, int(hit)), i, p), k, tops[k])
+            proof = H(*[s[0][1] for s in p + tops[k] if s])
+            out.append((r[0], leaf(r), sub, root, proof, folded, folded == root))
+    return sorted(out, key=str)
+
+
+def corpus(n, seed=1):
+    r = random.Random(seed)
+    rows = [(i, r.choice(["web", None, ""]), r.choice(["en", "en", "en", "fr", "é", "z", None]), r.choice([None, 5, i]),
+             r.choice(["", None, "x" * i, "äöü 文"]), "clash", 1) for i in range(n)]
+    return rows + [rows[3], rows[3], (None, "a", "en", 1, "no id", "c", 2), (None, None, None, None, None, None, None),
+                   (3, "b", rows[3][2], 1, "same id", "c", 3), (-70, "b", "one", 2**63 - 1, "alone", "c", 3), (9, "b", "en", 1, "long " * 400_000, "c", 3)]
+
+
+@pytest.mark.parametrize("n, levels", [(0, 8), (40, 8), (90, 2), (700, 3)])
+def test_equals_plain_tree(spark, monkeypatch, n, levels):
+    monkeypatch.setattr(merkle, "LEVELS", levels)
+    rows = corpus(max(n, 5))[:] if n else [(1, "s", "en", 3, "only", "c", 1)]
+    got = merkle.digests(merkle.manifest(spark.createDataFrame(rows, SCHEMA).repartition(3))).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
+def test_versions_copy_only_ancestors(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "LEVELS", 2)
+    rows = [(i, "s", "en" if i % 3 else "fr", i, f"text {i}", "c", 1) for i in range(120)]
+    got = merkle.manifest(spark.createDataFrame(rows, SCHEMA)).collect()
+    changed = [r for r in got if r["copied"]]
+    assert {r["doc_id"] for r in changed} == {i for i in range(120) if zlib.crc32(str(i).encode()) % 7 == 0} and changed
+    for r in got:
+        assert len(r["proof"]) == (7 if r["lang"] == "en" else 6) + 1 and r["root"] == merkle.copies(r["leaf"], r["proof"])[-1]
+    for r in changed:
+        version = merkle.copies(leaf(rows[r["doc_id"]], 1), r["proof"])
+        assert r["copied"] == version and r["folded_root"] == version[-1] != r["root"]
+
+
+def test_own_choice_of_changed_rows_and_empty_table(spark):
+    docs = spark.createDataFrame([(i, "s", "en", i, "t", "c", 1) for i in range(9)], SCHEMA)
+    from pyspark.sql import functions as F
+
+    got = merkle.manifest(docs, changed=F.col("doc_id") == 4)
+    assert [r["doc_id"] for r in got.where("folded_root <> root").collect()] == [4]
+    empty = merkle.digests(merkle.manifest(docs.limit(0)))
+    assert empty.count() == 0 and empty.columns == merkle.digests(got).columns

@@ -8,7 +8,8 @@ from tidemark.llm.common import table
 from tidemark.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-LOOKS_AT = {"op3": "documents", "op5": "documents", "op6": "documents", "op7": "documents", "op8": "documents", "op10": "embeddings"}
+LOOKS_AT = {"op3": "documents", "op5": "documents", "op6": "documents", "op7": "documents", "op8": "documents", "op10": "embeddings",
+            "op13": "documents"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -35,5 +36,5 @@ def test_one_row_for_each_input_row(spark, name):
 def test_entry_registers_all(spark):
     import __spark_entry__
 
-    assert {f"op{i}" for i in range(1, 11)} <= {n.split("_")[0] for n in __spark_entry__.queries()}
+    assert {f"op{i}" for i in range(1, 14)} <= {n.split("_")[0] for n in __spark_entry__.queries()}
     assert "pipeline" in __spark_entry__.queries()

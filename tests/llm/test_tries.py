@@ -1,0 +1,101 @@
+"""The trie against plain Python, and the perfect hash by itself."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tidemark.llm import tries
+
+SCHEMA = "conv_id long, turn long, role string, text string, depth int, split string, `a.b` int"
+
+
+def said(role, text):
+    return hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+
+
+def brute(rows):
+    """Rows of the trie from (conv_id, turn, role, text) rows."""
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((turn, role or "", text or ""))
+    own = {c: [t[1:] for t in sorted(ts, key=lambda t: (t[0] is not None, t[0] or 0, said(*t[1:])))] for c, ts in own.items()}
+    built = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 6
+        base = c - (c % 100 if c >= 0 else -(-c % 100))
+        built[c] = own.get(base, [])[:h] + own[c][h:]
+    members = {}
+    for c, turns in built.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    children, leaves, saved = {}, {}, {}
+    for n in members:
+        if n:
+            children[n[:-1]] = children.get(n[:-1], 0) + 1
+    for n, m in members.items():
+        for d in range(len(n) + 1):
+            leaves[n[:d]] = leaves.get(n[:d], 0) + (n not in children)
+            saved[n[:d]] = saved.get(n[:d], 0) + ((len(m) - 1) * len(n[-1][1]) if n else 0)
+    out = []
+    for n, m in members.items():
+        ends = ",".join(str(c) for c in sorted(c for c in m if len(built[c]) == len(n)))
+        out.append((min(m), len(n), min(members[n[:-1]]) if n else None, len(m), children.get(n, 0), leaves[n], saved[n],
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def corpus():
+    r = random.Random(5)
+    turns = lambda n: [(k, r.choice(["user", "assistant", None]), r.choice(["hi", "yes", "no", None, "wörd 文", ""])) for k in range(n)]
+    rows = [(c, *t) for c in [*range(0, 240, 3), 300, 411, -5, -100, 2**62] for t in turns(r.randrange(1, 9))]
+    hot = turns(3)
+    rows += [(c, *t) for c in range(1001, 1100, 2) for t in hot]  # copies
+    rows += [(7, k, "user", f"turn {k % 5}") for k in range(200)] + [(8, k, "user", f"turn {k % 5}") for k in range(200)]  # long, alike
+    rows += [(9, None, "user", "first"), (9, None, "user", "first"), (9, None, "a", "other"), (9, 1, None, None), (9, 1, "x", "tie"),
+             (None, 1, "user", "nowhere"), (12, 1, "user", "long " * 100_000), (12, 1, "user", "long " * 100_000)]
+    return rows
+
+
+@pytest.mark.parametrize("rows_in_shard", [1 << 18, 40])
+def test_equals_brute_force(spark, rows_in_shard):
+    rows = corpus()
+    turns = spark.createDataFrame([(*x, 1, "clash", None) for x in rows], SCHEMA).repartition(5)
+    got = tries.prefix_trie(turns, rows_in_shard)
+    assert sorted((tuple(x) for x in got.collect()), key=str) == brute(rows)
+
+
+def test_empty_and_turnless(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert tries.prefix_trie(none).count() == 0
+    lone = next(c for c in range(1, 99) if zlib.crc32(str(c).encode()) % 6 > 1)  # its one turn is cut and nothing lent
+    got = [tuple(x) for x in tries.prefix_trie(spark.createDataFrame([(lone, 0, "u", "t", 1, "c", 1)], SCHEMA)).collect()]
+    assert got == [(lone, 0, None, 1, 0, 1, 0, hashlib.sha256(str(lone).encode()).hexdigest())]
+
+
+def test_ends_in_many_blocks_are_digested_in_order(spark):
+    steps = spark.createDataFrame([(1, 2, c, True) for c in range(5000)] + [(3, 4, 7, True), (3, 4, 9, False)],
+                                  "lo long, hi long, conv_id long, last boolean")
+    got = {(x["lo"], x["hi"]): x["ends_sha256"] for x in tries.end_digests(steps, 9).collect()}
+    assert got == {(1, 2): hashlib.sha256(",".join(map(str, range(5000))).encode()).hexdigest(), (3, 4): hashlib.sha256(b"7").hexdigest()}
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 50_000])
+def test_perfect_hash(n):
+    r = np.random.default_rng(n)
+    lo, hi = r.integers(-2**63, 2**63 - 1, n), r.integers(-9, 9, n)
+    lo[: n // 2] = lo[:1] if n > 1 else lo[: n // 2]
+    pairs = np.unique(np.stack([lo, hi], 1), axis=0)
+    table = tries.node_table(lo, hi)
+    slots = table.slots(np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))
+    assert sorted(slots) == list(range(len(pairs)))  # minimal and perfect
+    assert (table.slots(lo + 1, hi + 1000) == -1).all()  # what is not in the table is told by comparison
+
+
+def test_accumulate_is_the_sum_over_subtrees():
+    parent = np.array([-1, 0, 1, 1, 0, 4, -1])
+    depth = np.array([0, 1, 2, 2, 1, 2, 5])
+    assert tries.accumulate(np.arange(7), parent, depth).tolist() == [15, 6, 2, 3, 9, 5, 6]

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.session import scratch_path
 
@@ -106,3 +107,27 @@ def slices(texts, most: int = 4 << 20):
             at, size = i + 1, 0
     if at < len(texts):
         yield at, len(texts)
+
+
+def places(rows: DataFrame, group: list[str], order: list[str], name: str, parts: int) -> DataFrame:
+    """``rows`` with ``place``, counted from 0 in ``order`` (ascending, nulls first) within each group, ``of``, the rows
+    of the group, and ``split``, a range partition of (group, order).
+
+    Rows are counted within (group, range partition) and moved up by the rows of earlier
+    partitions, so a group with a third of all rows is counted by many tasks. Group columns hold
+    no nulls; rows equal in all columns of ``order`` take places in any order.
+    """
+    by = [*group, *order]
+    ranged = settle(rows.repartitionByRange(parts, *by).select("*", F.spark_partition_id().alias("split")), name)
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy(*group, "split").agg(F.count("*").alias("n")).select(
+        *group, "split", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"), F.sum("n").over(whole).alias("of"))
+    here = F.row_number().over(Window.partitionBy(*group, "split").orderBy(*order)) - 1
+    return ranged.withColumn("here", here).join(starts, [*group, "split"]).select(
+        *rows.columns, (F.col("before") + F.col("here")).alias("place"), "of", "split")
+
+
+def parts_for(rows: DataFrame, most: int) -> int:
+    """Partitions of about ``most`` rows, no fewer than the session's shuffle partitions."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // most))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemark.llm import bpe, chat, decontaminate, language, lattice, lines, sharding, simhash, toxicity, warc
+from tidemark.llm import (bpe, chat, decontaminate, language, lattice, lines, merkle, sharding, simhash, toxicity, tries, urls,
+                          warc)
 from tidemark.llm.common import held_out, table, vocabulary_path
 from tidemark.session import scratch_path
 
@@ -72,6 +73,21 @@ def op10_e8_lattice(spark, sf_dir):
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
+def op11_prefix_trie(spark, sf_dir):
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return tries.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_redirect_equivalence(spark, sf_dir):
+    """Every page judged by the five rules, else by its aliases."""
+    return urls.judge(table(spark, sf_dir, "pages"), urls.RULES)
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    """Every document's place in the manifest, and the root that its tampered version folds to."""
+    return merkle.digests(merkle.manifest(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark, sf_dir):
     """All stages of the corpus pipeline over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -79,6 +95,8 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_warc_transactions, op2_cgk_windows, op3_simhash_blocks, op4_line_chunks, op4_line_passages, op5_output_codes,
-    op6_bpe_backtracking, op7_positive_unlabelled, op8_weighted_hash_tree, op9_perspective_rotation, op10_e8_lattice, pipeline)}
+    op6_bpe_backtracking, op7_positive_unlabelled, op8_weighted_hash_tree, op9_perspective_rotation, op10_e8_lattice,
+    op11_prefix_trie, op12_redirect_equivalence, op13_merkle_manifest, pipeline)}
 
-ORACLES = {"op1_warc_transactions": warc.ORACLE, "op4_line_chunks": lines.ORACLE, "op9_perspective_rotation": chat.ORACLE}
+ORACLES = {"op1_warc_transactions": warc.ORACLE, "op4_line_chunks": lines.ORACLE, "op9_perspective_rotation": chat.ORACLE,
+           "op11_prefix_trie": tries.ORACLE, "op12_redirect_equivalence": urls.ORACLE, "op13_merkle_manifest": merkle.ORACLE}
