@@ -60,8 +60,7 @@ def test_streaming_replay_bounded_intake(spark, tmp_path):
           "--interval", "once", "--checkpoint", str(tmp_path / "ck")], spark)
     recs = spark.read.json(topic_dir).collect()
     assert len(recs) == 4
-    batches = {r.offset >> 40 for r in recs}
-    assert len(batches) == 3  # 5 files, 2 per trigger
+    assert {r.batch_id for r in recs} == {0, 1, 2}  # 5 files, 2 per trigger
 
 
 def test_preview_csv(spark, tmp_path, capsys):

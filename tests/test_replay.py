@@ -31,27 +31,6 @@ def _counted(spark, path):
     return spark.read.parquet(path).agg({"event_count": "sum"}).first()[0]
 
 
-def test_replayed_topic_keeps_time_order(spark, tmp_path):
-    """2,400 events of six users a second apart, published in one write and read 400 at a time."""
-    csv, topic_dir, slices = (str(tmp_path / n) for n in ("csv", "topic", "slices"))
-    fixtures.write_event_csv(_events(spark, 2400), csv)
-    main(["replay-csv", "--csv", csv, "--topic-dir", topic_dir], spark)
-    records = []
-    for name in sorted(f for f in os.listdir(topic_dir) if f.startswith("part-")):
-        with open(os.path.join(topic_dir, name)) as f:
-            records += f.read().splitlines()
-    assert len(records) == 2400 and len({json.loads(r)["offset"] for r in records}) == 2400
-    os.mkdir(slices)
-    for i in range(6):
-        path = os.path.join(slices, f"part-{i}.json")
-        with open(path, "w") as f:
-            f.write("\n".join(records[i * 400:(i + 1) * 400]) + "\n")
-        os.utime(path, (1_700_000_000 + i,) * 2)
-    main(["count-job", "--topic-dir", slices, "--max-per-trigger", "1", "--sink", f"table:{tmp_path / 'out'}",
-          "--trigger", "once", "--checkpoint", str(tmp_path / "ck")], spark)
-    assert _counted(spark, str(tmp_path / "out")) == 2340  # all but the last, open minute
-
-
 def test_totals_outlast_the_retained_reports(spark, tmp_path, capsys):
     topic_dir = tmp_path / "topic"
     fixtures.write_topic_files(fixtures.topic_records(
@@ -118,14 +97,6 @@ def test_a_grown_table_is_read_whole(spark, tmp_path):
     assert [Q.record_rejects(spark, str(sf)).count(), Q.ingest_summary(spark, str(sf)).first()[0]] == [2 * n for n in first]
 
 
-def test_offsets_are_unique_over_tasks_and_batches(spark):
-    frame = spark.range(5000).selectExpr("0 as partition", "cast(id as string) key", "'v' value").repartition(200).persist()
-    both = topic.with_offsets(frame, 0).union(topic.with_offsets(frame, 1))
-    assert both.select("partition", "offset").distinct().count() == 10_000
-    assert topic.with_offsets(frame, 0).agg({"offset": "max"}).first()[0] == 4999
-    frame.unpersist()
-
-
 def test_fan_out_keeps_its_cache_over_a_retrying_sink(spark, monkeypatch):
     seen = []
     sink = sinks.JdbcSink("jdbc:none", "t", retries=1)

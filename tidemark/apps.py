@@ -3,6 +3,7 @@
     python -m tidemark count-job   --topic-dir DIR | --kafka HOST:PORT  --sink table:PATH ...
     python -m tidemark topn-job    (same options)
     python -m tidemark replay-csv  --csv PATH (--topic-dir DIR | --kafka HOST:PORT) [--files-per-trigger N]
+    python -m tidemark count-job   --csv PATH (a replay straight into the counts; also topn-job)
     python -m tidemark consume     --topic-dir DIR | --kafka ...  --audit PATH --rejects PATH
     python -m tidemark manual-requests --requests DIR (--topic-dir DIR | --kafka HOST:PORT) [--rejects PATH]
     python -m tidemark preview-csv --csv PATH
@@ -28,18 +29,22 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import summary, validate
 from tidemark.operators.summary import category_top_n_lines, event_type_count_lines
-from tidemark.schema import (CONSUMER_POLL_INTERVAL, EVENTS_TOPIC, MANUAL_TOPIC, MAX_DELAY, REPLAY_EVENTS_PER_SECOND,
-                             REQUEST_SCHEMA, SINK_FLUSH_INTERVAL, TOP_N, WINDOW)
+from tidemark.schema import (CONSUMER_POLL_INTERVAL, EVENTS_TOPIC, IDLE_LIMIT, MANUAL_TOPIC, MAX_DELAY, REPLAY_EVENTS_PER_SECOND,
+                             REPLAY_FILES, REQUEST_SCHEMA, SINK_FLUSH_INTERVAL, TOP_N, TOPIC_PARTITIONS, WINDOW)
 from tidemark.session import build_session, scratch_path
 from tidemark.sources import changes, csv_events, topic
 from tidemark.sources.requests import normalize_requests
-from tidemark.streaming import jobs, sinks
+from tidemark.streaming import jobs, progress, replay, sinks
 
 
-def _source_args(p: argparse.ArgumentParser) -> None:
+def _source_args(p: argparse.ArgumentParser, csv: bool = False) -> None:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--kafka", help="bootstrap servers")
-    src.add_argument("--topic-dir", help="directory of envelope JSON files")
+    src.add_argument("--topic-dir", help="folder of records: files, or a folder for each partition")
+    if csv:
+        src.add_argument("--csv", help="event files, replayed straight into the result")
+        p.add_argument("--strict-days", action="store_true", help="CSV: reject a day past the month's end")
+        p.add_argument("--multi-line", action="store_true", help="CSV: values may hold line breaks")
     p.add_argument("--topic", default=EVENTS_TOPIC)
     p.add_argument("--max-per-trigger", type=int, default=None,
                    help="records (Kafka) or files per micro-batch")
@@ -51,7 +56,7 @@ def _source_args(p: argparse.ArgumentParser) -> None:
 
 
 def _stream_args(p: argparse.ArgumentParser) -> None:
-    _source_args(p)
+    _source_args(p, csv=True)
     p.add_argument("--sink", action="append", required=True, help="table:PATH | lines:PATH | jdbc:URL#TABLE | console")
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-password")
@@ -66,8 +71,7 @@ def _stream_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--on-error", default="reject", choices=["reject", "fail"],
                    help="reject: set bad records aside; fail: stop on the first one")
     p.add_argument("--rejects", help="table path for dead letters (a companion query)")
-    p.add_argument("--state-partitions", type=int, default=None,
-                   help="state-store partitions when the query first starts; raise it for many more keys")
+    p.add_argument("--idle", default=IDLE_LIMIT, help="a partition without records for so long holds no window open")
 
 
 def _records(spark, args):
@@ -75,6 +79,9 @@ def _records(spark, args):
         most = jobs.replay_trigger(args.rate)[1] if args.rate else args.max_per_trigger
         opts = topic.kafka_options(args.kafka, args.topic, max_offsets_per_trigger=most)
         return topic.read_records(spark, options=opts)
+    parts = replay.folder_partitions(spark, args.topic_dir)
+    if parts:
+        return topic.read_partitions(spark, args.topic_dir, parts, args.max_per_trigger, args.topic_format)
     return topic.read_records(spark, path=args.topic_dir, max_files_per_trigger=args.max_per_trigger,
                               fmt=args.topic_format)
 
@@ -108,14 +115,22 @@ def _sinks(args, render):
 
 
 def _good_events(spark, args, ck: str):
-    """Decoded good events, plus the dead-letter query writing ``--rejects`` (if asked)."""
-    decoded = topic.decode_records(_records(spark, args), strict=not args.lax,
-                                   lenient_numbers=not args.strict_numbers)
+    """Good events with the input they came by, the names of inputs to wait for, and the dead-letter query (if asked)."""
+    waited = ()
+    if args.csv:
+        raw = csv_events.csv_reader(spark, args.multi_line, stream=True, max_files_per_trigger=args.max_per_trigger).csv(args.csv)
+        checked = csv_events.type_csv(raw, not args.strict_days)
+        name, rejects = F.lit("csv"), checked.where(F.col(validate.REASON).isNotNull()).select("raw_record", validate.REASON)
+    else:
+        checked = topic.decode_records(_records(spark, args), strict=not args.lax, lenient_numbers=not args.strict_numbers)
+        name, rejects = F.coalesce(F.col("partition").cast("string"), F.lit("")), topic.record_rejects(checked)
+        if args.topic_dir:
+            waited = tuple(str(p) for p in replay.folder_partitions(spark, args.topic_dir))
     companions = []
     if args.rejects:
-        companions.append(jobs.start_passthrough(topic.record_rejects(decoded), sinks.TableSink(args.rejects),
-                                                 f"{ck}-rejects", _trigger(args)))
-    return validate.split(decoded, on_error=args.on_error).good, companions
+        companions.append(jobs.start_passthrough(rejects, sinks.TableSink(args.rejects), f"{ck}-rejects", _trigger(args)))
+    good = validate.split(checked.withColumn(progress.INPUT, name), on_error=args.on_error, keep=(progress.INPUT,)).good
+    return good, waited, companions
 
 
 def _checkpoint(spark, args, job: str, *identity) -> str:
@@ -126,95 +141,79 @@ def _checkpoint(spark, args, job: str, *identity) -> str:
     return scratch_path(spark, "checkpoints", f"{job}-{name}", unique=False)
 
 
-def _run_reported(spark, start) -> None:
-    """Start queries (the first is the job's own), wait for all, print the job's totals."""
-    totals = jobs.Totals(spark)
+def _counting(spark, args, job: str, start) -> None:
+    """Run a windowed job to its end (if it has one) and print its totals, which outlast a restart."""
+    ck = _checkpoint(spark, args, job, args.kafka or args.topic_dir or args.csv, args.topic, *sorted(args.sink))
+    good, waited, companions = _good_events(spark, args, ck)
+    query, counts = start(good, ck, dict(length=args.window, delay=args.delay, idle=args.idle, expected=waited, trigger=_trigger(args)))
     try:
-        queries = start()
-        try:
-            jobs.await_all(*queries)
-        finally:
-            print(json.dumps(totals.of(queries[0])))
+        progress.run(query, counts, *companions)
     finally:
-        totals.close()
+        print(json.dumps(counts.totals(spark)))
 
 
 def count_job(spark, args) -> None:
-    ck = _checkpoint(spark, args, "count-job", args.kafka or args.topic_dir, args.topic, *sorted(args.sink))
-
-    def start():
-        good, companions = _good_events(spark, args, ck)
-        q = jobs.start_event_type_counts(good, _sinks(args, event_type_count_lines), ck, args.window,
-                                         args.delay, trigger=_trigger(args), query_name="event_type_counts",
-                                         state_partitions=args.state_partitions)
-        return [q, *companions]
-
-    _run_reported(spark, start)
+    _counting(spark, args, "count-job", lambda good, ck, opts: progress.start_event_type_counts(
+        good, _sinks(args, event_type_count_lines), ck, query_name="event_type_counts", **opts))
 
 
 def topn_job(spark, args) -> None:
-    ck = _checkpoint(spark, args, "topn-job", args.kafka or args.topic_dir, args.topic, *sorted(args.sink))
-
-    def start():
-        good, companions = _good_events(spark, args, ck)
-        q = jobs.start_category_top_n(good, _sinks(args, category_top_n_lines), ck, args.window, args.delay,
-                                      n=args.n, trigger=_trigger(args), query_name="category_top_n",
-                                      state_partitions=args.state_partitions)
-        return [q, *companions]
+    _counting(spark, args, "topn-job", lambda good, ck, opts: progress.start_category_top_n(
+        good, _sinks(args, category_top_n_lines), ck, n=args.n, query_name="category_top_n", **opts))
 
-    _run_reported(spark, start)
-
-
-def _publisher(args):
-    """Micro-batch -> topic: Kafka, or envelope files appended to a topic directory."""
-
-    def publish(batch, batch_id: int) -> None:
-        if args.kafka:
-            sinks.write_topic(batch, args.kafka, args.topic, ordered=True)
-            return
-        frame = sinks.topic_frame(batch, ordered=True)
-        frame = frame.select(F.pmod(F.hash("key"), F.lit(args.partitions)).cast("int").alias("partition"), "key", "value")
-        frame.persist()
-        try:
-            records = topic.with_offsets(frame, batch_id)
-            records.write.mode("append").format(getattr(args, "topic_format", "json")).save(args.topic_dir)
-        finally:
-            frame.unpersist()
 
-    return publish
+def _publisher(spark, args):
+    """Events of a micro-batch -> topic: Kafka, or a folder of records."""
+    if args.kafka:
+        return replay.KafkaTopic(args.kafka, args.topic)
+    return replay.FolderTopic(args.topic_dir, args.partitions, args.topic_format)
 
 
 def replay_csv(spark, args) -> None:
-    """CSV events -> topic (the CSV producer).
+    """CSV events -> topic (the CSV producer), as a stream of bounded micro-batches (a per-event sleep is not reproduced).
 
-    Batch by default: the files are published in one distributed write. With
-    ``--files-per-trigger`` the folder is replayed as a file stream, at most
-    that many files per ``--interval`` trigger (bounded intake; a per-event
-    sleep is not reproduced). Rejected rows are skipped, or stop the job
-    with ``--on-error fail``.
+    Reads what is there and stops, or with ``--interval`` goes on, a micro-batch to an interval. Rejected
+    rows are skipped, or stop the job with ``--on-error fail``.
     """
-    if args.files_per_trigger:
-        raw = csv_events.csv_reader(spark, args.multi_line, stream=True,
-                                    max_files_per_trigger=args.files_per_trigger).csv(args.csv)
-        checked = csv_events.type_csv(raw, not args.strict_days)
-        ck = _checkpoint(spark, args, "replay-csv", args.csv, args.kafka or args.topic_dir, args.topic)
-        trigger = {"availableNow": True} if args.interval == "once" else {"processingTime": args.interval}
-        publish, totals = _publisher(args), {}
-
-        def replay(batch, batch_id: int) -> None:
-            seen = Observation()
-            publish(validate.split(summary.observe_ingest(batch, seen), on_error=args.on_error).good, batch_id)
+    ck = _checkpoint(spark, args, "replay-csv", args.csv, args.kafka or args.topic_dir, args.topic)
+    trigger = {"availableNow": True} if args.interval == "once" else {"processingTime": args.interval}
+    totals = {}
+
+    def watch(batch, batch_id):
+        if not args.report:
+            return batch
+        seen = Observation()
+        observed.append(seen)
+        return summary.observe_ingest(batch, seen)
+
+    observed = []
+    publish = _publisher(spark, args)
+
+    def published(events, batch_id):
+        publish(events, batch_id)
+        for seen in observed:
             for name, n in seen.get.items():
                 totals[name] = totals.get(name, 0) + n
-            if args.report:
-                print(json.dumps(totals))
+        observed.clear()
 
-        jobs.await_all(jobs.start_passthrough(checked, replay, ck, trigger))
-        return
-    checked = csv_events.read_csv_events(spark, args.csv, multi_line=args.multi_line, clamp_days=not args.strict_days)
-    _publisher(args)(validate.split(checked, on_error=args.on_error).good, 0)
+    published.targets = getattr(publish, "targets", [])
+    jobs.await_all(replay.start_replay(spark, args.csv, published, ck, args.files_per_trigger, trigger, args.multi_line,
+                                       not args.strict_days, args.on_error, watch))
     if args.report:
-        print(json.dumps(summary.ingest_summary(checked).first().asDict()))
+        print(json.dumps(totals))
+
+
+def _run_reported(spark, start) -> None:
+    """Start queries (the first is the job's own), wait for all, print the job's totals."""
+    totals = jobs.Totals(spark)
+    try:
+        queries = start()
+        try:
+            jobs.await_all(*queries)
+        finally:
+            print(json.dumps(totals.of(queries[0])))
+    finally:
+        totals.close()
 
 
 def consume(spark, args) -> None:
@@ -239,7 +238,7 @@ def manual_requests(spark, args) -> None:
     reader = spark.readStream if args.stream else spark.read
     requests = reader.schema(REQUEST_SCHEMA).json(args.requests)
     checked = normalize_requests(requests)
-    publish = _publisher(args)
+    publish = _publisher(spark, args)
 
     def write(batch, batch_id: int) -> None:
         batch.persist()
@@ -254,6 +253,7 @@ def manual_requests(spark, args) -> None:
         ck = _checkpoint(spark, args, "manual-requests", args.requests, args.kafka or args.topic_dir, args.topic)
         jobs.await_all(jobs.start_passthrough(checked, write, ck, {"availableNow": True} if args.once else None))
     else:
+        sinks.refuse_used(spark, getattr(publish, "targets", ()))
         write(checked, 0)
 
 
@@ -284,13 +284,13 @@ def parser() -> argparse.ArgumentParser:
     dst.add_argument("--kafka")
     dst.add_argument("--topic-dir")
     r.add_argument("--topic", default=EVENTS_TOPIC)
-    r.add_argument("--partitions", type=int, default=4)
+    r.add_argument("--partitions", type=int, default=TOPIC_PARTITIONS)
     r.add_argument("--topic-format", default="json", choices=["json", "parquet"])
     r.add_argument("--multi-line", action="store_true")
     r.add_argument("--strict-days", action="store_true", help="reject a day past the month's end instead of taking its last day")
     r.add_argument("--on-error", default="reject", choices=["reject", "fail"])
-    r.add_argument("--files-per-trigger", type=int, default=None)
-    r.add_argument("--interval", default="1 second", help="trigger interval, or 'once' to drain and stop")
+    r.add_argument("--files-per-trigger", type=int, default=REPLAY_FILES)
+    r.add_argument("--interval", default="once", help="trigger interval, or 'once' to drain and stop")
     r.add_argument("--checkpoint")
     r.add_argument("--report", action="store_true")
     s = sub.add_parser("consume")
@@ -307,7 +307,7 @@ def parser() -> argparse.ArgumentParser:
     mdst.add_argument("--kafka")
     mdst.add_argument("--topic-dir")
     m.add_argument("--topic", default=MANUAL_TOPIC)
-    m.add_argument("--partitions", type=int, default=4)
+    m.add_argument("--partitions", type=int, default=TOPIC_PARTITIONS)
     m.add_argument("--topic-format", default="json", choices=["json", "parquet"])
     m.add_argument("--rejects")
     m.add_argument("--stream", action="store_true")

@@ -29,6 +29,11 @@ def wallclock_micros(ntz) -> Column:
     return F.timestamp_diff("MICROSECOND", _epoch(), _c(ntz))
 
 
+def from_micros(micros) -> Column:
+    """Microseconds since the epoch -> UTC wall-clock TIMESTAMP_NTZ."""
+    return F.timestamp_add("MICROSECOND", _c(micros), _epoch())
+
+
 def to_instant(ntz) -> Column:
     """UTC wall-clock TIMESTAMP_NTZ -> TIMESTAMP instant."""
     return F.timestamp_micros(wallclock_micros(ntz))

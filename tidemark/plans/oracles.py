@@ -181,6 +181,8 @@ select event_id as "offset",
        case when kind = 5 then null else coalesce(user_id, 0) end as user_id,
        case when kind = 5 then 'malformed_json' else plain_reason end as reject_reason
 from k"""
+# Two inputs at different times lose nothing: as if they were one.
+ORACLES["stream_lagging_input"] = ORACLES["stream_event_type_counts"]
 ORACLES["stream_record_rejects"] = ORACLES["record_rejects"]
 ORACLES["stream_consumed_audit"] = ORACLES["consumed_audit"]
 ORACLES["stream_orders_current_state"] = ORACLES["orders_current_state"]

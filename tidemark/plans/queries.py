@@ -16,10 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import summary, topn, validate, windows
-from tidemark.schema import CATEGORY_TOP_N_SCHEMA, EVENT_COLUMNS, EVENT_TYPE_COUNTS_SCHEMA, ORDER_CHANGE_SCHEMA
+from tidemark.schema import (CATEGORY_TOP_N_SCHEMA, EVENT_COLUMNS, EVENT_TYPE_COUNTS_SCHEMA, ORDER_CHANGE_SCHEMA,
+                             RECORDS_PER_FILE)
 from tidemark.session import file_system, files_under, scratch_path
 from tidemark.sources import changes, csv_events, fixtures, requests, topic
-from tidemark.streaming import jobs, sinks
+from tidemark.streaming import jobs, progress, replay, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,15 +40,15 @@ def valid_events(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -
 
 
 # Bump when a derivation changes so stale derived inputs are never reused.
-DERIVED_VERSION = "5"
-# A replay has a micro-batch for each slice of time: at least these, and no more than so many bytes of the table to one.
-SLICES, SLICE_BYTES = 5, 256 * 1024 * 1024
-REPLAY_SLICES = 12
+DERIVED_VERSION = "6"
+# A stream reads its table in slices of time, a slice to a micro-batch, each in files of at most so many bytes of the table.
+SLICES, FILE_BYTES = 5, 128 * 1024 * 1024
 
 
-def _slices(spark: SparkSession, sf_dir: str, least: int = SLICES) -> int:
-    size = sum(n for _, n, _ in files_under(spark, f"{sf_dir}/events.parquet"))
-    return max(least, -(-size // SLICE_BYTES))
+def _files(spark: SparkSession, sf_dir: str, table: str = "events") -> int:
+    """Files of a slice."""
+    size = sum(n for _, n, _ in files_under(spark, f"{sf_dir}/{table}.parquet"))
+    return max(1, -(-size // (SLICES * FILE_BYTES)))
 
 
 def _derived(spark: SparkSession, sf_dir: str, table: str, kind: str, write: Callable[[str], object]) -> str:
@@ -74,14 +75,14 @@ def _derived(spark: SparkSession, sf_dir: str, table: str, kind: str, write: Cal
 TOPIC_FORMAT = "parquet"
 
 
+def _append_records(path: str) -> Callable[[DataFrame], object]:
+    return lambda events: fixtures.write_topic_files(fixtures.topic_records(events), path, TOPIC_FORMAT, "append")
+
+
 def topic_replica(spark: SparkSession, sf_dir: str) -> str:
     """The events table published as topic record files, in the order of time."""
-    def write(path):
-        events = fixtures.by_time(raw_events(spark, sf_dir), _slices(spark, sf_dir))
-        fixtures.write_topic_files(fixtures.topic_records(events), path, TOPIC_FORMAT)
-        fixtures.arrive_in_order(spark, path)
-
-    return _derived(spark, sf_dir, "events", "topic", write)
+    return _derived(spark, sf_dir, "events", "topic", lambda path: fixtures.in_order(
+        raw_events(spark, sf_dir), path, SLICES, _files(spark, sf_dir), _append_records(path)))
 
 
 def csv_replica(spark: SparkSession, sf_dir: str) -> str:
@@ -91,26 +92,32 @@ def csv_replica(spark: SparkSession, sf_dir: str) -> str:
 
 def csv_by_time(spark: SparkSession, sf_dir: str) -> str:
     """The events table as CSV files that arrive in the order of time."""
-    def write(path):
-        fixtures.write_event_csv(fixtures.by_time(raw_events(spark, sf_dir), _slices(spark, sf_dir, REPLAY_SLICES)), path)
-        fixtures.arrive_in_order(spark, path)
-
-    return _derived(spark, sf_dir, "events", "csv-by-time", write)
+    return _derived(spark, sf_dir, "events", "csv-by-time", lambda path: fixtures.in_order(
+        raw_events(spark, sf_dir), path, SLICES, _files(spark, sf_dir),
+        lambda events: fixtures.write_event_csv(events, path, "append")))
 
 
 def late_topic(spark: SparkSession, sf_dir: str) -> str:
     """As `topic_replica`, but every 50th event arrives after all others."""
     def write(path):
         events = raw_events(spark, sf_dir)
-        late = F.coalesce(F.col("event_id") % 50 == 7, F.lit(False))
-        n = _slices(spark, sf_dir)
-        fixtures.write_topic_files(fixtures.topic_records(fixtures.by_time(events.where(~late), n)), path, TOPIC_FORMAT)
-        fixtures.arrive_in_order(spark, path)
-        (fixtures.topic_records(events.where(late)).write.mode("append").format(TOPIC_FORMAT).save(path))
+        late, files = F.coalesce(F.col("event_id") % 50 == 7, F.lit(False)), _files(spark, sf_dir)
+        fixtures.in_order(events.where(~late), path, SLICES, files, _append_records(path))
+        _append_records(path)(events.where(late).repartition(files))
 
     return _derived(spark, sf_dir, "events", "late-topic", write)
 
 
+def lagging_topics(spark: SparkSession, sf_dir: str) -> str:
+    """Two topics: users with odd ids, and, in twice as many slices, those with even ids. Read slice by slice, the second falls behind."""
+    def write(path):
+        events, files = raw_events(spark, sf_dir), _files(spark, sf_dir)
+        for name, rest, slices in (("ahead", 1, SLICES), ("behind", 0, 2 * SLICES)):
+            fixtures.in_order(events.where(F.col("user_id") % 2 == rest), f"{path}/{name}", slices, files, _append_records(f"{path}/{name}"))
+
+    return _derived(spark, sf_dir, "events", "lagging-topics", write)
+
+
 # --- windowed counts and rankings
 
 def event_type_counts_1m(spark, sf_dir):
@@ -213,11 +220,14 @@ def orders_current_state(spark, sf_dir):
 
 # --- streaming (S2, W1-W9, K2/K3 via a table sink)
 
+def _slices_of(spark, sf_dir, path: str) -> DataFrame:
+    """A folder of records as a stream, a slice to a micro-batch."""
+    return topic.read_records(spark, path=path, stream=True, fmt=TOPIC_FORMAT, max_files_per_trigger=_files(spark, sf_dir))
+
+
 def _stream_records(spark, sf_dir):
     """The topic replica read as a stream, a slice of time in each micro-batch."""
-    records = topic.read_records(spark, path=topic_replica(spark, sf_dir), stream=True, fmt=TOPIC_FORMAT,
-                                 max_files_per_trigger=1)
-    return topic.decode_records(records)
+    return topic.decode_records(_slices_of(spark, sf_dir, topic_replica(spark, sf_dir)))
 
 
 def _stream_good(spark, sf_dir):
@@ -272,31 +282,41 @@ def stream_consumed_audit(spark, sf_dir):
 
 
 def stream_replay_counts(spark, sf_dir):
-    """CSV files replayed into a topic, a file to a micro-batch, and the topic counted publish by publish."""
-    topic_dir = scratch_path(spark, "results", "replayed-topic")
-    raw = csv_events.csv_reader(spark, stream=True, max_files_per_trigger=1).csv(csv_by_time(spark, sf_dir))
-    good = validate.split(csv_events.type_csv(raw)).good
-
-    def publish(batch, batch_id):
-        records = sinks.topic_frame(batch, ordered=True).select(F.lit(0).alias("partition"), "key", "value")
-        records.persist()
-        try:
-            topic.with_offsets(records, batch_id).coalesce(1).write.mode("append").format(TOPIC_FORMAT).save(topic_dir)
-        finally:
-            records.unpersist()
-
-    _run_to_end(jobs.start_passthrough(good, publish, scratch_path(spark, "checkpoints", "replay"), {"availableNow": True}))
-    records = topic.read_records(spark, path=topic_dir, stream=True, fmt=TOPIC_FORMAT, max_files_per_trigger=1)
-    out = scratch_path(spark, "results", "replay_counts")
-    _run_to_end(jobs.start_event_type_counts(
-        validate.split(topic.decode_records(records)).good, sinks.TableSink(out), scratch_path(spark, "checkpoints", "rc"),
-        trigger={"availableNow": True}))
+    """CSV files replayed into a topic as `replay-csv` does, and the topic counted as `count-job` does, a file of each partition at a time."""
+    topic_dir, ck = scratch_path(spark, "results", "replayed-topic"), scratch_path(spark, "checkpoints", "replay")
+    publish = replay.FolderTopic(topic_dir, fmt=TOPIC_FORMAT, records_per_file=RECORDS_PER_FILE)
+    jobs.await_all(replay.start_replay(spark, csv_by_time(spark, sf_dir), publish, ck, _files(spark, sf_dir)))
+    parts = replay.folder_partitions(spark, topic_dir)
+    records = topic.read_partitions(spark, topic_dir, parts, 1, TOPIC_FORMAT)
+    good = _named_inputs(topic.decode_records(records), F.col("partition").cast("string"))
+    return _counted_by_input(spark, good, "replay_counts", tuple(str(p) for p in parts))
+
+
+def _named_inputs(decoded: DataFrame, name) -> DataFrame:
+    return validate.split(decoded.withColumn(progress.INPUT, name), keep=(progress.INPUT,)).good
+
+
+def _counted_by_input(spark, good: DataFrame, name: str, expected: tuple[str, ...]) -> DataFrame:
+    """The result table of a count job with progress per input, run until its inputs are drained."""
+    out = scratch_path(spark, "results", name)
+    query, counts = progress.start_event_type_counts(good, sinks.TableSink(out), scratch_path(spark, "checkpoints", name),
+                                                     expected=expected, trigger={"availableNow": True})
+    progress.run(query, counts)
     return _read_result(spark, out, EVENT_TYPE_COUNTS_SCHEMA)
 
 
+def stream_lagging_input(spark, sf_dir):
+    """Counts of two topics, one of which is days behind the other for most of the run: it holds the windows open, and nothing is late."""
+    path = lagging_topics(spark, sf_dir)
+    decoded = {n: topic.decode_records(_slices_of(spark, sf_dir, f"{path}/{n}")) for n in ("ahead", "behind")}
+    merged = progress.merge_named(**decoded)
+    good = validate.split(merged, keep=(progress.INPUT,)).good
+    return _counted_by_input(spark, good, "lagging_counts", ("ahead", "behind"))
+
+
 def stream_late_events(spark, sf_dir):
-    """Counts of a stream whose last file holds late events: those of closed windows are dropped."""
-    records = topic.read_records(spark, path=late_topic(spark, sf_dir), stream=True, fmt=TOPIC_FORMAT, max_files_per_trigger=1)
+    """Counts of a stream whose last slice holds late events: those of closed windows are dropped."""
+    records = _slices_of(spark, sf_dir, late_topic(spark, sf_dir))
     out = scratch_path(spark, "results", "late_counts")
     _run_to_end(jobs.start_event_type_counts(
         validate.split(topic.decode_records(records)).good, sinks.TableSink(out), scratch_path(spark, "checkpoints", "late"),
@@ -323,8 +343,8 @@ def json_binding_cases(spark, sf_dir):
 def order_change_replica(spark: SparkSession, sf_dir: str) -> str:
     """The orders table's change rows as files (a change topic)."""
     def write(path):
-        fixtures.order_changes(spark, sf_dir).repartitionByRange(SLICES, "change_seq").write.parquet(path)
-        fixtures.arrive_in_order(spark, path)
+        fixtures.write_in_order(fixtures.order_changes(spark, sf_dir), F.col("change_seq"), SLICES, _files(spark, sf_dir, "orders"),
+                                lambda rows: rows.write.mode("append").parquet(path), f"{path}-slices")
 
     return _derived(spark, sf_dir, "orders", "order-changes", write)
 
@@ -332,7 +352,8 @@ def order_change_replica(spark: SparkSession, sf_dir: str) -> str:
 def stream_orders_current_state(spark, sf_dir):
     """Change rows merged into the order state, a micro-batch at a time."""
     table = scratch_path(spark, "results", "order_state")
-    feed = spark.readStream.schema(ORDER_CHANGE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(order_change_replica(spark, sf_dir))
+    feed = spark.readStream.schema(ORDER_CHANGE_SCHEMA).option("maxFilesPerTrigger", _files(spark, sf_dir, "orders")).parquet(
+        order_change_replica(spark, sf_dir))
     q = jobs.start_passthrough(feed, changes.StateTable(table), scratch_path(spark, "checkpoints", "orders"),
                                {"availableNow": True})
     _run_to_end(q)
@@ -364,6 +385,7 @@ QUERIES: dict[str, Query] = {
     "stream_consumed_audit": stream_consumed_audit,
     "stream_orders_current_state": stream_orders_current_state,
     "stream_replay_counts": stream_replay_counts,
+    "stream_lagging_input": stream_lagging_input,
     "stream_late_events": stream_late_events,
     "stream_fan_out_lines": stream_fan_out_lines,
     "json_binding_cases": json_binding_cases,

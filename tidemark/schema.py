@@ -14,6 +14,8 @@ EVENT_TYPES = ("view", "cart", "purchase")
 WINDOW = "1 minute"
 # Bounded out-of-orderness of the watermark.
 MAX_DELAY = "5 seconds"
+# An input without records for this long no longer holds windows open.
+IDLE_LIMIT = "10 seconds"
 # Size of the per-window category ranking.
 TOP_N = 5
 # Category given to events whose category code is NULL.
@@ -43,6 +45,11 @@ FORM_DEFAULTS = ("view", "123456", "2053013552326770905", "", "", "99.99", "1",
 # State stores of the windowed jobs: three event types, some hundred categories, two open windows.
 STATE_PARTITIONS = {"event_type": 4, "category": 8}
 
+# A replay: files to a micro-batch, partitions of a folder topic, records to a file of it.
+REPLAY_FILES = 8
+TOPIC_PARTITIONS = 4
+RECORDS_PER_FILE = 100_000
+
 # Canonical typed event. event_time is TIMESTAMP_NTZ holding the UTC
 # wall-clock time, so results never depend on the session time zone.
 PRICE_TYPE = T.DecimalType(38, 18)

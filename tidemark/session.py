@@ -87,6 +87,26 @@ def files_under(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted(out)
 
 
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A short text as one file, in place of an older one."""
+    fs, p = file_system(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """A text that `write_small` wrote."""
+    fs, p = file_system(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
+    finally:
+        source.close()
+
+
 def cluster_conf(executor_cores_total: int) -> dict[str, str]:
     """Settings for a large cluster run (pass as ``build_session(extra=...)``).
 

@@ -13,17 +13,17 @@ no shuffle, work grows with the tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.codec import encode_event
 from tidemark.functions.scalar import user_key
-from tidemark.functions.time import text_utc
-from tidemark.session import file_system
-from tidemark.schema import EVENT_COLUMNS
+from tidemark.functions.time import text_utc, wallclock_micros
+from tidemark.schema import EVENT_COLUMNS, TOPIC_PARTITIONS
 
 CATEGORY_ID_BASE = 2053013552326770000  # beyond 2^53: ids must never pass through a double
-TOPIC_PARTITIONS = 4
 
 
 # Declared schemas of the driver tables used here: no footer reads to infer them.
@@ -91,28 +91,34 @@ def topic_records(events: DataFrame, partitions: int = TOPIC_PARTITIONS) -> Data
     )
 
 
-def arrive_in_order(spark: SparkSession, path: str) -> str:
-    """Give the files of a folder modification times in the order of their names.
+def write_in_order(rows: DataFrame, order: Column, slices: int, files: int, write: Callable[[DataFrame], None], staging: str) -> None:
+    """Hand ``rows`` to ``write`` slice by slice in ascending ``order`` (a number; nulls first), each as ``files`` range partitions.
 
-    A file stream reads files by modification time. The part files of one write
-    are closed in any order; a folder filled over time has its own.
+    A file stream reads files by the time they were written, and the files of one write are closed in any order. So
+    slices are written one after another, and a reader takes ``files`` at a time: a slice to a micro-batch. The rows are
+    dealt into slices once, by quantiles of ``order``, under ``staging``.
     """
-    fs, folder = file_system(spark, path)
-    files = sorted((f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")),
-                   key=lambda f: f.getName())
-    for i, f in enumerate(files):
-        fs.setTimes(f, 1_600_000_000_000 + 1000 * i, -1)
-    return path
+    spark = rows.sparkSession
+    placed = rows.withColumn("__order", order.cast("double"))
+    bounds = placed.approxQuantile("__order", [i / slices for i in range(1, slices)], 0.001) or []
+    number = F.lit(0)
+    for bound in bounds:
+        number = number + F.coalesce((F.col("__order") > bound).cast("int"), F.lit(0))
+    placed.withColumn("__slice", number).write.mode("overwrite").partitionBy("__slice").parquet(staging)
+    staged = spark.read.schema(placed.schema.add("__slice", "integer")).parquet(staging)
+    for i in range(slices):
+        part = staged.where(F.col("__slice") == i).repartitionByRange(files, F.col("__order")).sortWithinPartitions("__order")
+        write(part.drop("__order", "__slice"))
 
 
-def by_time(events: DataFrame, slices: int) -> DataFrame:
-    """Events as ``slices`` range partitions of event time, each in order: replayed in turn, none is late."""
-    return events.repartitionByRange(slices, "event_time", "event_id").sortWithinPartitions("event_time", "event_id")
+def in_order(events: DataFrame, path: str, slices: int, files: int, write: Callable[[DataFrame], None]) -> None:
+    """`write_in_order` of events by their time."""
+    write_in_order(events, wallclock_micros("event_time"), slices, files, write, f"{path}-slices")
 
 
-def write_topic_files(records: DataFrame, path: str, fmt: str = "json") -> str:
+def write_topic_files(records: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> str:
     """Envelope files (one directory = one replayable topic), JSON lines or parquet."""
-    records.write.mode("overwrite").format(fmt).save(path)
+    records.write.mode(mode).format(fmt).save(path)
     return path
 
 
@@ -149,13 +155,13 @@ def csv_text_columns(events: DataFrame) -> DataFrame:
     return events.select(*cols)
 
 
-def write_event_csv(events: DataFrame, path: str) -> str:
+def write_event_csv(events: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Events as CSV files with a header, NULL written as an empty field.
 
     Values are written verbatim: the writer's default trimming of leading and
     trailing spaces is switched off, quotes are doubled.
     """
-    (csv_text_columns(events).write.mode("overwrite")
+    (csv_text_columns(events).write.mode(mode)
      .option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))

@@ -3,15 +3,14 @@
 The production source is Kafka (``format("kafka")``, all of the topic,
 from the earliest offset, one checkpoint per consumer so every query keeps
 its own progress). Where the connector is not on the classpath the same
-records come from JSON files of ``partition, offset, key, value``, one file
-per micro-batch.
+records come from files of ``partition, offset, key, value``, in one folder or in a folder for
+each partition.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.functions.codec import decode_events
 from tidemark.operators.validate import REASON
@@ -54,22 +53,20 @@ def read_records(spark: SparkSession, *, path: str | None = None, options: dict
     return reader.format(fmt).load(path)
 
 
-def with_offsets(records: DataFrame, batch_id: int) -> DataFrame:
-    """Envelope rows of one publish: every record gets an offset that no other of the topic has.
+def read_partitions(spark: SparkSession, path: str, partitions: list[int], max_files_per_trigger: int | None = None,
+                    fmt: str = "json") -> DataFrame:
+    """Records of a folder topic with a folder for each partition, as a stream: every partition is a source of its own.
 
-    Records are numbered within their task and moved up by the rows of the
-    tasks before it (one number per task); each publish has 2^40 offsets. The
-    frame should be persisted: it is read twice.
+    ``max_files_per_trigger`` bounds the files of each partition, so a micro-batch takes from all of them.
     """
-    shift = 33  # monotonically_increasing_id is the task, then 33 bits for the row
-    marked = records.select("*", F.monotonically_increasing_id().alias("mark"))
-    task, row = F.shiftright("mark", shift), F.col("mark").bitwiseAND(F.lit((1 << shift) - 1))
-    counts = marked.groupBy(task.alias("task")).agg(F.count("*").alias("n"))
-    earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col("task").alias("of_task"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
-    placed = marked.join(F.broadcast(starts), task == F.col("of_task"))  # a row per task
-    return placed.select("partition", (F.lit(batch_id).cast("bigint") * F.lit(1 << 40) + F.col("start") + row).alias("offset"),
-                         "key", "value")
+    merged = None
+    for p in partitions:
+        reader = spark.readStream.schema(ENVELOPE_SCHEMA).option("recursiveFileLookup", True)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        one = reader.format(fmt).load(f"{path}/partition={p}").withColumn("partition", F.lit(p))
+        merged = one if merged is None else merged.unionByName(one)
+    return merged
 
 
 def decode_records(records: DataFrame, strict: bool = True, lenient_numbers: bool = True) -> DataFrame:

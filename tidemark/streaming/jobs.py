@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import threading
 import time
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
@@ -212,10 +213,12 @@ class Totals(StreamingQueryListener):
         self.spark.streams.removeListener(self)
 
 
-def await_all(*queries: StreamingQuery) -> None:
-    """Wait for all; if one fails, stop the others and raise its error."""
+def await_all(*queries: StreamingQuery, every: Callable[[], None] | None = None) -> None:
+    """Wait for all; if one fails, stop the others and raise its error. ``every`` is called about once a second."""
     try:
         while True:
+            if every:
+                every()
             running = [q for q in queries if q.isActive]
             for q in queries:
                 if not q.isActive and q.exception() is not None:

@@ -150,9 +150,13 @@ def claim(spark, sink: BatchSink, checkpoint: str) -> None:
     earlier checkpoint filled, some would replace its batches and the rest would
     stay beside them.
     """
-    if files_under(spark, f"{checkpoint}/metadata"):
-        return
-    for target in getattr(sink, "targets", ()):
+    if not files_under(spark, f"{checkpoint}/metadata"):
+        refuse_used(spark, getattr(sink, "targets", ()))
+
+
+def refuse_used(spark, targets) -> None:
+    """Raise if a folder holds batches already."""
+    for target in targets:
         if any("/batch_id=" in name for name, _, _ in files_under(spark, target)):
             raise ValueError(f"{target} holds the batches of another run; continue with its checkpoint or choose a new folder")
 
@@ -161,15 +165,12 @@ def topic_frame(events: DataFrame, ordered: bool = False) -> DataFrame:
     """Events -> ``key, value`` records (key = user id text, value = event JSON).
 
     Records of one key go to one topic partition (the producer hashes the
-    key). ``ordered`` deals the events out by ranges of time and sorts each
-    task's records by (time, user): every task sends a span of time in order, so
-    a topic partition gets a user's events in order within a task, and tasks
-    run at the same time are no further apart than their spans. A hot user is
-    spread over all of them.
+    key). ``ordered`` deals the events out by user and sorts each task's by time, so a user's
+    events are sent in order by one task: for frames of bounded size, such as a replay's micro-batch.
     """
     frame = events
     if ordered:
-        frame = frame.repartitionByRange("event_time", "user_id").sortWithinPartitions("event_time", "user_id")
+        frame = frame.repartition("user_id").sortWithinPartitions("event_time", "user_id")
     return frame.select(user_key("user_id").alias("key"), encode_event().alias("value"))
 
 
