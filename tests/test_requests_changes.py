@@ -1,13 +1,14 @@
 """F6 manual requests and F7 order change rows."""
 
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row
 
 from tidemark.schema import FORM_DEFAULTS, ORDER_CHANGE_SCHEMA, REQUEST_SCHEMA
-from tidemark.sources.changes import append_changes, current_state
+from tidemark.sources.changes import StateTable, change_images, current_state
 from tidemark.sources.requests import normalize_requests
 
 
@@ -71,16 +72,63 @@ def test_current_state(spark):
     assert got == {1: ("sent", 9), 3: ("again", 8), 4: ("final", 20)}
 
 
-def test_streaming_change_batches_are_idempotent(spark, tmp_path):
-    table = str(tmp_path / "changes")
-    b0 = spark.createDataFrame([_change(1, "insert", 1, "new")], ORDER_CHANGE_SCHEMA)
-    b1 = spark.createDataFrame([_change(2, "update", 1, "paid")], ORDER_CHANGE_SCHEMA)
-    append_changes(b0, 0, table)
-    append_changes(b1, 1, table)
-    append_changes(b1, 1, table)  # replayed batch
-    state = current_state(spark.read.parquet(table).drop("batch_id"))
-    assert [(r.order_id, r.status) for r in state.collect()] == [(1, "paid")]
-    assert spark.read.parquet(table).filter(F.col("batch_id") == 1).count() == 1
+def _files(path):
+    return {os.path.relpath(os.path.join(d, f), path) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_a_micro_batch_writes_only_its_buckets(spark, tmp_path):
+    path = str(tmp_path / "state")
+    state = StateTable(path, buckets=8)
+    frame = lambda rows: spark.createDataFrame(rows, ORDER_CHANGE_SCHEMA)
+    state(frame([_change(i, "insert", i, "new") for i in range(1, 200)]), 0)
+    first = _files(path)
+    assert len(first) == 8
+    state(frame([_change(1000, "update", 7, "paid")]), 1)
+    added = _files(path) - first
+    assert first < _files(path) and len(added) == 1  # the files of all other buckets keep their names
+    before = sorted(map(str, state.read(spark).collect()))
+    state(frame([_change(1000, "update", 7, "paid")]), 1)  # the micro-batch runs again
+    assert sorted(map(str, state.read(spark).collect())) == before
+    state(frame([_change(1001, "delete", 7, "paid"), _change(5, "update", 7, "late")]), 2)
+    state(frame([_change(999, "update", 7, "later"), _change(2000, "insert", 500, "new")]), 3)
+    state(frame([]), 4)
+    got = {r.order_id: r.status for r in state.read(spark).collect()}
+    assert got == {**{i: "new" for i in range(1, 200) if i != 7}, 500: "new"}
+    seven = [f for f in _files(path) if f.split("/")[1] == sorted(added)[0].split("/")[1]]
+    assert len(seven) <= 2  # the last version of a bucket and the one before it
+
+
+def test_an_uncommitted_micro_batch_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "state")
+    state = StateTable(path, buckets=2)
+    state(spark.createDataFrame([_change(1, "insert", 1, "new")], ORDER_CHANGE_SCHEMA), 0)
+    state(spark.createDataFrame([_change(2, "update", 1, "paid")], ORDER_CHANGE_SCHEMA), 1)
+    os.remove(os.path.join(path, "batch_id=1", "_SUCCESS"))
+    assert [r.status for r in state.read(spark).collect()] == ["new"]
+    state(spark.createDataFrame([_change(2, "update", 1, "paid")], ORDER_CHANGE_SCHEMA), 1)
+    assert [r.status for r in state.read(spark).collect()] == ["paid"]
+    with pytest.raises(FileNotFoundError):
+        StateTable(str(tmp_path / "none")).read(spark)
+
+
+def test_change_images(spark):
+    def row(commit, seq, op, status, amount="1.00", order=1):
+        return (commit, seq, op, order, "c", "p", Decimal(amount), status, None)
+
+    feed = spark.createDataFrame([
+        row(1, 0, "insert", "new"), row(2, 0, "update_before", "new"), row(2, 0, "update_before", "new"), row(2, 0, "update_after", "paid", "2.00"),
+        row(2, 1, "update_before", "paid", "2.00"), row(2, 1, "update_after", None, "2.00"),  # a second update in the same commit
+        row(2, 0, "update_before", "x", order=2), row(2, 0, "update_after", "x", order=2),  # nothing differs
+        row(3, 0, "update_after", "alone", order=3), row(4, 0, "delete", "paid")],
+        "commit_seq long, seq int, op string, order_id int, customer_name string, product_name string, amount decimal(10,2), status string, created_at timestamp_ntz")
+    got = {(r.commit_seq, r.seq, r.order_id): r for r in change_images(feed).collect()}
+    assert len(got) == 6
+    assert got[1, 0, 1].op == "insert" and got[1, 0, 1].before is None and got[1, 0, 1].changed is None
+    assert got[2, 0, 1].changed == {"status": Row(old="new", new="paid"), "amount": Row(old="1.00", new="2.00")}
+    assert got[2, 1, 1].changed == {"status": Row(old="paid", new=None)} and got[2, 0, 2].changed == {}
+    assert got[3, 0, 3].before is None and got[3, 0, 3].after.status == "alone" and got[3, 0, 3].changed is None
+    assert got[4, 0, 1].op == "delete" and got[4, 0, 1].before.status == "paid" and got[4, 0, 1].after is None
+    assert change_images(feed.limit(0)).count() == 0
 
 
 def test_derived_change_rows_have_the_declared_schema(spark):

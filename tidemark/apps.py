@@ -24,17 +24,16 @@ import hashlib
 import json
 import sys
 
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators import summary, validate
 from tidemark.operators.summary import category_top_n_lines, event_type_count_lines
 from tidemark.schema import (CONSUMER_POLL_INTERVAL, EVENTS_TOPIC, IDLE_LIMIT, MANUAL_TOPIC, MAX_DELAY, REPLAY_EVENTS_PER_SECOND,
-                             REPLAY_FILES, REQUEST_SCHEMA, SINK_FLUSH_INTERVAL, TOP_N, TOPIC_PARTITIONS, WINDOW)
+                             REDELIVERY_HORIZON, REPLAY_FILES, REQUEST_SCHEMA, SINK_FLUSH_INTERVAL, TOP_N, TOPIC_PARTITIONS, WINDOW)
 from tidemark.session import build_session, scratch_path
 from tidemark.sources import changes, csv_events, topic
 from tidemark.sources.requests import normalize_requests
-from tidemark.streaming import jobs, progress, replay, sinks
+from tidemark.streaming import jobs, ledger, progress, replay, sinks
 
 
 def _source_args(p: argparse.ArgumentParser, csv: bool = False) -> None:
@@ -71,6 +70,8 @@ def _stream_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--on-error", default="reject", choices=["reject", "fail"],
                    help="reject: set bad records aside; fail: stop on the first one")
     p.add_argument("--rejects", help="table path for dead letters (a companion query)")
+    p.add_argument("--once-per-record", metavar="HORIZON", nargs="?", const=REDELIVERY_HORIZON,
+                   help=f"count a record that is delivered again once, up to HORIZON behind the newest event (default {REDELIVERY_HORIZON})")
     p.add_argument("--idle", default=IDLE_LIMIT, help="a partition without records for so long holds no window open")
 
 
@@ -96,7 +97,7 @@ def _trigger(args, default: str = SINK_FLUSH_INTERVAL):
     return {"processingTime": args.trigger}
 
 
-def _sinks(args, render):
+def _sinks(args, render, ck: str):
     built = []
     for spec in args.sink:
         kind, _, target = spec.partition(":")
@@ -111,7 +112,7 @@ def _sinks(args, render):
             built.append(sinks.ConsoleSink(render))
         else:
             raise SystemExit(f"unknown sink {spec!r}")
-    return built[0] if len(built) == 1 else sinks.FanOut(*built)
+    return built[0] if len(built) == 1 else sinks.FanOut(*built, once=ledger.Once(f"{ck}-sinks"))
 
 
 def _good_events(spark, args, ck: str):
@@ -123,13 +124,17 @@ def _good_events(spark, args, ck: str):
         name, rejects = F.lit("csv"), checked.where(F.col(validate.REASON).isNotNull()).select("raw_record", validate.REASON)
     else:
         checked = topic.decode_records(_records(spark, args), strict=not args.lax, lenient_numbers=not args.strict_numbers)
+        once = checked
+        if args.once_per_record:
+            once = jobs.without_redelivered(checked.where(F.col(validate.REASON).isNull()), args.once_per_record)
         name, rejects = F.coalesce(F.col("partition").cast("string"), F.lit("")), topic.record_rejects(checked)
         if args.topic_dir:
             waited = tuple(str(p) for p in replay.folder_partitions(spark, args.topic_dir))
     companions = []
     if args.rejects:
         companions.append(jobs.start_passthrough(rejects, sinks.TableSink(args.rejects), f"{ck}-rejects", _trigger(args)))
-    good = validate.split(checked.withColumn(progress.INPUT, name), on_error=args.on_error, keep=(progress.INPUT,)).good
+    kept = checked if args.csv else once
+    good = validate.split(kept.withColumn(progress.INPUT, name), on_error=args.on_error, keep=(progress.INPUT,)).good
     return good, waited, companions
 
 
@@ -154,12 +159,12 @@ def _counting(spark, args, job: str, start) -> None:
 
 def count_job(spark, args) -> None:
     _counting(spark, args, "count-job", lambda good, ck, opts: progress.start_event_type_counts(
-        good, _sinks(args, event_type_count_lines), ck, query_name="event_type_counts", **opts))
+        good, _sinks(args, event_type_count_lines, ck), ck, query_name="event_type_counts", **opts))
 
 
 def topn_job(spark, args) -> None:
     _counting(spark, args, "topn-job", lambda good, ck, opts: progress.start_category_top_n(
-        good, _sinks(args, category_top_n_lines), ck, n=args.n, query_name="category_top_n", **opts))
+        good, _sinks(args, category_top_n_lines, ck), ck, n=args.n, query_name="category_top_n", **opts))
 
 
 def _publisher(spark, args):
@@ -177,30 +182,19 @@ def replay_csv(spark, args) -> None:
     """
     ck = _checkpoint(spark, args, "replay-csv", args.csv, args.kafka or args.topic_dir, args.topic)
     trigger = {"availableNow": True} if args.interval == "once" else {"processingTime": args.interval}
-    totals = {}
-
-    def watch(batch, batch_id):
-        if not args.report:
-            return batch
-        seen = Observation()
-        observed.append(seen)
-        return summary.observe_ingest(batch, seen)
-
-    observed = []
-    publish = _publisher(spark, args)
+    seen, publish = ledger.Observed(ledger.Ledger(spark, f"{ck}-totals")), _publisher(spark, args)
 
     def published(events, batch_id):
         publish(events, batch_id)
-        for seen in observed:
-            for name, n in seen.get.items():
-                totals[name] = totals.get(name, 0) + n
-        observed.clear()
+        for sent in seen.enter(batch_id):
+            if args.report:
+                print(json.dumps({"sent": sent}))
 
     published.targets = getattr(publish, "targets", [])
     jobs.await_all(replay.start_replay(spark, args.csv, published, ck, args.files_per_trigger, trigger, args.multi_line,
-                                       not args.strict_days, args.on_error, watch))
+                                       not args.strict_days, args.on_error, seen.watch))
     if args.report:
-        print(json.dumps(totals))
+        print(json.dumps(seen.ledger.totals()))
 
 
 def _run_reported(spark, start) -> None:
@@ -258,9 +252,9 @@ def manual_requests(spark, args) -> None:
 
 
 def preview_csv(spark, args) -> None:
-    checked = csv_events.read_csv_events(spark, args.csv, multi_line=args.multi_line, clamp_days=not args.strict_days)
-    good = validate.split(checked).good
-    for row in summary.preview(good, args.rows).collect():  # bounded: args.rows rows
+    checked = csv_events.read_csv_events(spark, args.csv, args.multi_line, not args.strict_days, position=True)
+    good = validate.split(checked, keep=(csv_events.POSITION,)).good
+    for row in summary.preview(good, args.rows, (csv_events.POSITION,)).drop(csv_events.POSITION).collect():  # args.rows rows
         print(row)
     print(json.dumps(summary.ingest_summary(checked).first().asDict()))
 

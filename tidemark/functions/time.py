@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.schema import CSV_TIME_SUFFIX_LEN, TEXT_TIME_PATTERN
+from tidemark.schema import CSV_TIME_SUFFIX_LEN
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -60,34 +60,32 @@ def from_epoch_seconds(seconds) -> Column:
     return F.timestamp_add("MICROSECOND", micros, _epoch())
 
 
-# --- Fixed value: the CSV event-time layout, as a pattern of its six fields.
-CSV_TIME_FIELDS = r"^([0-9]{4})-([0-9]{2})-([0-9]{2}) ([0-9]{2}):([0-9]{2}):([0-9]{2})$"
+# --- Fixed value: the CSV event-time layout, with every digit as 0.
+CSV_TIME_LAYOUT = "0000-00-00 00:00:00"
 # --- end of fixed values.
 
 
 def _clamped(body: Column) -> Column:
-    """Fields in range, with a day past the month's end moved to its last day."""
-    y, mo, d, h, mi, s = [F.regexp_extract(body, CSV_TIME_FIELDS, i).try_cast("int") for i in range(1, 7)]
-    in_range = (body.rlike(CSV_TIME_FIELDS) & mo.between(1, 12) & d.between(1, 31)
-                & (h < 24) & (mi < 60) & (s < 60))
-    last_day = F.dayofmonth(F.last_day(F.make_date(y, mo, F.lit(1))))
-    return F.when(in_range, F.make_timestamp_ntz(y, mo, F.least(d, last_day), h, mi, s))
+    """A time in the layout whose date is none: a day past the month's end becomes its last day, else NULL."""
+    first, day = F.concat(F.substring(body, 1, 8), F.lit("01")), F.substring(body, 9, 2)
+    last = F.last_day(first.try_cast("date"))
+    moved = F.concat(last.cast("string"), F.substring(body, 11, 9)).try_cast("timestamp_ntz")
+    return F.when(day.between("29", "31"), moved)
 
 
 def parse_utc_text(text, clamp_days: bool = True) -> Column:
     """``yyyy-MM-dd HH:mm:ss<4-char zone>`` -> TIMESTAMP_NTZ, NULL when unparsable.
 
     The last four characters are cut unchecked (any suffix is accepted) and
-    the rest is read as UTC. A day past the month's end, such as 02-30, is its
+    the rest, whose places are fixed, is read as UTC. A day past the month's end, such as 02-30, is its
     last day (as the default resolver has it), or NULL without ``clamp_days``.
     """
     t = _c(text)
-    body = F.substring(t, F.lit(1), F.length(t) - F.lit(CSV_TIME_SUFFIX_LEN))
-    if clamp_days:
-        return F.when(F.length(t) >= CSV_TIME_SUFFIX_LEN, _clamped(body))
-    instant = F.try_to_timestamp(F.concat(body, F.lit(" +00:00")),
-                                 F.lit(f"{TEXT_TIME_PATTERN} XXX"))
-    return F.when(F.length(t) >= CSV_TIME_SUFFIX_LEN, to_wallclock(instant))
+    body = F.substring(t, 1, len(CSV_TIME_LAYOUT))
+    laid_out = ((F.length(t) == len(CSV_TIME_LAYOUT) + CSV_TIME_SUFFIX_LEN)
+                & (F.translate(body, "123456789", "000000000") == CSV_TIME_LAYOUT))
+    read = body.try_cast("timestamp_ntz")
+    return F.when(laid_out, F.coalesce(read, _clamped(body)) if clamp_days else read)
 
 
 def text_utc(ntz) -> Column:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.functions.time import text_utc
 from tidemark.operators.validate import REASON
-from tidemark.schema import PREVIEW_ROWS
+from tidemark.schema import PREVIEW_ROWS, PROGRESS_EVERY
 
 
 def ingest_summary(validated: DataFrame) -> DataFrame:
@@ -32,9 +33,24 @@ def observe_ingest(validated: DataFrame, name="ingest") -> DataFrame:
                              F.count_if(bad).alias("rejected_records"))
 
 
+def progress_marks(events: DataFrame, every: int = PROGRESS_EVERY) -> DataFrame:
+    """Every ``every``-th event, in the order of its files, with ``sent``, the number of events up to it.
+
+    ``events`` are rows of a file scan with ``file`` and ``block`` (split). Rows of a split are numbered as they
+    are read, without a shuffle, and moved up by the rows of earlier splits: one number for each split.
+    """
+    numbered = events.withColumn("_row", F.monotonically_increasing_id())
+    whole = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)  # over a row for each split
+    splits = numbered.groupBy("file", "block").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first")).select(
+        "file", "block", "_first", F.coalesce(F.sum("_n").over(whole), F.lit(0)).alias("_before"))
+    sent = F.col("_before") + F.col("_row") - F.col("_first") + 1
+    return numbered.join(splits, ["file", "block"]).withColumn("sent", sent).where(F.col("sent") % every == 0).drop(
+        "_row", "_first", "_before", "file", "block")
+
+
 def preview(events: DataFrame, n: int = PREVIEW_ROWS,
             order_by: tuple[str, ...] = ("event_time",)) -> DataFrame:
-    """The first n events in order: a per-partition top-n then one merge of n rows each."""
+    """The first n events in order (of ``position``: as they stand in their files): a per-partition top-n, then one merge of n rows each."""
     return events.orderBy(*order_by).limit(n)
 
 

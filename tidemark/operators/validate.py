@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import is_known_type
@@ -78,6 +78,25 @@ def split(df: DataFrame, on_error: str = "reject", keep: tuple[str, ...] = ()) -
     return Split(good, rejects)
 
 
+class InvalidEvent(ValueError):
+    """A run that stops on bad records has met its first one."""
+
+
+def until_first_error(checked: DataFrame, position: str = "position") -> tuple[DataFrame, Row | None]:
+    """The good events before the first reject in order of ``position``, and that reject (None without one).
+
+    What a reader does that takes records one by one and stops at the first it cannot bind: the events before it
+    are done. The first reject is one aggregate over the rejects; one row comes to the driver.
+    """
+    bad = checked.where(F.col(REASON).isNotNull()).agg(F.min(F.struct(position, REASON)).alias("first")).first()["first"]
+    good = checked.where(F.col(REASON).isNull())
+    if bad is not None:
+        at = bad[position]
+        place = F.struct(*[F.lit(v).alias(n) for n, v in at.asDict().items()]) if isinstance(at, Row) else F.lit(at)
+        good = good.where(F.col(position) < place.cast(checked.schema[position].dataType))
+    return good, bad
+
+
 def write_split(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
     """One pass, both outcomes: a table partitioned by ``outcome`` (good / rejected).
 

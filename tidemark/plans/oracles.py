@@ -102,7 +102,7 @@ ORACLES: dict[str, str] = {
         "(select count(*) from ev) - (select count(*) from good) as rejected_records",
     "events_preview": f"with {_GOOD} select event_id, event_time, event_type, product_id, category_id, "
         "category_code, brand, price, user_id, user_session from good "
-        "order by event_time, event_id limit 10",
+        "order by event_id limit 10",  # the table is stored by id
     "decoded_events": f"with {_WIRE_GOOD} select event_time, event_type, product_id, category_id, "
         "category_code, brand, price, user_id, user_session from wire",
     "kafka_payload": f"with {_GOOD} select cast(user_id as varchar) as key, {EVENT_JSON} as value from good",
@@ -181,6 +181,32 @@ select event_id as "offset",
        case when kind = 5 then null else coalesce(user_id, 0) end as user_id,
        case when kind = 5 then 'malformed_json' else plain_reason end as reject_reason
 from k"""
+ORACLES["csv_multiline_ingest"] = f"""with {_GOOD}
+select date_trunc('second', event_time) as event_time, event_type, product_id, category_id, category_code,
+       case product_id % 3 when 1 then brand || chr(10) || '"x", y' when 2 then 'a' || chr(10) || chr(10) || brand else brand end as brand,
+       price, user_id, case when user_id % 5 = 0 then user_session || chr(10) || ',end' else user_session end as user_session
+from good"""
+# The table is stored by id; the first broken one is the first good id above 700.
+ORACLES["csv_until_first_error"] = f"""with {_GOOD}
+select date_trunc('second', event_time) as event_time, event_type, product_id, category_id, category_code, brand, price, user_id, user_session
+from good where event_id < coalesce((select min(event_id) from good where event_id % 4999 > 700), 9223372036854775807)"""
+ORACLES["order_change_images"] = """
+with o as (select o_orderkey as k, cast(o_totalprice as decimal(10,2)) as base, o_orderstatus as status from orders),
+u as (select *, case when k % 6 = 1 then base else cast(base + 10 as decimal(10,2)) end as raised from o where k % 3 = 1)
+select k * 2 as commit_seq, cast(k as int) as order_id, 'insert' as op, null::decimal(10,2) as amount_before, base as amount_after,
+       null::varchar as status_before, 'new' as status_after, null::varchar as changed from o
+union all
+select k * 2 + 1, cast(k as int), 'update', base, raised, 'new', status,
+       concat_ws(';', case when raised <> base then 'amount:' || base || '>' || raised end,
+                 case when status <> 'new' then 'status:new>' || status end) from u
+union all
+select k * 2 + 1, cast(k as int), 'delete', base, null, 'new', null, null from o where k % 3 = 2"""
+ORACLES["ingest_progress_marks"] = f"""with {_GOOD}
+select sent, event_id, event_time from (select row_number() over (order by event_id) as sent, * from good) n where sent % 1000 = 0"""
+ORACLES["stream_redelivered_counts"] = ORACLES["stream_event_type_counts"]
+ORACLES["stream_open_windows"] = (f"with {_WIRE_GOOD} select * from ("
+    + _window_counts("hour", "upper(event_type)", "event_type", "wire")
+    + ") x where window_end > (select max(event_time) from wire) - interval 5 second")
 # Two inputs at different times lose nothing: as if they were one.
 ORACLES["stream_lagging_input"] = ORACLES["stream_event_type_counts"]
 ORACLES["stream_record_rejects"] = ORACLES["record_rejects"]

@@ -40,7 +40,7 @@ def valid_events(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -
 
 
 # Bump when a derivation changes so stale derived inputs are never reused.
-DERIVED_VERSION = "6"
+DERIVED_VERSION = "7"
 # A stream reads its table in slices of time, a slice to a micro-batch, each in files of at most so many bytes of the table.
 SLICES, FILE_BYTES = 5, 128 * 1024 * 1024
 
@@ -160,9 +160,15 @@ def ingest_summary(spark, sf_dir):
     return summary.ingest_summary(checked_events(spark, sf_dir))
 
 
+def ingest_progress_marks(spark, sf_dir):
+    """Every thousandth valid event, as the table's files have them."""
+    return summary.progress_marks(validate.good_events(fixtures.raw_events(spark, sf_dir, split=True))).select("sent", "event_id", "event_time")
+
+
 def events_preview(spark, sf_dir):
-    good = valid_events(spark, sf_dir, keep=("event_id",))
-    return summary.preview(good, order_by=("event_time", "event_id")).select("event_id", *EVENT_COLUMNS)
+    """The first ten events as they stand in the table's files."""
+    good = validate.good_events(fixtures.raw_events(spark, sf_dir, position=True))
+    return summary.preview(good, order_by=("position",)).select("event_id", *EVENT_COLUMNS)
 
 
 # --- wire codec and topic records
@@ -198,6 +204,33 @@ def csv_rejects(spark, sf_dir):
     return validate.split(checked).rejects.select("raw_record", validate.REASON)
 
 
+def multiline_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The events table as CSV files with line breaks and quotes in brands and sessions."""
+    return _derived(spark, sf_dir, "events", "csv-lines", lambda p: fixtures.write_event_csv(
+        fixtures.with_line_breaks(raw_events(spark, sf_dir)), p))
+
+
+def csv_multiline_ingest(spark, sf_dir):
+    """CSV files whose values hold line breaks, read in splits."""
+    return validate.split(csv_events.read_csv_events(spark, multiline_csv(spark, sf_dir), multi_line=True)).good
+
+
+def csv_with_errors(spark: SparkSession, sf_dir: str) -> str:
+    """The valid events as CSV files, some runs of ids with an unknown type."""
+    def write(path):
+        events = validate.good_events(raw_events(spark, sf_dir))
+        broken = F.col("event_id") % 4999 > 700
+        fixtures.write_event_csv(events.withColumn("event_type", F.when(broken, "refund").otherwise(F.col("event_type"))), path)
+
+    return _derived(spark, sf_dir, "events", "csv-errors", write)
+
+
+def csv_until_first_error(spark, sf_dir):
+    """The events before the first bad record, in file order: what a run that stops on errors has done."""
+    checked = csv_events.read_csv_events(spark, csv_with_errors(spark, sf_dir), position=True)
+    return validate.until_first_error(checked)[0].select(*EVENT_COLUMNS)
+
+
 def manual_requests(spark, sf_dir):
     req = raw_events(spark, sf_dir).select(
         F.col("event_type").alias("eventType"),
@@ -218,6 +251,15 @@ def orders_current_state(spark, sf_dir):
     return changes.current_state(fixtures.order_changes(spark, sf_dir))
 
 
+def order_change_images(spark, sf_dir):
+    """The orders' changes, a row each: what the row was, what it is, and the columns that differ."""
+    found = changes.change_images(fixtures.order_images(spark, sf_dir))
+    show = F.array_join(F.transform(F.array_sort(F.map_keys("changed")), lambda c: F.concat(
+        c, F.lit(":"), F.col("changed")[c]["old"], F.lit(">"), F.col("changed")[c]["new"])), ";")
+    return found.select("commit_seq", "order_id", "op", F.col("before.amount").alias("amount_before"), F.col("after.amount").alias("amount_after"),
+                        F.col("before.status").alias("status_before"), F.col("after.status").alias("status_after"), show.alias("changed"))
+
+
 # --- streaming (S2, W1-W9, K2/K3 via a table sink)
 
 def _slices_of(spark, sf_dir, path: str) -> DataFrame:
@@ -314,6 +356,33 @@ def stream_lagging_input(spark, sf_dir):
     return _counted_by_input(spark, good, "lagging_counts", ("ahead", "behind"))
 
 
+def redelivered_topic(spark: SparkSession, sf_dir: str) -> str:
+    """As `topic_replica`, with every tenth record twice."""
+    def write(path):
+        events = raw_events(spark, sf_dir)
+        again = F.coalesce(F.col("event_id") % 10 == 3, F.lit(False))
+        twice = events.withColumn("_n", F.explode(F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("_n")
+        fixtures.in_order(twice, path, SLICES, _files(spark, sf_dir), _append_records(path))
+
+    return _derived(spark, sf_dir, "events", "redelivered-topic", write)
+
+
+def stream_redelivered_counts(spark, sf_dir):
+    """Counts of a topic that delivers every tenth record twice: each counts once."""
+    decoded = topic.decode_records(_slices_of(spark, sf_dir, redelivered_topic(spark, sf_dir)))
+    once = jobs.without_redelivered(decoded.where(F.col(validate.REASON).isNull()))
+    good = validate.split(once.withColumn(progress.INPUT, F.lit("topic")), keep=(progress.INPUT,)).good
+    return _counted_by_input(spark, good, "redelivered_counts", ())
+
+
+def stream_open_windows(spark, sf_dir):
+    """What a count query holds in its state once its input is drained: the counts of the windows it has not closed."""
+    out, ck = scratch_path(spark, "results", "open_windows"), scratch_path(spark, "checkpoints", "open")
+    _run_to_end(jobs.start_event_type_counts(_stream_good(spark, sf_dir), sinks.TableSink(out), ck, length="1 hour",
+                                             trigger={"availableNow": True}))
+    return jobs.open_windows(spark, ck)
+
+
 def stream_late_events(spark, sf_dir):
     """Counts of a stream whose last slice holds late events: those of closed windows are dropped."""
     records = _slices_of(spark, sf_dir, late_topic(spark, sf_dir))
@@ -370,6 +439,7 @@ QUERIES: dict[str, Query] = {
     "category_topn_lines": category_topn_lines,
     "rejected_events": rejected_events,
     "ingest_summary": ingest_summary,
+    "ingest_progress_marks": ingest_progress_marks,
     "events_preview": events_preview,
     "decoded_events": decoded_events,
     "kafka_payload": kafka_payload,
@@ -377,8 +447,11 @@ QUERIES: dict[str, Query] = {
     "record_rejects": record_rejects,
     "csv_ingest": csv_ingest,
     "csv_rejects": csv_rejects,
+    "csv_multiline_ingest": csv_multiline_ingest,
+    "csv_until_first_error": csv_until_first_error,
     "manual_requests": manual_requests,
     "orders_current_state": orders_current_state,
+    "order_change_images": order_change_images,
     "stream_event_type_counts": stream_event_type_counts,
     "stream_category_topn": stream_category_topn,
     "stream_record_rejects": stream_record_rejects,
@@ -386,6 +459,8 @@ QUERIES: dict[str, Query] = {
     "stream_orders_current_state": stream_orders_current_state,
     "stream_replay_counts": stream_replay_counts,
     "stream_lagging_input": stream_lagging_input,
+    "stream_redelivered_counts": stream_redelivered_counts,
+    "stream_open_windows": stream_open_windows,
     "stream_late_events": stream_late_events,
     "stream_fan_out_lines": stream_fan_out_lines,
     "json_binding_cases": json_binding_cases,

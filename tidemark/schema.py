@@ -32,6 +32,8 @@ TEXT_TIME_PATTERN = "yyyy-MM-dd HH:mm:ss"
 CSV_TIME_SUFFIX_LEN = 4
 # Replay pacing of the CSV producer.
 REPLAY_EVENTS_PER_SECOND = 50
+# Records between two progress marks of the CSV producer.
+PROGRESS_EVERY = 1000
 # Rows shown by the parser preview.
 PREVIEW_ROWS = 10
 # Default topic names.
@@ -45,6 +47,9 @@ FORM_DEFAULTS = ("view", "123456", "2053013552326770905", "", "", "99.99", "1",
 # State stores of the windowed jobs: three event types, some hundred categories, two open windows.
 STATE_PARTITIONS = {"event_type": 4, "category": 8}
 
+# How far behind the newest event a record that is delivered again is still known.
+REDELIVERY_HORIZON = "1 hour"
+
 # A replay: files to a micro-batch, partitions of a folder topic, records to a file of it.
 REPLAY_FILES = 8
 TOPIC_PARTITIONS = 4
@@ -81,6 +86,9 @@ CSV_SCHEMA = T.StructType(
     + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)]
 )
 
+# Lines that a record with quoted line breaks may have; beyond, its quote counts as never closed.
+MAX_RECORD_LINES = 1000
+
 # Manual request: eight text fields (no time; the server stamps it).
 REQUEST_FIELDS = WIRE_NAMES[1:]
 REQUEST_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n in REQUEST_FIELDS])
@@ -119,4 +127,6 @@ ORDER_CHANGE_SCHEMA = T.StructType([
     T.StructField("status", T.StringType(), True),
     T.StructField("created_at", T.TimestampNTZType(), True),
 ])
+# Hash buckets of the order state table.
+STATE_BUCKETS = 16
 ORDER_COLUMNS = ("order_id", "customer_name", "product_name", "amount", "status", "created_at")

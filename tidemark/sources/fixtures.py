@@ -43,9 +43,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``event_id`` + the nine canonical columns (event types not yet validated)."""
+def raw_events(spark: SparkSession, sf_dir: str, position: bool = False, split: bool = False) -> DataFrame:
+    """``event_id`` + the nine canonical columns (event types not yet validated); each row's ``position`` in the files, or its split (``file, block``)."""
     e = table(spark, sf_dir, "events")
+    place = [F.struct("_metadata.file_path", "_metadata.row_index").alias("position")] if position else []
+    place += [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")] if split else []
     k = F.regexp_extract("props", r"([0-9]+)", 1).try_cast("bigint")
     return e.select(
         "event_id",
@@ -58,6 +60,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").cast("decimal(12,2)").cast("decimal(38,18)").alias("price"),
         "user_id",
         F.concat(F.lit("session-"), F.col("user_id").cast("string")).alias("user_session"),
+        *place,
     )
 
 
@@ -155,6 +158,14 @@ def csv_text_columns(events: DataFrame) -> DataFrame:
     return events.select(*cols)
 
 
+def with_line_breaks(events: DataFrame) -> DataFrame:
+    """Events whose brand, by product id % 3, holds a line break and quotes, or two breaks on end; every fifth user's session holds one."""
+    kind = F.col("product_id") % 3
+    brand = F.when(kind == 1, F.concat("brand", F.lit('\n"x", y'))).when(kind == 2, F.concat(F.lit("a\n\n"), "brand")).otherwise(F.col("brand"))
+    session = F.when(F.col("user_id") % 5 == 0, F.concat("user_session", F.lit("\n,end"))).otherwise(F.col("user_session"))
+    return events.withColumn("brand", brand).withColumn("user_session", session)
+
+
 def write_event_csv(events: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Events as CSV files with a header, NULL written as an empty field.
 
@@ -196,6 +207,29 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.inline(F.filter(steps, lambda s: s.isNotNull())))
 
 
+def order_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change rows of the orders table with images: an insert of every order, then by key % 3 == 1 an update as two rows, == 2 a delete.
+
+    Every tenth row before an update is delivered twice.
+    """
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+
+    def row(step: int, op: str, amount, status):
+        return F.struct((key * 2 + step).alias("commit_seq"), F.lit(0).alias("seq"), F.lit(op).alias("op"), key.cast("int").alias("order_id"),
+                        F.concat(F.lit("Customer#"), F.col("o_custkey").cast("string")).alias("customer_name"),
+                        F.concat(F.lit("priority "), F.col("o_orderpriority")).alias("product_name"),
+                        amount.cast("decimal(10,2)").alias("amount"), status.alias("status"), F.col("o_orderdate").alias("created_at"))
+
+    base = F.col("o_totalprice").cast("decimal(10,2)")
+    raised = F.when(key % 6 == 1, base).otherwise(base + F.lit(10).cast("decimal(10,2)"))  # of every other update only the status changes
+    before = row(1, "update_before", base, F.lit("new"))
+    rows = F.array(row(0, "insert", base, F.lit("new")), F.when(key % 3 == 1, before), F.when((key % 3 == 1) & (key % 10 == 0), before),
+                   F.when(key % 3 == 1, row(1, "update_after", raised, F.col("o_orderstatus"))),
+                   F.when(key % 3 == 2, row(1, "delete", base, F.lit("new"))))
+    return o.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))
+
+
 ORDER_CHANGES_SQL = """
 with o as (select * from orders),
 changes as (

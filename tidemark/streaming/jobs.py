@@ -21,14 +21,15 @@ from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from tidemark.functions.time import to_instant
+from tidemark.functions.time import to_instant, to_wallclock
 from tidemark.operators.topn import top_n_per_window
 from tidemark.operators.windows import category_counts, event_type_counts
-from tidemark.schema import (MAX_DELAY, REPLAY_EVENTS_PER_SECOND, STATE_PARTITIONS, TOP_N, UNKNOWN_CATEGORY,
-                             WINDOW)
+from tidemark.schema import (MAX_DELAY, REDELIVERY_HORIZON, REPLAY_EVENTS_PER_SECOND, STATE_PARTITIONS, TOP_N,
+                             UNKNOWN_CATEGORY, WINDOW)
 from tidemark.streaming.sinks import BatchSink, claim
 
 LATE_RULE_CONF = "spark.sql.streaming.statefulOperator.allowMultiple"
@@ -78,6 +79,29 @@ def watermarked(events: DataFrame, delay: str = MAX_DELAY) -> DataFrame:
     return events.withColumn(INSTANT, to_instant("event_time")).withWatermark(INSTANT, delay)
 
 
+def without_redelivered(events: DataFrame, horizon: str = REDELIVERY_HORIZON) -> DataFrame:
+    """Events of topic records (``partition, offset, event_time``), each record once however often it is delivered.
+
+    The coordinates of a record are kept until the newest event is ``horizon`` past it; a
+    record that comes later than that is dropped, as it cannot be told from one that was counted. A record without
+    an offset (of a folder) counts as one of its own.
+    """
+    at = F.when(F.col("offset").isNotNull(), F.concat_ws(":", F.col("partition").cast("string"), F.col("offset").cast("string")))
+    marked = events.withColumn(INSTANT, to_instant("event_time")).withWatermark(INSTANT, horizon)
+    marked = marked.withColumn("_record", F.coalesce(at, F.expr("uuid()")))
+    return marked.dropDuplicatesWithinWatermark(["_record"]).drop("_record", INSTANT)
+
+
+def open_windows(spark, checkpoint: str, key: str = "event_type") -> DataFrame:
+    """Counts of the windows that a count query has not closed yet, read from its state: ``window_start, window_end, <key>, event_count``."""
+    state = spark.read.format("statestore").load(checkpoint)
+    # the state's columns are named by the plan: the window, then the key; the count alone
+    (window, of), (count,) = state.schema["key"].dataType.names, state.schema["value"].dataType.names
+    at = F.col("key").getField(window)
+    return state.select(to_wallclock(at["start"]).alias("window_start"), to_wallclock(at["end"]).alias("window_end"),
+                        F.col("key").getField(of).alias(key), F.col("value").getField(count).alias("event_count"))
+
+
 def event_type_count_stream(events: DataFrame, length: str = WINDOW, delay: str = MAX_DELAY) -> DataFrame:
     return event_type_counts(watermarked(events, delay), length, time_col=INSTANT)
 

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.codec import encode_event
 from tidemark.functions.scalar import user_key
 from tidemark.operators import validate
-from tidemark.schema import RECORDS_PER_FILE, REPLAY_FILES, TOPIC_PARTITIONS
+from tidemark.schema import EVENT_COLUMNS, RECORDS_PER_FILE, REPLAY_FILES, TOPIC_PARTITIONS
 from tidemark.session import files_under
 from tidemark.sources import csv_events
 from tidemark.streaming import jobs, sinks
@@ -63,15 +63,23 @@ def start_replay(spark: SparkSession, csv: str, publish, checkpoint: str, files:
                  watch: Callable[[DataFrame, int], DataFrame] = lambda batch, batch_id: batch) -> StreamingQuery:
     """CSV event files, ``files`` to a micro-batch in the order of their arrival, into ``publish``.
 
-    Rejected rows are passed over, or stop the replay (``on_error="fail"``). ``watch`` sees every checked micro-batch.
+    Rejected rows are passed over, or (``on_error="fail"``) the events before the first one are published and the replay
+    stops. ``watch`` sees every checked micro-batch.
     """
-    raw = csv_events.csv_reader(spark, multi_line, stream=True, max_files_per_trigger=files).csv(csv)
+    raw = csv_events.with_split(csv_events.csv_reader(spark, multi_line, stream=True, max_files_per_trigger=files).csv(csv))
 
     def replay(batch: DataFrame, batch_id: int) -> None:
-        publish(validate.split(watch(batch, batch_id), on_error=on_error).good, batch_id)
+        seen = watch(csv_events.with_position(batch), batch_id)
+        if on_error != "fail":
+            publish(validate.split(seen).good, batch_id)
+            return
+        good, bad = validate.until_first_error(seen, csv_events.POSITION)
+        publish(good.select(*EVENT_COLUMNS), batch_id)
+        if bad is not None:
+            raise validate.InvalidEvent(f"invalid event: {bad[validate.REASON]} in {bad[csv_events.POSITION]['file']}")
 
     replay.targets = getattr(publish, "targets", [])
-    return jobs.start_passthrough(csv_events.type_csv(raw, clamp_days), replay, checkpoint, trigger or {"availableNow": True})
+    return jobs.start_passthrough(csv_events.type_csv(raw, clamp_days, tuple(csv_events.FILE)), replay, checkpoint, trigger or {"availableNow": True})
 
 
 def folder_partitions(spark: SparkSession, path: str) -> list[int]:

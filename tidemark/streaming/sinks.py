@@ -21,6 +21,7 @@ from tidemark.functions.scalar import user_key
 from tidemark.operators.summary import category_top_n_lines, event_type_count_lines
 from tidemark.schema import EVENTS_TOPIC, SINK_BATCH_ROWS, SINK_MAX_RETRIES
 from tidemark.session import files_under
+from tidemark.streaming.ledger import Once
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -114,10 +115,14 @@ class ConsoleSink:
 
 class FanOut:
     """One result, several sinks, computed once: the batch is persisted for the
-    duration of the writes and released afterwards."""
+    duration of the writes and released afterwards.
 
-    def __init__(self, *sinks: BatchSink):
-        self.sinks = sinks
+    With ``once`` a micro-batch that runs again, as one sink failed, passes over the sinks that have it, so
+    an appending sink does not get it twice. (A sink that fails after it has written is not known to have it.)
+    """
+
+    def __init__(self, *sinks: BatchSink, once: Once | None = None):
+        self.sinks, self.once = sinks, once
         self.targets = [t for s in sinks for t in getattr(s, "targets", ())]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -125,8 +130,12 @@ class FanOut:
         if owner:
             batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for sink in self.sinks:
+            for i, sink in enumerate(self.sinks):
+                if self.once and self.once.done(batch.sparkSession, batch_id, i):
+                    continue
                 sink(batch, batch_id)
+                if self.once:
+                    self.once.mark(batch.sparkSession, batch_id, i)
         finally:
             if owner:
                 batch.unpersist()
