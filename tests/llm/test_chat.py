@@ -7,7 +7,7 @@ def brute(rows):
     out = []
     for conv in {r[0] for r in rows}:
         turns = sorted((r for r in rows if r[0] == conv),
-                       key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "unknown"))
+                       key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "unknown", (r[3] or "").encode()))
         for view in {r[2] or "unknown" for r in turns} - {"system"}:
             at = 0
             for i, (_, _, role, text, _) in enumerate(turns):
@@ -38,5 +38,21 @@ def test_one_conversation_with_most_turns(spark):
     assert all(a["stop"] == b["start"] for a, b in zip(found, found[1:]))
 
 
+def test_ties_and_null_turns_as_the_sql_has_them(spark):
+    """Turns of one number and speaker are ordered by their text, null turns come first: in plain Python, Spark and DuckDB."""
+    import duckdb
+
+    rows = [(1, 2, "ann", t, "x") for t in ("mango", "fig", "kiwi", "pear", "apple", "zebra", "Zebra", "é", "<|x", "", None)]
+    rows += [(1, None, "bob", t, "x") for t in ("last", "first")] + [(1, 1, "ann", "middle", "x"), (1, None, None, "who", "x")]
+    got = chat.rotate(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    assert sorted(map(tuple, got.select("conv_id", "perspective", "position", "speaker", "segment", "start", "stop", "learn").collect()), key=str) == brute(rows)
+    con = duckdb.connect()
+    con.execute("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar, start varchar)")
+    con.executemany("insert into conversations values (?, ?, ?, ?, ?)", rows)
+    want = con.execute(chat.ORACLE)
+    columns = [d[0] for d in want.description]
+    assert sorted(map(tuple, got.select(columns).collect()), key=str) == sorted(want.fetchall(), key=str)
+
+
 def test_empty_table(spark):
     assert chat.rotate(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -19,6 +19,8 @@ from tidemark.llm.common import settle
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 SYSTEM = "system"
 
+FIRST = 256  # characters by which turns of one number and speaker are ordered
+
 
 def _plain(c: Column) -> Column:
     """Text that cannot be read as a turn mark: the bar of ``<|`` gets a space before it."""
@@ -35,7 +37,8 @@ def rotate(turns: DataFrame) -> DataFrame:
     ``learn`` is true for the perspective's own turns, whose ``body`` and closing
     mark are to be learnt, never the header.
 
-    Turns are ordered by (turn, role, text); a null turn comes first, a null
+    Turns are ordered by (turn, role, first 256 characters of the text), those that are alike in all of
+    these by a hash of the text; a null turn comes first, a null
     role is the speaker ``unknown``, null text is empty. Repeated rows are turns
     of their own. A conversation of system turns alone has no perspective and
     gives no rows, and so does an empty table; null ``conv_id`` is a conversation of
@@ -48,8 +51,9 @@ def rotate(turns: DataFrame) -> DataFrame:
     said = turns.select(
         "conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("speaker"),
         F.coalesce("text", F.lit("")).alias("body"))
-    said = said.select("*", F.xxhash64("body").alias("tie"), F.monotonically_increasing_id().alias("seq"))
-    by = ["conv_id", "turn", "speaker", "tie", "seq"]
+    said = said.select("*", F.substring("body", 1, FIRST).alias("first"), F.xxhash64("body").alias("tie"),
+                       F.monotonically_increasing_id().alias("seq"))
+    by = ["conv_id", "turn", "speaker", "first", "tie", "seq"]
     ranged = settle(said.repartitionByRange(*by).sortWithinPartitions(*by).select(
         "*", F.spark_partition_id().alias("split")), "turns")
 
@@ -60,7 +64,7 @@ def rotate(turns: DataFrame) -> DataFrame:
     role = F.when(F.col("speaker") == SYSTEM, SYSTEM).when(own, "assistant").otherwise("user")
     name = F.when(role == "user", F.concat(F.lit(" name="), _plain(F.col("speaker")))).otherwise("")
     header = F.concat(F.lit(OPEN), role, name, F.lit("\n"))
-    seen = seen.select("conv_id", "perspective", "split", "turn", "speaker", "tie", "seq", role.alias("chat_role"),
+    seen = seen.select("conv_id", "perspective", "split", "turn", "speaker", "first", "tie", "seq", role.alias("chat_role"),
                        header.alias("header"), _plain(F.col("body")).alias("body"), own.alias("learn"))
     seen = seen.withColumn("segment", F.concat("header", "body", F.lit(CLOSE + "\n"))).withColumn(
         "chars", F.char_length("segment").cast("long"))
@@ -71,7 +75,7 @@ def rotate(turns: DataFrame) -> DataFrame:
         F.col("conv_id").alias("of"), F.col("perspective").alias("by"), F.col("split").alias("at"),
         F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("before"),
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("turns_before"))
-    here = Window.partitionBy("conv_id", "perspective", "split").orderBy("turn", "speaker", "tie", "seq")
+    here = Window.partitionBy("conv_id", "perspective", "split").orderBy("turn", "speaker", "first", "tie", "seq")
     placed = seen.select(
         "*", F.sum("chars").over(here.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
         F.row_number().over(here).alias("rank"))
@@ -86,11 +90,12 @@ def rotate(turns: DataFrame) -> DataFrame:
 
 ORACLE = r"""
 with said as (
-  select conv_id, turn, coalesce(role, 'unknown') as speaker, replace(coalesce(text, ''), '<|', '< |') as body
+  select conv_id, turn, coalesce(role, 'unknown') as speaker, coalesce(text, '') as tie,
+         replace(coalesce(text, ''), '<|', '< |') as body
   from conversations),
 speakers as (select distinct conv_id, speaker as perspective from said where speaker <> 'system'),
 seen as (
-  select s.conv_id, p.perspective, s.turn, s.speaker, s.body,
+  select s.conv_id, p.perspective, s.turn, s.speaker, s.tie, s.body,
          case when s.speaker = 'system' then 'system' when s.speaker = p.perspective then 'assistant' else 'user' end as chat_role
   from said s join speakers p on s.conv_id is not distinct from p.conv_id),
 rendered as (
@@ -100,7 +105,7 @@ rendered as (
 whole as (select *, header || body || '<|im_end|>' || chr(10) as segment from rendered),
 summed as (
   select *, cast(sum(length(segment)) over w as bigint) as stop, row_number() over w - 1 as position
-  from whole window w as (partition by conv_id, perspective order by turn, speaker, body
+  from whole window w as (partition by conv_id, perspective order by turn nulls first, speaker, substr(tie, 1, 256), tie
                           rows between unbounded preceding and current row))
 select conv_id, perspective, position, speaker, chat_role, header, body, segment,
        stop - length(segment) as start, stop, chat_role = 'assistant' as learn

@@ -1,14 +1,14 @@
 """Line deduplication by content-defined chunks of lines; DataFrame functions only.
 
-A rolling hash over the hashes of ``window`` lines ends a chunk wherever it is
-divisible by ``divisor``. Boundaries depend on nearby lines alone, so lines put in
-or taken out elsewhere shift no boundary. Chunks of several lines that occur
-more than once in the whole corpus keep their first occurrence, by (doc_id,
+A rolling hash over the hashes of every two adjacent lines draws the boundaries, under ``seeds`` seeds at once: under seed s
+a text is cut between two lines wherever their rolling hash is not s modulo ``seeds``, so a chunk of seed s is a
+run of lines whose neighbours all hash to s. Boundaries depend on nearby lines alone, so lines put in or taken out
+elsewhere shift none, and every two adjacent lines are in a chunk of several lines under exactly one seed:
+no line of a repeated passage is left outside, and a passage's chunks are the same in every copy but for those that a
+neighbour of the passage happens to prolong (one in ``seeds`` on either side).
+
+Chunks of several lines that occur more than once in the whole corpus keep their first occurrence, by (doc_id,
 hash of the text, position), and are cut everywhere else, after their bytes are compared.
-
-With ``every_pair`` no boundary is drawn: every two adjacent lines are a chunk, so
-each line of a repeated passage of two or more lines lies in one that can be cut,
-whatever stands around the passage.
 """
 
 from __future__ import annotations
@@ -21,61 +21,45 @@ from tidemark.llm.common import KEY, keyed, numbered, settle
 
 # Fixed values of the rolling hash: below 2^29 times line hashes below 2^32 four terms fit a long.
 PRIME, BASE = 536870909, 69069
-WINDOW, DIVISOR, MIN_LINES = 2, 2, 2
+SEEDS = 64
 
 chunk_hash = F.xxhash64
 
 
-def _chunks(docs: DataFrame, keep: list[str], window: int, divisor: int) -> DataFrame:
-    """``keep`` columns, ``lines`` and ``ends``: the last line of every chunk."""
-    if not 1 <= window <= 4:
-        raise ValueError("a window has 1 to 4 lines")
-    rows = fence(docs, keep, lines=F.split(F.coalesce("text", F.lit("")), "\n", -1))
+def _chunks(docs: DataFrame, keep: list[str], seeds: int) -> DataFrame:
+    """``keep`` columns, ``lines`` and ``starts`` of texts of several lines: the second line of every chunk, under the chunk's own seed."""
+    if seeds < 2:
+        raise ValueError("boundaries need two seeds or more")
+    rows = fence(docs, keep, lines=F.split("text", "\n", -1)).where(F.size("lines") > 1)
     hash_of = lambda line: F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("bigint")
     rows = fence(rows, [*keep, "lines"], hashes=F.transform("lines", hash_of))
-
-    def rolled(i: Column) -> Column:
-        terms = [F.coalesce(F.get(F.col("hashes"), i - k), F.lit(0)) * F.lit(pow(BASE, k, PRIME)) for k in range(window)]
-        total = terms[0]
-        for t in terms[1:]:
-            total = total + t
-        return total % PRIME % divisor
-
-    last = F.size("lines") - 1
-    return fence(rows, [*keep, "lines"], ends=F.filter(
-        F.sequence(F.lit(0), last), lambda i: (i == last) | (rolled(i) == 0)))
+    rolled = lambda i: (F.get(F.col("hashes"), i) + F.get(F.col("hashes"), i - 1) * F.lit(BASE)) % PRIME % seeds
+    rows = fence(rows, [*keep, "lines"], seed=F.transform(F.sequence(F.lit(1), F.size("lines") - 1), rolled))
+    own = lambda i: F.get(F.col("seed"), i - 1)
+    return fence(rows, [*keep, "lines"], starts=F.filter(
+        F.sequence(F.lit(1), F.size("lines") - 1), lambda i: (i == 1) | (own(i) != own(i - 1))))
 
 
 def _spans() -> Column:
-    """Array of (from, to) of every chunk, both included."""
-    begin = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get(F.col("ends"), k - 1) + 1)
-    return F.transform("ends", lambda e, k: F.struct(begin(k).alias("from"), e.alias("to")))
-
-
-def _pairs() -> Column:
-    """Array of (from, to) of every two adjacent lines."""
-    return F.transform(F.sequence(F.lit(1), F.size("lines") - 1), lambda i: F.struct((i - 1).alias("from"), i.alias("to")))
+    """Array of (from, to) of every chunk, both included. Chunks of different seeds share a line where they meet."""
+    until = lambda k: F.coalesce(F.get(F.col("starts"), k + 1), F.size("lines")) - 1
+    return F.transform("starts", lambda i, k: F.struct((i - 1).alias("from"), until(k).alias("to")))
 
 
 def _body(span: Column) -> Column:
     return F.array_join(F.slice(F.col("lines"), span["from"] + 1, span["to"] - span["from"] + 1), "\n")
 
 
-def repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
-                    every_pair: bool = False) -> DataFrame:
+def repeated_chunks(docs: DataFrame, seeds: int = SEEDS) -> DataFrame:
     """``KEY, at, to, hash, size, first``: every occurrence of a chunk hash that occurs at two places.
 
     ``first`` marks the earliest occurrence. Only hashes are shuffled, counted in
     each task before; a chunk that a third of all documents share is one row
     per task, and the join back to its occurrences can be split.
     """
-    if every_pair:
-        rows = fence(keyed(docs, "text"), KEY, lines=F.split("text", "\n", -1)).where(F.size("lines") > 1)
-    else:
-        rows = _chunks(keyed(docs, "text"), KEY, window, divisor)
-    chunks = rows.select(*KEY, F.explode(F.filter(F.transform(_pairs() if every_pair else _spans(), lambda s: F.struct(
+    chunks = _chunks(keyed(docs, "text"), KEY, seeds).select(*KEY, F.explode(F.filter(F.transform(_spans(), lambda s: F.struct(
         s["from"].alias("at"), s["to"].alias("to"), _body(s).alias("body"))),
-        lambda c: (c["to"] - c["at"] + 1 >= min_lines) & (F.trim(F.translate(c["body"], "\n\t\r", "   ")) != ""))).alias("c"))
+        lambda c: F.trim(F.translate(c["body"], "\n\t\r", "   ")) != "")).alias("c"))
     chunks = chunks.select(*KEY, "c.at", "c.to", chunk_hash("c.body").alias("hash"),
                            F.octet_length("c.body").cast("long").alias("size"))
     place = F.struct(*KEY, "at")
@@ -86,8 +70,7 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISO
         *KEY, "at", "to", "hash", "size", (place == F.col("least")).alias("first"))
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
-                count_as: str | None = None, every_pair: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, seeds: int = SEEDS, count_as: str | None = None) -> DataFrame:
     """All columns of ``docs`` (``doc_id, text``) with repeated chunks cut from ``text``.
 
     ``count_as`` adds a column with the number of lines cut. Lines end at a line
@@ -96,13 +79,12 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, m
     as they are. Rows that repeat an id and its text are one document and are
     cut alike; other ties of the id are ordered by the hash of the text; a null
     id comes last. An empty table gives no rows. Other columns, whatever their
-    names, are passed on. ``every_pair``: the chunks are all pairs of adjacent lines;
-    ``window``, ``divisor`` and ``min_lines`` then have no part. A line repeated
-    without one of its neighbours stays; every line that is cut stays somewhere.
+    names, are passed on. A line repeated without one of its neighbours stays; every line that is cut
+    stays in an earlier place.
     """
     carried = [f"__{i}" for i in range(len(docs.columns))]
     text = carried[docs.columns.index("text")]
-    found = repeated_chunks(docs, window, divisor, min_lines, every_pair)
+    found = repeated_chunks(docs, seeds)
     spans = found.groupBy(*KEY).agg(F.collect_set(F.struct("at", "to", "hash", "size", "first")).alias("spans"))
     rows = keyed(docs, *numbered(docs.columns)).join(spans, KEY, "left")
     rows = settle(rows.select(*KEY, *carried, "spans"), "chunked")
@@ -125,7 +107,7 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, m
     cut = F.filter(F.coalesce("spans", F.array().cast(rows.schema["spans"].dataType)),
                    lambda s: ~s["first"] & ~F.array_contains("spared", s["at"]))
     gone = F.flatten(F.transform(cut, lambda s: F.sequence(s["at"], s["to"])))
-    rows = fence(rows, carried, gone=F.array_distinct(gone) if every_pair else gone)  # pairs share lines
+    rows = fence(rows, carried, gone=F.array_distinct(gone))  # chunks share lines
     rows = fence(rows, [*carried, "gone"], lines=F.split(text, "\n", -1))
     rows = fence(rows, [*carried, "gone", "lines"],
                  left=F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone")))
@@ -136,18 +118,19 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, m
 
 
 ORACLE = f"""
-with l as (select doc_id, text, string_split(coalesce(text, ''), chr(10)) as lines from documents),
-h as (select *, list_transform(lines, lambda x: cast('0x' || substr(md5(x), 1, 8) as bigint)) as hashes from l),
-e as (select doc_id, lines, list_filter(range(0, len(lines)), lambda i: i = len(lines) - 1 or
-        (hashes[i + 1] + case when i > 0 then hashes[i] else 0 end * {BASE}) % {PRIME} % {DIVISOR} = 0) as ends from h),
-c as (select doc_id, lines, ends, unnest(ends) as stop, generate_subscripts(ends, 1) as k from e),
-s as (select doc_id, stop, case when k = 1 then 0 else ends[k - 1] + 1 end as beg, lines from c),
-b as (select doc_id, beg, stop, array_to_string(lines[beg + 1:stop + 1], chr(10)) as body from s),
-r as (select doc_id, beg, stop,
-             stop - beg + 1 >= {MIN_LINES} and trim(replace(replace(replace(body, chr(10), ' '), chr(9), ' '), chr(13), ' ')) <> ''
-             and row_number() over (partition by body order by doc_id, beg) > 1 as cut, body from b),
-t as (select doc_id, sum(case when cut then stop - beg + 1 else 0 end) as cut_lines,
-             string_agg(body, chr(10) order by beg) filter (where not cut) as body from r group by doc_id)
+with l as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+h as (select *, list_transform(lines, lambda x: cast('0x' || substr(md5(x), 1, 8) as bigint)) as hashes from l where len(lines) > 1),
+s as (select doc_id, lines, list_transform(range(1, len(lines)), lambda i: (hashes[i + 1] + hashes[i] * {BASE}) % {PRIME} % {SEEDS}) as seed from h),
+e as (select doc_id, lines, list_filter(range(1, len(lines)), lambda i: i = 1 or seed[i] <> seed[i - 1]) as starts from s),
+c as (select doc_id, lines, starts, unnest(starts) - 1 as beg, generate_subscripts(starts, 1) as k from e),
+b as (select doc_id, beg, stop, array_to_string(lines[beg + 1:stop + 1], chr(10)) as body
+      from (select *, coalesce(starts[k + 1], len(lines)) - 1 as stop from c)),
+r as (select *, row_number() over (partition by body order by doc_id, beg) > 1 as cut from b
+      where trim(replace(replace(replace(body, chr(10), ' '), chr(9), ' '), chr(13), ' ')) <> ''),
+gone as (select distinct doc_id, unnest(range(beg, stop + 1)) as line from r where cut),
+kept as (select l.doc_id, unnest(lines) as body, unnest(range(0, len(lines))) as line from l),
+t as (select k.doc_id, string_agg(k.body, chr(10) order by k.line) filter (where g.line is null) as body, count(g.line) as cut_lines
+      from kept k left join gone g on g.doc_id = k.doc_id and g.line = k.line group by k.doc_id)
 select d.doc_id, case when d.text is null then null else coalesce(t.body, '') end as text, cast(t.cut_lines as int) as cut_lines
 from documents d join t using (doc_id)
 """

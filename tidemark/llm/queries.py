@@ -32,12 +32,6 @@ def op4_line_chunks(spark, sf_dir):
     return lines.dedup_lines(docs, count_as="cut_lines")
 
 
-def op4_line_passages(spark, sf_dir):
-    """Every document without the pairs of adjacent lines that an earlier document or place has."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.dedup_lines(docs, count_as="cut_lines", every_pair=True)
-
-
 def op5_output_codes(spark, sf_dir):
     """Language of every document, learnt outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
@@ -94,7 +88,7 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_warc_transactions, op2_cgk_windows, op3_simhash_blocks, op4_line_chunks, op4_line_passages, op5_output_codes,
+    op1_warc_transactions, op2_cgk_windows, op3_simhash_blocks, op4_line_chunks, op5_output_codes,
     op6_bpe_backtracking, op7_positive_unlabelled, op8_weighted_hash_tree, op9_perspective_rotation, op10_e8_lattice,
     op11_prefix_trie, op12_redirect_equivalence, op13_merkle_manifest, pipeline)}
 
