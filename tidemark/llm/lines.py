@@ -21,7 +21,7 @@ from tidemark.llm.common import KEY, keyed, numbered, settle
 
 # Fixed values of the rolling hash: below 2^29 times line hashes below 2^32 four terms fit a long.
 PRIME, BASE = 536870909, 69069
-SEEDS = 64
+SEEDS = 512
 
 chunk_hash = F.xxhash64
 
