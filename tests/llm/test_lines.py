@@ -17,7 +17,7 @@ def chunks(text):
     out = []
     for i in range(1, len(rows)):
         seed = (h[i] + h[i - 1] * lines.BASE) % lines.PRIME % lines.SEEDS
-        if out and out[-1][2] == seed:
+        if out and out[-1][2] == seed and not (i > 1 and h[i] == h[i - 1] == h[i - 2]):
             out[-1] = (out[-1][0], i, seed)
         else:
             out.append((i - 1, i, seed))

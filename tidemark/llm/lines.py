@@ -2,7 +2,7 @@
 
 A rolling hash over the hashes of every two adjacent lines draws the boundaries, under ``seeds`` seeds at once: under seed s
 a text is cut between two lines wherever their rolling hash is not s modulo ``seeds``, so a chunk of seed s is a
-run of lines whose neighbours all hash to s. Boundaries depend on nearby lines alone, so lines put in or taken out
+run of lines whose neighbours all hash to s (a run of one line repeated is cut into pairs of it). Boundaries depend on nearby lines alone, so lines put in or taken out
 elsewhere shift none, and every two adjacent lines are in a chunk of several lines under exactly one seed:
 no line of a repeated passage is left outside, and a passage's chunks are the same in every copy but for those that a
 neighbour of the passage happens to prolong (one in ``seeds`` on either side).
@@ -34,10 +34,11 @@ def _chunks(docs: DataFrame, keep: list[str], seeds: int) -> DataFrame:
     hash_of = lambda line: F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("bigint")
     rows = fence(rows, [*keep, "lines"], hashes=F.transform("lines", hash_of))
     rolled = lambda i: (F.get(F.col("hashes"), i) + F.get(F.col("hashes"), i - 1) * F.lit(BASE)) % PRIME % seeds
-    rows = fence(rows, [*keep, "lines"], seed=F.transform(F.sequence(F.lit(1), F.size("lines") - 1), rolled))
-    own = lambda i: F.get(F.col("seed"), i - 1)
+    rows = fence(rows, [*keep, "lines", "hashes"], seed=F.transform(F.sequence(F.lit(1), F.size("lines") - 1), rolled))
+    own, line = lambda i: F.get(F.col("seed"), i - 1), lambda i: F.get(F.col("hashes"), i)
+    again = lambda i: (line(i) == line(i - 1)) & (line(i - 1) == line(i - 2))
     return fence(rows, [*keep, "lines"], starts=F.filter(
-        F.sequence(F.lit(1), F.size("lines") - 1), lambda i: (i == 1) | (own(i) != own(i - 1))))
+        F.sequence(F.lit(1), F.size("lines") - 1), lambda i: (i == 1) | (own(i) != own(i - 1)) | again(i)))
 
 
 def _spans() -> Column:
@@ -120,8 +121,9 @@ def dedup_lines(docs: DataFrame, seeds: int = SEEDS, count_as: str | None = None
 ORACLE = f"""
 with l as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
 h as (select *, list_transform(lines, lambda x: cast('0x' || substr(md5(x), 1, 8) as bigint)) as hashes from l where len(lines) > 1),
-s as (select doc_id, lines, list_transform(range(1, len(lines)), lambda i: (hashes[i + 1] + hashes[i] * {BASE}) % {PRIME} % {SEEDS}) as seed from h),
-e as (select doc_id, lines, list_filter(range(1, len(lines)), lambda i: i = 1 or seed[i] <> seed[i - 1]) as starts from s),
+s as (select doc_id, lines, hashes, list_transform(range(1, len(lines)), lambda i: (hashes[i + 1] + hashes[i] * {BASE}) % {PRIME} % {SEEDS}) as seed from h),
+e as (select doc_id, lines, list_filter(range(1, len(lines)), lambda i: i = 1 or seed[i] <> seed[i - 1]
+        or (hashes[i + 1] = hashes[i] and hashes[i] = hashes[i - 1])) as starts from s),
 c as (select doc_id, lines, starts, unnest(starts) - 1 as beg, generate_subscripts(starts, 1) as k from e),
 b as (select doc_id, beg, stop, array_to_string(lines[beg + 1:stop + 1], chr(10)) as body
       from (select *, coalesce(starts[k + 1], len(lines)) - 1 as stop from c)),
