@@ -1,7 +1,11 @@
+import math
+import struct
+import time
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import sharding
@@ -63,3 +67,39 @@ def test_bad_trees_are_refused():
         sharding.HashTree(())
     with pytest.raises(ValueError):
         sharding.HashTree((("a", "k", 0, 0.0),))
+
+
+def plain_shard(key, tree):
+    """The descent in plain Python: every child's draw by its name, the smallest wins."""
+    def draw(name, weight):
+        seed = xxhash.xxh64_intdigest(name.encode(), seed=42)
+        h = seed if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), seed=seed)
+        return -math.log(((h >> 11) + 0.5) * 2.0 ** -53) / weight
+
+    total = lambda *path: sum(w for *at, _, w in tree.base if tuple(at[:len(path)]) == path)
+    regions = sorted({r for r, *_ in tree.base})
+    top = [(draw(r, total(r)), r, None) for r in regions] + [
+        (draw(f"{r}/{k}/{s}+{n}", w), "", s) for n, (r, k, s, w) in enumerate(tree.added)]
+    _, region, shard = min(top, key=lambda c: c[0])
+    if shard is not None:
+        return shard
+    rack = min(sorted({k for r, k, *_ in tree.base if r == region}), key=lambda k: draw(f"{region}/{k}", total(region, k)))
+    return min((draw(f"{region}/{rack}/{s}", w), s) for r, k, s, w in tree.base if (r, k) == (region, rack))[1]
+
+
+def test_descent_equals_plain_python(spark):
+    even = sharding.even_tree(12)
+    uneven = sharding.HashTree((("a", "x", 0, 1.0), ("a", "x", 5, 0.1), ("a", "y", 2, 7.5), ("b", "x", 3, 2.0))).grow("a", "y", 9, 3.0).grow("c", "z", 10)
+    keys = [*range(-200, 400), 2**63 - 1, -2**63, None]
+    rows = spark.createDataFrame([(k,) for k in keys], "k long")
+    for tree in (even, even.grow("region1", "rack0", 12), uneven):
+        got = rows.select("k", sharding.shard_of(F.col("k"), tree).alias("s")).collect()
+        assert [(r["k"], r["s"]) for r in got] == [(k, plain_shard(k, tree)) for k in keys]
+
+
+def test_a_plan_of_two_thousand_shards(spark):
+    """Two thousand shards are one constant: rows are placed in seconds, about equally."""
+    tree = sharding.even_tree(2000, regions=20, racks=10)
+    began = time.monotonic()
+    got = spark.range(20_000).select(sharding.shard_of(F.col("id"), tree).alias("s")).groupBy("s").count().collect()
+    assert time.monotonic() - began < 60 and len(got) > 1990 and max(r["count"] for r in got) < 40

@@ -15,6 +15,7 @@ these subtrees, or move within the region, and no others move.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -46,45 +47,48 @@ def even_tree(shards: int, regions: int = 4, racks: int = 2) -> HashTree:
     return HashTree(tuple((f"region{s % regions}", f"rack{s // regions % racks}", s, 1.0) for s in range(shards)))
 
 
-def _draw(key: Column, name: str, weight: float) -> Column:
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(name), key), 11).cast("double") + 0.5) * (2.0 ** -53)
-    return -F.log(u) / F.lit(float(weight))
+#: A child of a tree node: its draw is named and weighted; ``next`` is the node below it, or ``shard`` the end of the way.
+CHILD = "struct<name:string,weight:double,pick:int,next:string,shard:int>"
 
 
-def _winner(contenders: list[tuple[Column, int]]) -> Column:
-    """Struct (draw, pick) of the smallest draw; equal draws: the smallest pick."""
-    return F.array_min(F.array(*[F.struct(d.alias("draw"), F.lit(p).alias("pick")) for d, p in contenders]))
-
-
-def shard_of(key: Column, tree: HashTree) -> Column:
-    """Shard of a row key. Only the key and the tree decide; null keys share one shard."""
+def _children(tree: HashTree) -> dict[str, list[tuple]]:
+    """The children of the top (``""``), of every region and of every rack (``region/rack``)."""
+    out: dict[str, list[tuple]] = {"": []}
     regions = sorted({r for r, *_ in tree.base})
+    for i, region in enumerate(regions):
+        here = [x for x in tree.base if x[0] == region]
+        out[""].append((region, sum(w for *_, w in here), i, region, None))
+        out[region] = []
+        for j, rack in enumerate(sorted({k for _, k, _, _ in here})):
+            path, shards = f"{region}/{rack}", [(s, w) for _, k, s, w in here if k == rack]
+            out[region].append((path, sum(w for _, w in shards), j, path, None))
+            out[path] = [(f"{path}/{s}", w, s, None, s) for s, w in shards]
+    for n, (r, k, s, w) in enumerate(tree.added):  # increments draw beside the regions and lead to the new shard
+        out[""].append((f"{r}/{k}/{s}+{n}", w, len(regions) + n, None, s))
+    return out
 
-    def total(*path):
-        return sum(w for *at, _, w in tree.base if tuple(at[:len(path)]) == path)
-
-    def below(i: int) -> Column:
-        region = regions[i]
-        racks = sorted({k for r, k, *_ in tree.base if r == region})
 
-        def leaf(j: int) -> Column:
-            here = [(s, w) for r, k, s, w in tree.base if (r, k) == (region, racks[j])]
-            return _winner([(_draw(key, f"{region}/{racks[j]}/{s}", w), s) for s, w in here])["pick"]
+def shard_of(key: Column, tree: HashTree) -> Column:
+    """Shard of a row key. Only the key and the tree decide; null keys share one shard.
 
-        rack = _winner([(_draw(key, f"{region}/{k}", total(region, k)), j) for j, k in enumerate(racks)])["pick"]
-        return _case(rack, [leaf(j) for j in range(len(racks))])
+    The tree is one constant map from a node to its children, which a row descends in three steps: the plan is
+    the same for any number of shards, and a row draws for the children on its way alone.
+    """
+    names = ("name", "weight", "pick", "next", "shard")
+    rows = {path: [dict(zip(names, c)) for c in children] for path, children in _children(tree).items()}
+    nodes = F.from_json(F.lit(json.dumps(rows)), f"map<string,array<{CHILD}>>")
 
-    # picks below len(regions) are regions, the others are increments of added shards
-    top = [(_draw(key, r, total(r)), i) for i, r in enumerate(regions)]
-    top += [(_draw(key, f"{r}/{k}/{s}+{n}", w), len(regions) + n) for n, (r, k, s, w) in enumerate(tree.added)]
-    return _case(_winner(top)["pick"], [below(i) for i in range(len(regions))] + [F.lit(s) for _, _, s, _ in tree.added])
+    def draw(c: Column) -> Column:
+        u = (F.shiftrightunsigned(F.xxhash64(c["name"], key), 11).cast("double") + 0.5) * (2.0 ** -53)
+        return -F.log(u) / c["weight"]
 
+    def winner(path: Column) -> Column:
+        """The child of smallest draw; equal draws: the smallest pick."""
+        return F.array_min(F.transform(F.element_at(nodes, path), lambda c: F.struct(
+            draw(c).alias("draw"), c["pick"].alias("pick"), c["next"].alias("next"), c["shard"].alias("shard"))))
 
-def _case(pick: Column, values: list[Column]) -> Column:
-    out = F.when(pick == 0, values[0])
-    for i, v in enumerate(values[1:], 1):
-        out = out.when(pick == i, v)
-    return out
+    region = winner(F.lit(""))
+    return F.coalesce(region["shard"], winner(winner(region["next"])["next"])["shard"])
 
 
 def shard_documents(docs: DataFrame, tree: HashTree, grown: HashTree, key: str = "doc_id", text: str = "text") -> DataFrame:
