@@ -354,7 +354,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, k
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
-    """``docs`` without the rows in which an item of ``benchmark`` is found; rows are not shuffled."""
+    """``docs`` without the rows in which an item of ``benchmark`` is found; rows are not shuffled.
+
+    Null and empty texts hold no item and stay, as do all rows where there is no item; whole texts are searched,
+    however long; repeated rows stay or go alike; all columns, whatever their names, are passed on; an empty table gives no rows.
+    """
     at = docs.columns.index("text")
     for block in blocks(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast((block, Items(block, similarity, recall).plan))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from tidemark.llm import (bpe, chat, decontaminate, language, lattice, lines, merkle, sharding, simhash, toxicity, tries, urls,
                           warc)
 from tidemark.llm.common import held_out, table, vocabulary_path
@@ -84,6 +83,8 @@ def op13_merkle_manifest(spark, sf_dir):
 
 def pipeline(spark, sf_dir):
     """All stages of the corpus pipeline over all documents."""
+    import corpus_pipeline  # a file beside the package, read when it is asked for
+
     return corpus_pipeline.run(spark, sf_dir)
 
 

@@ -158,7 +158,12 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, agree: i
 
 
 def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` with one row of each near-duplicate component, all columns as they were."""
+    """``docs`` with one row of each near-duplicate component, all columns as they were.
+
+    The row of the smallest id stays, a null id only where no other is; of rows that repeat an id and its text any one, with its
+    own other columns. Null, empty and wordless texts share one fingerprint, so one of them stays;
+    an empty table gives no rows.
+    """
     kept = near_duplicates(docs, words, max_bits).where("keep").select(*KEY).distinct()
     carried = [f"__{i}" for i in range(len(docs.columns))]
     rows = keyed(docs, *numbered(docs.columns)).join(kept, KEY, "left_semi")

@@ -186,7 +186,11 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, keep: tuple[str
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, all columns as they were; rows are not shuffled."""
+    """The rows of ``docs`` that score below ``threshold``, all columns as they were; rows are not shuffled.
+
+    A null or empty text scores as a text without words does; whole texts are scored, however long; a score equal to the
+    threshold goes; repeated rows stay or go alike; an empty table gives no rows.
+    """
     at = docs.columns.index("text")
 
     def run(batches):
