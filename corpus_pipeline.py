@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 and read again before the next one, so a lost executor costs part of a stage.
 All stages but the last return the columns of ``documents``.
+
+In all stages a null text is a document without words: it is kept by the toxicity and decontamination stages
+if a text without words is, keeps its null through line dedup, is one of the group without words in SimHash
+near-dedup, and has no tokens. So is an empty text, also one that lost all its lines. Texts of any
+length are read whole. Rows that repeat an id and its text are treated alike until SimHash near-dedup keeps one of them. Equal
+ids of different texts are documents of their own. Additional columns, whatever their names, are carried to the
+last stage, which returns those it names. Empty tables give empty results.
 """
 
 from __future__ import annotations
