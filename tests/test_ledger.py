@@ -122,7 +122,7 @@ def test_records_delivered_again_later_count_once(spark, tmp_path):
 
 def test_open_and_closed_windows_add_up(spark, tmp_path):
     path = Q.topic_replica(spark, SF)
-    records = topic.read_records(spark, path=path, fmt=Q.TOPIC_FORMAT, max_files_per_trigger=1)
+    records = topic.read_records(spark, path=path, fmt=Q.TOPIC_FORMAT, max_files_per_trigger=Q._files(spark, SF))
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
     jobs.await_all(jobs.start_event_type_counts(validate.split(topic.decode_records(records)).good, sinks.TableSink(out), ck,
                                                 length="1 day", trigger={"availableNow": True}))

@@ -138,7 +138,7 @@ ORACLES: dict[str, str] = {
         "coalesce(brand, chr(9)) as brand, cast(price as varchar) as price, "
         "cast(user_id as varchar) as userId, "
         "case when user_id % 5 = 0 then ' ' else user_session end as userSession from ev) "
-        "select eventType as event_type, try_cast(productId as bigint) as product_id, "
+        "select true as stamped_now, eventType as event_type, try_cast(productId as bigint) as product_id, "
         "try_cast(categoryId as bigint) as category_id, "
         "case when trim(categoryCode) = '' then null else categoryCode end as category_code, "
         "case when trim(brand, ' ' || chr(9)) = '' then null else brand end as brand, "
@@ -169,8 +169,11 @@ counted as (select wire.* from wire, mark where event_id % 50 <> 7
 """ + _closed(_window_counts("minute", "upper(event_type)", "event_type", "counted"))
 ORACLES["stream_fan_out_lines"] = (
     f"with {_WIRE_GOOD}, c as (" + _closed(_window_counts("minute", "upper(event_type)", "event_type", "wire"))
-    + ") select '[' || " + _fmt("window_start") + " || ' - ' || " + _fmt("window_end")
-    + " || '] ' || event_type || ': ' || cast(event_count as varchar) as line from c")
+    + ") select sink, '[' || " + _fmt("window_start") + " || ' - ' || " + _fmt("window_end")
+    + " || '] ' || event_type || ': ' || cast(event_count as varchar) as line from c cross join (values ('lines'), ('table')) s(sink)")
+ORACLES["stream_two_consumers"] = f"""with {_WIRE_GOOD}
+select consumer, cast(user_id % 4 as integer) as partition, event_id as "offset", cast(user_id as varchar) as key
+from wire cross join (values ('first'), ('second')) c(consumer)"""
 ORACLES["json_binding_cases"] = f"""with ev as ({EVENTS_SQL}),
 k as (select *, event_id % 6 as kind,
       case when event_time is null then 'missing_event_time' when event_type is null then 'missing_event_type'

@@ -15,9 +15,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.time import wallclock_micros
 from tidemark.operators import summary, topn, validate, windows
 from tidemark.schema import (CATEGORY_TOP_N_SCHEMA, EVENT_COLUMNS, EVENT_TYPE_COUNTS_SCHEMA, ORDER_CHANGE_SCHEMA,
-                             RECORDS_PER_FILE)
+                             RECORDS_PER_FILE, TOPIC_PARTITIONS)
 from tidemark.session import file_system, files_under, scratch_path
 from tidemark.sources import changes, csv_events, fixtures, requests, topic
 from tidemark.streaming import jobs, progress, replay, sinks
@@ -40,15 +41,15 @@ def valid_events(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -
 
 
 # Bump when a derivation changes so stale derived inputs are never reused.
-DERIVED_VERSION = "7"
+DERIVED_VERSION = "8"
 # A stream reads its table in slices of time, a slice to a micro-batch, each in files of at most so many bytes of the table.
 SLICES, FILE_BYTES = 5, 128 * 1024 * 1024
 
 
 def _files(spark: SparkSession, sf_dir: str, table: str = "events") -> int:
-    """Files of a slice."""
+    """Files of a slice: as many tasks decode it, no fewer than a topic has partitions."""
     size = sum(n for _, n, _ in files_under(spark, f"{sf_dir}/{table}.parquet"))
-    return max(1, -(-size // (SLICES * FILE_BYTES)))
+    return max(TOPIC_PARTITIONS, -(-size // (SLICES * FILE_BYTES)))
 
 
 def _derived(spark: SparkSession, sf_dir: str, table: str, kind: str, write: Callable[[str], object]) -> str:
@@ -243,7 +244,9 @@ def manual_requests(spark, sf_dir):
         F.when(F.col("user_id") % 5 == 0, F.lit(" ")).otherwise(F.col("user_session")).alias("userSession"),
     )
     out = requests.normalize_requests(req)
-    return out.select("event_type", "product_id", "category_id", "category_code", "brand", "price",
+    # the server's time: within an hour of the session's, as UTC wall-clock time
+    off = F.abs(wallclock_micros("event_time") - F.unix_micros(F.current_timestamp()))
+    return out.select((off < F.lit(3600 * 1_000_000)).alias("stamped_now"), "event_type", "product_id", "category_id", "category_code", "brand", "price",
                       "user_id", F.length("user_session").alias("session_length"), validate.REASON)
 
 
@@ -323,6 +326,16 @@ def stream_consumed_audit(spark, sf_dir):
     return spark.read.parquet(out).drop("batch_id")
 
 
+def stream_two_consumers(spark, sf_dir):
+    """Two consumers of one topic, the second started after the first has read it: each has progress of its own and gets every record."""
+    out = scratch_path(spark, "results", "two_consumers")
+    for name in ("first", "second"):
+        lines = topic.audit_lines(_stream_records(spark, sf_dir)).withColumn("consumer", F.lit(name))
+        _run_to_end(jobs.start_passthrough(lines, sinks.TableSink(f"{out}/{name}"), scratch_path(spark, "checkpoints", name), {"availableNow": True}))
+    both = [spark.read.parquet(f"{out}/{name}").drop("batch_id") for name in ("first", "second")]
+    return both[0].unionByName(both[1]).select("consumer", "partition", "offset", "key")
+
+
 def stream_replay_counts(spark, sf_dir):
     """CSV files replayed into a topic as `replay-csv` does, and the topic counted as `count-job` does, a file of each partition at a time."""
     topic_dir, ck = scratch_path(spark, "results", "replayed-topic"), scratch_path(spark, "checkpoints", "replay")
@@ -394,12 +407,14 @@ def stream_late_events(spark, sf_dir):
 
 
 def stream_fan_out_lines(spark, sf_dir):
-    """The lines of a running count job that also writes its table, from one computation."""
+    """The lines of a running count job that also writes its table, from one computation: both, the table rendered afterwards."""
     out = scratch_path(spark, "results", "fan_out")
     _run_to_end(jobs.start_event_type_counts(
         _stream_good(spark, sf_dir), sinks.FanOut(sinks.TableSink(f"{out}/table"), sinks.count_lines_sink(f"{out}/lines")),
         scratch_path(spark, "checkpoints", "fan"), trigger={"availableNow": True}))
-    return spark.read.schema("value string").text(f"{out}/lines").select(F.col("value").alias("line"))
+    lines = spark.read.schema("value string").text(f"{out}/lines").select(F.lit("lines").alias("sink"), F.col("value").alias("line"))
+    rendered = summary.event_type_count_lines(_read_result(spark, f"{out}/table", EVENT_TYPE_COUNTS_SCHEMA))
+    return lines.union(rendered.select(F.lit("table"), "line"))
 
 
 def json_binding_cases(spark, sf_dir):
@@ -457,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "stream_record_rejects": stream_record_rejects,
     "stream_consumed_audit": stream_consumed_audit,
     "stream_orders_current_state": stream_orders_current_state,
+    "stream_two_consumers": stream_two_consumers,
     "stream_replay_counts": stream_replay_counts,
     "stream_lagging_input": stream_lagging_input,
     "stream_redelivered_counts": stream_redelivered_counts,

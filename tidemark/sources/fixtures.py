@@ -95,11 +95,11 @@ def topic_records(events: DataFrame, partitions: int = TOPIC_PARTITIONS) -> Data
 
 
 def write_in_order(rows: DataFrame, order: Column, slices: int, files: int, write: Callable[[DataFrame], None], staging: str) -> None:
-    """Hand ``rows`` to ``write`` slice by slice in ascending ``order`` (a number; nulls first), each as ``files`` range partitions.
+    """Hand ``rows`` to ``write`` slice by slice in ascending ``order`` (a number; nulls first), each as ``files`` equal files.
 
     A file stream reads files by the time they were written, and the files of one write are closed in any order. So
-    slices are written one after another, and a reader takes ``files`` at a time: a slice to a micro-batch. The rows are
-    dealt into slices once, by quantiles of ``order``, under ``staging``.
+    slices are written one after another, and a reader takes ``files`` at a time: a slice to a micro-batch (as long as a slice
+    has that many rows). The rows are dealt into slices once, by quantiles of ``order``, under ``staging``.
     """
     spark = rows.sparkSession
     placed = rows.withColumn("__order", order.cast("double"))
@@ -110,7 +110,7 @@ def write_in_order(rows: DataFrame, order: Column, slices: int, files: int, writ
     placed.withColumn("__slice", number).write.mode("overwrite").partitionBy("__slice").parquet(staging)
     staged = spark.read.schema(placed.schema.add("__slice", "integer")).parquet(staging)
     for i in range(slices):
-        part = staged.where(F.col("__slice") == i).repartitionByRange(files, F.col("__order")).sortWithinPartitions("__order")
+        part = staged.where(F.col("__slice") == i).repartition(files).sortWithinPartitions("__order")
         write(part.drop("__order", "__slice"))
 
 
