@@ -1,3 +1,4 @@
+import math
 import numpy as np
 
 from tidemark.llm import language
@@ -61,3 +62,56 @@ def test_long_texts_count_every_ngram_once():
     whole = language.ngram_features(text)
     assert abs(float((whole ** 2).sum()) - 1) < 1e-3
     assert np.allclose(whole, language.ngram_features("abc déf " * 4_000), atol=5e-3)
+
+
+def test_decoding_equals_its_definition():
+    """The nearest codeword by losses weighted with each bit's reliability, in plain loops; flipped bits are corrected."""
+    r = np.random.default_rng(8)
+    codes = language.codewords(6)
+    trust = r.random(codes.shape) + 0.01
+    trust /= trust.sum(axis=1, keepdims=True)
+    model = language.Model(tuple("abcdef"), codes, np.zeros((1, codes.shape[1]), np.float32), trust)
+    outputs = r.normal(size=(40, codes.shape[1])) * 3
+    best, chance = language.decode(model, outputs)
+    for row, pick, chances in zip(outputs, best, chance):
+        losses = [sum(trust[k][b] * math.log1p(math.exp(-codes[k][b] * row[b])) for b in range(len(row))) for k in range(6)]
+        shares = [math.exp(-len(row) * (x - min(losses))) for x in losses]
+        assert pick == losses.index(min(losses))
+        assert np.allclose(chances, [s / sum(shares) for s in shares])
+    apart = min((codes[i] != codes[j]).sum() for i in range(6) for j in range(i))
+    even = language.Model(model.languages, codes, model.weights, np.full(codes.shape, 1 / codes.shape[1]))
+    for k in range(6):
+        sent = codes[k].astype(float) * 2
+        sent[r.permutation(len(sent))[: (apart - 1) // 2]] *= -1
+        assert language.decode(even, sent[None])[0][0] == k
+
+
+def test_bit_classifiers_follow_the_loss_by_its_definition():
+    """Training equals the same optimiser on differences of the balanced logistic loss, in plain loops."""
+    r = np.random.default_rng(2)
+    y = ["a"] * 4 + ["b"] * 7 + ["c"] * 3
+    x = r.random((len(y), 3)).astype(np.float32)
+    steps = 12
+    model = language.fit(x, y, steps=steps)
+    codes, names = model.codes, ["a", "b", "c"]
+    bits = codes.shape[1]
+    for b in (0, bits // 2, bits - 1):  # bits are learnt apart from each other
+        def loss(w, b=b):
+            total = 0.0
+            for row, name in zip(x, y):
+                z = sum(float(v) * u for v, u in zip([*row, 1.0], w))
+                total += math.log1p(math.exp(-codes[names.index(name)][b] * z)) / 3 / y.count(name)
+            return total + 1e-5 / 2 * sum(u * u for u in w)
+        w, m, v = [0.0] * 4, [0.0] * 4, [0.0] * 4
+        for t in range(steps):
+            slope = []
+            for i in range(4):
+                hi, lo = list(w), list(w)
+                hi[i] += 1e-5
+                lo[i] -= 1e-5
+                slope.append((loss(hi) - loss(lo)) / 2e-5)
+            for i in range(4):
+                m[i] = 0.9 * m[i] + 0.1 * slope[i]
+                v[i] = 0.999 * v[i] + 0.001 * slope[i] ** 2
+                w[i] -= 0.2 * (m[i] / (1 - 0.9 ** (t + 1))) / (math.sqrt(v[i] / (1 - 0.999 ** (t + 1))) + 1e-8)
+        assert np.allclose(model.weights[:, b], w, atol=0.02)

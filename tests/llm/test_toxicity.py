@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -58,3 +59,52 @@ def test_edge_rows(spark):
     none = toxicity.train(docs, labels.limit(0))
     assert {(r["score"], r["predicted"]) for r in toxicity.score(docs, none).collect()} == {(0.0, 0)}
     assert toxicity.train(docs.limit(0), labels).prior >= 0
+
+
+def plain_fit(positive, unlabelled, prior, chosen, steps, decay):
+    """The non-negative risk by its definition, text by text; its slope by differences; the same optimiser in plain loops."""
+    texts = [([c for c in chosen if c in set(f.tolist())], True) for f in positive] + [
+        ([c for c in chosen if c in set(f.tolist())], False) for f in unlabelled]
+    softplus = lambda v: math.log1p(math.exp(-abs(v))) + max(v, 0.0)
+    names = [*chosen, "bias"]
+
+    def parts(w):
+        z = [(sum(w[f] for f in found) + w["bias"], p) for found, p in texts]
+        mean = lambda sign, p: sum(softplus(sign * v) for v, q in z if q == p) / sum(q == p for _, q in z)
+        return prior * mean(-1, True), mean(1, False) - prior * mean(1, True)  # positive risk, negative risk
+
+    def risk(w, back):
+        ridge = sum(decay / len(positive) * w[f] ** 2 / 2 for f in chosen)
+        plus, minus = parts(w)
+        return (-minus if back else plus + minus) + ridge
+
+    w = {**{f: 0.0 for f in chosen}, "bias": math.log(prior / (1 - prior))}
+    m, v, total, backs = {n: 0.0 for n in names}, {n: 0.0 for n in names}, {n: 0.0 for n in names}, 0
+    for t in range(steps):
+        back = parts(w)[1] < 0
+        backs += back
+        slope = {}
+        for n in names:
+            hi, lo = dict(w), dict(w)
+            hi[n] += 1e-5
+            lo[n] -= 1e-5
+            slope[n] = (risk(hi, back) - risk(lo, back)) / 2e-5
+        for n in names:
+            m[n] = 0.9 * m[n] + 0.1 * slope[n]
+            v[n] = 0.999 * v[n] + 0.001 * slope[n] ** 2
+            w[n] -= 0.05 * (m[n] / (1 - 0.9 ** (t + 1))) / (math.sqrt(v[n] / (1 - 0.999 ** (t + 1))) + 1e-8)
+        if t >= steps // 2:
+            for n in names:
+                total[n] += w[n] / (steps - steps // 2)
+    return total, backs
+
+
+def test_training_equals_the_risk_by_its_definition():
+    r = np.random.default_rng(3)
+    positive = [np.unique(np.concatenate([[1, 2], r.integers(3, 12, 2)])) for _ in range(12)]
+    unlabelled = [np.unique(r.integers(3, 12, 3)) for _ in range(30)] + [np.array([1, 2, 5])]
+    steps = 60
+    model = toxicity.fit(positive, unlabelled, 0.4, least_z=1.0, most=5, steps=steps)
+    want, backs = plain_fit(positive, unlabelled, 0.4, sorted(model.weights), steps, 1.0)
+    assert backs > 0  # both sides of the estimator are taken
+    assert all(abs(model.weights[f] - want[f]) < 0.02 for f in model.weights) and abs(model.bias - want["bias"]) < 0.02
