@@ -82,3 +82,50 @@ def test_operator_equals_brute_force(spark):
         assert got[r[0]] == (0, r[0], True)
     assert got[None] == (0, None, False) and len(got) == len(rows) + len(odd)
     assert lattice.near_duplicates(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("classes", [300, 50_000, 10 ** 6, 10 ** 8, 10 ** 10])
+def test_recall_of_the_plan_of_every_size(classes):
+    """Pairs of cosine 0.9005 that share a cell of some table, in either direction."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1200, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = near(rng, x, 0.9005, 0.9005)
+    plan = lattice.plan_for(classes)
+    (own_x, look_x), (own_y, look_y) = lattice.cells_of(x, plan), lattice.cells_of(y, plan)
+    met = (own_x == own_y) | (look_x == own_y[:, :, None]).any(axis=2) | (look_y == own_x[:, :, None]).any(axis=2)
+    assert met.any(axis=1).mean() >= 0.98
+
+
+def test_rows_of_a_vector_grow_slowly():
+    rows = {10 ** e: lattice.plan_for(10 ** e).rows for e in range(2, 11)}
+    assert rows[10 ** 6] < 100 and rows[10 ** 8] < 500 and rows[10 ** 10] < 1000
+    assert all(rows[10 ** e] <= 3 * max(rows[10 ** (e - 1)], 10) for e in range(3, 11))
+
+
+def test_looks_are_the_closest_neighbours():
+    dots = np.random.default_rng(9).normal(size=(50, 240))
+    assert (lattice._closest(dots, 5) == np.argsort(-dots, axis=1)[:, :5]).all() and lattice._closest(dots, 0).shape == (50, 0)
+
+
+def test_a_dense_family_is_counted_without_its_pairs(spark):
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(60, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tight = near(rng, np.repeat(x[:1], 300, axis=0), 0.993, 0.997)
+    border = near(rng, np.repeat(x[:1], 40, axis=0), 0.90, 0.93)  # linked to some members only
+    data = np.concatenate([x, tight, border, tight[:20]])
+    rows = [(i, v) for i, v in enumerate(data.tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    classes = lattice.with_balls(lattice.classes_of(frame), 0.9).cache()
+    linked = data @ data.T / np.outer(*[np.linalg.norm(data, axis=1)] * 2) >= 0.9
+    balls: dict[int, list[int]] = {}
+    for rep, ball in classes.where("ball is not null").select("rep", "ball").collect():
+        balls.setdefault(ball, []).append(rep)
+    assert all(linked[np.ix_(m, m)].all() and len(m) > 1 for m in balls.values()) and max(map(len, balls.values())) >= 200
+    np.fill_diagonal(linked, False)
+    pairs = lattice.candidate_pairs(classes, lattice.plan_for(400), 0.9)
+    assert pairs.count() < linked.sum() / 4
+    got = {r["vec_id"]: r["n_links"] for r in lattice.near_duplicates(frame).collect()}
+    want = linked.sum(axis=1)
+    assert sum(got.values()) >= 0.995 * want.sum() and all(got[i] <= n for i, n in enumerate(want.tolist()))
