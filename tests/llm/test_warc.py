@@ -83,3 +83,35 @@ def test_folded_headers_and_other_blocks():
     data = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID:\r\n  <f>\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
     [row] = warc.parse_records(data)
     assert row["record_id"] == "<f>" and row["payload"] == b"hi"
+
+
+@pytest.mark.parametrize("step", [1, 7, 100, 1 << 20])
+def test_files_are_inflated_piece_by_piece(monkeypatch, step):
+    monkeypatch.setattr(warc._Inflated, "STEP", step)
+    one = b"WARC/1.1\r\nWARC-Record-ID: <%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n"
+    bodies = [b"", b"WARC/1.1\r\n", b"x" * 900, b"\r\n\r\n", b"end"]
+    records = [one % (i, len(b), b) for i, b in enumerate(bodies)]
+    members = b"".join(gzip.compress(r) for r in records)
+    for data in (b"".join(records), gzip.compress(b"".join(records)), members, members + b"\0\0"):
+        got = list(warc.parse_records(data))
+        assert [(r["record_id"], r["payload"]) for r in got] == [(f"<{i}>", b) for i, b in enumerate(bodies)]
+    broken = members[:-12]  # the last member is cut: the others are whole
+    got = list(warc.parse_records(broken))
+    assert [r["payload"] for r in got if "problem" not in r][:4] == bodies[:4]
+    spoilt = members[:len(gzip.compress(records[0])) + 12] + b"\xff" * 50
+    assert [r.get("record_id") for r in warc.parse_records(spoilt)][0] == "<0>"
+    odd = b"WARC/1.1\r\nContent-Length: \xc2\xb2\r\n\r\nab\r\n\r\n" + records[4]
+    assert [r.get("payload") for r in warc.parse_records(odd)] == [None, b"end"]
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    import pathlib
+    sizes = [10] * 50 + [100_000] * 9 + [(1 << 20) + 5] * 3
+    rows = [(i, f"http://h/{i}", f"{i:09d}" + "y" * (n - 9)) for i, n in enumerate(sizes)]
+    rows += [(100, "u", rows[-1][2]), (101, "u", rows[0][2]), (102, "u", rows[55][2])]
+    path = scratch_path(spark, "sized")
+    got = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    assert {r[0]: r["refers_to"] for r in got.collect() if r["refers_to"] is not None} == {100: 61, 101: 0, 102: 55}
+    warc.write_pages(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), f"{path}-small", file_bytes=2 << 20)
+    inflated = [len(gzip.decompress(f.read_bytes())) for f in pathlib.Path(f"{path}-small".removeprefix("file:")).rglob("*.gz")]
+    assert len(inflated) >= 9 and max(inflated) < (2 << 20) + 10_000

@@ -8,14 +8,15 @@ capture.
 Writing is Spark's own text writer: a record is a row, the record terminator
 is the line separator. Reading parses whole files by Content-Length in tasks,
 so a payload may hold anything, record marks included. A reader task holds one
-file, so the writer starts a new file every ``records_per_file`` records.
+file as it is stored and inflates it record by record; the writer bounds files by
+bytes: pages are written by classes of size, the larger the fewer to a file.
 """
 
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,6 +34,9 @@ PRINCIPAL = ("response", "revisit", "resource")
 HEX32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+#: Classes of payload bytes (from, below) that are written apart. Equal payloads are of one class.
+SIZES = [(0, 1 << 16), (1 << 16, 1 << 20), (1 << 20, 1 << 62)]
+
 RECORD_SCHEMA = ("record_id string, type string, concurrent_to array<string>, refers_to string, target_uri string, "
                  "date string, payload_bytes bigint, payload_digest string, http_header string, fields string, "
                  "problem string, payload binary")
@@ -69,7 +73,7 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     return joined.withColumn("first", F.when(F.col("first") != F.col("rid"), F.col("first")))
 
 
-def write_pages(pages: DataFrame, path: str, min_bytes: int = 0, records_per_file: int = 1500,
+def write_pages(pages: DataFrame, path: str, min_bytes: int = 0, file_bytes: int = 32 << 20,
                 date: str = "2024-01-01T00:00:00Z") -> None:
     """Write one transaction (response or revisit, request, metadata) per row of ``page_id, url, html``.
 
@@ -77,8 +81,18 @@ def write_pages(pages: DataFrame, path: str, min_bytes: int = 0, records_per_fil
     blanks and other control characters in a url are percent-encoded; a null
     page_id is left out of the metadata; repeated rows are captures of their
     own; an empty table gives an archive without records; other columns are
-    not read. Output is gzip, split into files of ``records_per_file`` records.
+    not read. Output is gzip, a folder for each class of payload sizes that has pages, split into files of at most
+    ``file_bytes`` bytes of payload; a larger payload has a file of its own.
     """
+    size = F.octet_length(F.coalesce(F.col("html"), F.lit("")))
+    counted = pages.agg(*[F.count(F.when((size >= lo) & (size < hi), 1)) for lo, hi in SIZES]).first()
+    for (lo, hi), n in zip(SIZES, counted):
+        if n or (lo == 0 and not any(counted)):
+            _write_class(pages.where((size >= lo) & (size < hi)), f"{path}/from-{lo}", min_bytes, 3 * max(1, file_bytes // hi), date)
+
+
+def _write_class(pages: DataFrame, path: str, min_bytes: int, records_per_file: int, date: str) -> None:
+    """Pages of one class of sizes; none but these can have equal payloads."""
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url"), payload.alias("payload"),
@@ -123,32 +137,89 @@ def _headers(head: bytes) -> list[tuple[str, str]]:
     return out
 
 
+class _Inflated:
+    """The bytes of a file, plain or gzip of one or more members, as far as they are asked for; ``buffer`` starts where reading stands."""
+
+    STEP = 1 << 20
+
+    def __init__(self, data: bytes):
+        self.data, self.at, self.buffer = data, 0, bytearray()
+        self.zip = zlib.decompressobj(31) if data[:2] == b"\x1f\x8b" else None
+
+    def _take(self) -> bytes:
+        piece = self.data[self.at:self.at + self.STEP]
+        self.at += len(piece)
+        return piece
+
+    def more(self) -> bool:
+        """Some more bytes, unless the file is at its end or its gzip data are broken."""
+        if self.zip is None:
+            piece = self._take()
+            self.buffer += piece
+            return bool(piece)
+        while True:
+            if self.zip.eof:  # the next member, if there is one
+                self.at -= len(self.zip.unused_data)
+                if self.data[self.at:self.at + 2] != b"\x1f\x8b":
+                    self.at, self.zip = len(self.data), None
+                    return False
+                self.zip = zlib.decompressobj(31)
+            given = self.zip.unconsumed_tail or self._take()
+            try:
+                out = self.zip.decompress(given, self.STEP)
+            except zlib.error:
+                self.at, self.zip = len(self.data), None
+                return False
+            if out:
+                self.buffer += out
+                return True
+            if not given:
+                return False
+
+    def fill(self, n: int) -> bool:
+        """Whether there are ``n`` bytes, which are then in the buffer."""
+        while len(self.buffer) < n and self.more():
+            pass
+        return len(self.buffer) >= n
+
+    def find(self, what: bytes, start: int = 0) -> int:
+        while (at := self.buffer.find(what, start)) < 0:
+            start = max(start, len(self.buffer) - len(what) + 1)
+            if not self.more():
+                return -1
+        return at
+
+    def drop(self, n: int) -> None:
+        del self.buffer[:n]
+
+
 def parse_records(data: bytes, keep_payload: bool = True) -> Iterator[dict]:
     """The records of one file, plain or gzip (as one member or one for each record).
 
     A record cut short, or bytes that are no record, give a row with a ``problem``
-    and reading goes on at the next record mark.
+    and reading goes on at the next record mark. Broken gzip data end the file. Only the
+    stored file and one record are held.
     """
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
-    at, mark = 0, VERSION[:5].encode()
+    source, mark = _Inflated(data), VERSION[:5].encode()
     while True:
-        while data[at:at + 2] == b"\r\n":
-            at += 2
-        if at >= len(data):
+        while source.fill(2) and source.buffer.startswith(b"\r\n"):
+            source.drop(2)
+        if not source.fill(1):
             return
-        head_end = data.find(b"\r\n\r\n", at)
-        known = _headers(data[at:head_end]) if head_end >= 0 and data.startswith(mark, at) else []
+        head_end = source.find(b"\r\n\r\n") if source.fill(len(mark)) and source.buffer.startswith(mark) else -1
+        known = _headers(bytes(source.buffer[:head_end])) if head_end >= 0 else []
         first = dict(reversed(known))
         length = first.get("content-length", "")
         body = head_end + 4
-        if not length.isdigit() or body + int(length) > len(data):
-            following = data.find(b"\r\n" + mark, at + 1)
+        if not (length.isascii() and length.isdigit()) or not source.fill(body + int(length)):
+            following = source.find(b"\r\n" + mark, 1)
             yield {"record_id": first.get("warc-record-id"), "problem": "no whole record"}
-            at = len(data) if following < 0 else following
+            if following < 0:
+                return
+            source.drop(following)
             continue
-        block = data[body:body + int(length)]
-        at = body + int(length)
+        block = bytes(source.buffer[body:body + int(length)])
+        source.drop(body + int(length))
         kind, content = first.get("warc-type"), first.get("content-type", "")
         row = {"record_id": first.get("warc-record-id"), "type": kind, "target_uri": first.get("warc-target-uri"),
                "concurrent_to": [v for k, v in known if k == "warc-concurrent-to"],
