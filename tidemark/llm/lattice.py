@@ -296,14 +296,15 @@ def with_balls(classes: DataFrame, cosine: float) -> DataFrame:
     """
     half = math.cos(math.acos(cosine) / 2) + 1e-9
     rows = _rows(classes.withColumn("ball", F.lit(None).cast("long")), LEADERS, False).select("cell", "b", "b1", "b2")
-    shared = rows.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select("cell")
-    rows = settle(rows.join(shared, "cell"), "leader-cells")
-    label = rows.select("b", "b1", "b2", F.col("b").alias("label"))
-    found = []
+    # a cell is dealt out in so many parts that each has some hundred rows
+    shared = rows.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select("cell", F.expr("n div 256").alias("last"))
+    rows = settle(rows.join(shared, "cell").withColumn("part", F.pmod(F.xxhash64("b"), F.col("last") + 1)), "leader-cells")
+    label, found = rows, []
     for _ in range(2):  # the smallest label in a cell, then the smallest of the cells of a class
-        labelled = rows.select("cell", "b").join(label.select("b", "label"), "b") if found else rows.select("cell", "b", F.col("b").alias("label"))
-        low = labelled.groupBy("cell").agg(F.min("label").alias("label"))
-        label = settle(rows.join(low, "cell").groupBy("b").agg(
+        labelled = rows.join(label.select("b", "label"), "b") if found else rows.withColumn("label", F.col("b"))
+        low = labelled.groupBy("cell", "last").agg(F.min("label").alias("label"))
+        low = low.select("cell", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("part"), "label")
+        label = settle(rows.join(low, ["cell", "part"]).groupBy("b").agg(
             F.first("b1").alias("b1"), F.first("b2").alias("b2"), F.min("label").alias("label")), "leaders")
         found.append(label)
     signs = rows.select(F.col("b").alias("a"), F.col("b1").alias("a1"), F.col("b2").alias("a2")).distinct()
